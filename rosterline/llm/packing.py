@@ -6,6 +6,7 @@ import base64
 import heapq
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,7 @@ class Encoder:
     bounded. ``path`` is the vocabulary as ranks.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 800_000):
         import tiktoken
 
         with open(path, "rb") as file:
@@ -68,7 +69,7 @@ class _Parts(dict):
         elif core and len(core) < len(part) and core[-1].isalpha():
             ids = self[core] + self.encoder.plain[part[len(core) :]]
         else:
-            ids = np.array(self.encoder.encode(self.before + part), "<u4").tobytes()
+            ids = array("I", self.encoder.encode(self.before + part)).tobytes()
         if len(part) <= 40:
             if len(self) >= self.most:
                 self.clear()

@@ -6,8 +6,10 @@ from .lines import OP4_SQL, op4_line_dedup
 from .mixing import op7_mixing
 from .ogg import op5_media_columns
 from .packing import op3_packing
+from .suffixes import op1_suffix_dedup
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op3_packing": op3_packing,
     "op4_line_dedup": op4_line_dedup,
     "op5_media_columns": op5_media_columns,
