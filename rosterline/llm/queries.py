@@ -5,6 +5,7 @@ from __future__ import annotations
 from .lines import OP4_SQL, op4_line_dedup
 from .mixing import op7_mixing
 from .ogg import op5_media_columns
+from .near import op9_near_dedup
 from .packing import op3_packing
 from .suffixes import op1_suffix_dedup
 
@@ -14,5 +15,6 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_media_columns": op5_media_columns,
     "op7_mixing": op7_mixing,
+    "op9_near_dedup": op9_near_dedup,
 }
 ORACLE_SQL = {"op4_line_dedup": OP4_SQL}
