@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .language import op2_language
 from .lines import OP4_SQL, op4_line_dedup
 from .mixing import op7_mixing
 from .ogg import op5_media_columns
@@ -11,6 +12,7 @@ from .suffixes import op1_suffix_dedup
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_language": op2_language,
     "op3_packing": op3_packing,
     "op4_line_dedup": op4_line_dedup,
     "op5_media_columns": op5_media_columns,
