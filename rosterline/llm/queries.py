@@ -8,6 +8,7 @@ from .mixing import op7_mixing
 from .ogg import op5_media_columns
 from .near import op9_near_dedup
 from .packing import op3_packing
+from .pages import op8_html_extraction
 from .suffixes import op1_suffix_dedup
 
 QUERIES = {
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_media_columns": op5_media_columns,
     "op7_mixing": op7_mixing,
+    "op8_html_extraction": op8_html_extraction,
     "op9_near_dedup": op9_near_dedup,
 }
 ORACLE_SQL = {"op4_line_dedup": OP4_SQL}
