@@ -9,6 +9,7 @@ from .ogg import op5_media_columns
 from .near import op9_near_dedup
 from .packing import op3_packing
 from .pages import op8_html_extraction
+from .quality import op6_quality_outliers
 from .suffixes import op1_suffix_dedup
 
 QUERIES = {
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_line_dedup": op4_line_dedup,
     "op5_media_columns": op5_media_columns,
+    "op6_quality_outliers": op6_quality_outliers,
     "op7_mixing": op7_mixing,
     "op8_html_extraction": op8_html_extraction,
     "op9_near_dedup": op9_near_dedup,
