@@ -9,6 +9,7 @@ from .ogg import op5_media_columns
 from .near import op9_near_dedup
 from .packing import op3_packing
 from .pages import op8_html_extraction
+from .personal import op10_personal_data
 from .quality import op6_quality_outliers
 from .suffixes import op1_suffix_dedup
 
@@ -22,5 +23,6 @@ QUERIES = {
     "op7_mixing": op7_mixing,
     "op8_html_extraction": op8_html_extraction,
     "op9_near_dedup": op9_near_dedup,
+    "op10_personal_data": op10_personal_data,
 }
 ORACLE_SQL = {"op4_line_dedup": OP4_SQL}
