@@ -39,12 +39,8 @@ def words(col: Column) -> Column:
 
 
 def n_words(col: Column) -> Column:
-    """The number of words of a text; 0 for null.
-
-    A word starts where a visible character follows white space or the start, so the count needs no array.
-    """
-    marked = F.regexp_replace(F.btrim(F.coalesce(col, F.lit("")), F.lit(SPACE)), "[\\x20\\x09-\\x0D]+", " ")
-    return F.when(marked == "", F.lit(0)).otherwise(F.length(marked) - F.length(F.replace(marked, F.lit(" "), F.lit(""))) + 1).cast("long")
+    """The number of words of a text; 0 for null."""
+    return F.coalesce(F.regexp_count(col, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def work_folder(spark: SparkSession) -> str:

@@ -195,6 +195,12 @@ def identify(docs: DataFrame, model: dict | None, text_col: str = "text") -> Dat
     return marked.mapInArrow(run, schema).select(*own, "lang_pred", "lang_score")
 
 
+def in_a_language(docs: DataFrame, least: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` whose language is known with a score of ``least`` or more."""
+    found = identify(docs, train(docs))
+    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= least)).select(*docs.columns)
+
+
 def op2_language(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = train(docs)

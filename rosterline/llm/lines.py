@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from .common import SPACE, ascii_lower, ident, unident
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, min_docs: int = 3) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, min_docs: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
     """Drop repeated lines: explode normalised lines, hash, count distinct documents for each hash, drop, reassemble.
 
     A line's key is the line stripped of white space at both ends, with A-Z lower-cased. A key of at least
     ``min_chars`` code points that at least ``min_docs`` documents hold loses all its lines, but for those in the
     document with the largest identifier.
 
-    Returns for each row of ``docs``: the identifier, ``n_lines``, ``n_dropped`` and ``kept`` (the text left).
+    Returns for each row of ``docs``: the identifier, ``n_lines``, ``n_dropped``, ``kept`` (the text left), and the columns
+    named in ``carry``.
 
     Null or empty text is one empty line. Rows that share an identifier count as one document and are each returned;
     a null identifier is a document of its own, below all others. An empty table gives an empty result. Other columns
@@ -25,8 +26,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     a line of a third of all documents is one row for each task. The join on hot keys has one row a key on one side;
     the runtime splits its large partitions on the other.
     """
-    rows = docs.select(ident(id_col).alias("nid"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    rows = rows.select("nid", F.xxhash64("body").alias("h"), F.split("body", "\n", -1).alias("lines"))
+    rows = docs.select(ident(id_col).alias("nid"), F.coalesce(F.col(text_col), F.lit("")).alias("body"), F.struct(*carry).alias("carried") if carry else F.lit(None).alias("carried"))
+    rows = rows.select("nid", "carried", F.xxhash64("body").alias("h"), F.split("body", "\n", -1).alias("lines"))
     key = ascii_lower(F.btrim(F.col("line"), F.lit(SPACE)))
     keyed = (
         rows.select("nid", "h", F.posexplode("lines").alias("pos", "line"))
@@ -53,6 +54,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return joined.select(
         unident("nid").alias(id_col), F.size("lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped"), F.array_join(kept, "\n").alias("kept"),
+        *[F.col("carried")[c].alias(c) for c in carry],
     )
 
 

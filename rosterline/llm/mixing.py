@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import ident, n_words
+from .common import ident, n_words, staged
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_REPEATS = 3
@@ -117,7 +117,9 @@ def mix_sources(
         *own, n_words(F.col(text_col)).alias("mix_size"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_mix_s"),
         F.col(source_col).isNull().alias("_mix_null"), h.alias("_mix_h"), F.pmod(h, F.lit(_BUCKETS)).alias("_mix_b"),
     )
-    lengths = sized.groupBy("_mix_s", "_mix_null", "mix_size").agg(F.count("*").alias("n"))
+    keys = ["_mix_s", "_mix_null", "mix_size"]
+    parts = staged(sized.groupBy(*keys, "_mix_b").agg(F.count("*").alias("n")), "lengths")
+    lengths = parts.groupBy(*keys).agg(F.sum("n").alias("n"))
     sources = [(r[0], r[1], r[2]) for r in lengths.groupBy("_mix_s", "_mix_null").agg(F.sum(F.col("mix_size") * F.col("n"))).collect()]
     sources.sort(key=lambda r: (r[1], r[0]))
     target = targets([r[2] for r in sources], [weights[i % len(weights)] for i in range(len(sources))])
@@ -134,17 +136,22 @@ def mix_sources(
         return pdf.assign(_mix_rounds=rounds, _mix_extra=np.where(pdf["mix_size"] > 0, extra, 0))[list(planned.names)]
 
     planned = T.StructType.fromDDL("_mix_s string, _mix_null boolean, mix_size long, mix_source_size long, mix_target double, _mix_rounds long, _mix_extra long")
-    keys = ["_mix_s", "_mix_null", "mix_size"]
     plan = lengths.join(goal, ["_mix_s", "_mix_null"]).groupBy("_mix_s", "_mix_null").applyInPandas(fit, planned)
-    parts = sized.groupBy(*keys, "_mix_b").agg(F.count("*").alias("n"))
     so_far = F.sum("n").over(Window.partitionBy(*keys).orderBy("_mix_b").rowsBetween(Window.unboundedPreceding, -1))
     parts = parts.withColumn("_mix_before", F.coalesce(so_far, F.lit(0))).drop("n").join(plan, keys)
-    rank = F.row_number().over(Window.partitionBy(*keys, "_mix_b").orderBy("_mix_h", ident(id_col), text_col))
+    rank = F.row_number().over(Window.partitionBy(*keys, "_mix_b").orderBy("_mix_h", ident(id_col)))
     placed = sized.withColumn("_mix_rank", rank).join(parts, [*keys, "_mix_b"])
     times = F.col("_mix_rounds") + F.when(F.col("_mix_before") + F.col("_mix_rank") <= F.col("_mix_extra"), 1).otherwise(0)
     return placed.select(*own, "mix_size", "mix_source_size", "mix_target", (F.col("mix_size") * times).alias("mix_taken"))
 
 
+def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of ``docs`` that the mix takes, each as often as it takes them."""
+    mixed = mix_sources(docs, id_col, text_col, source_col).filter("mix_taken > 0")
+    times = F.explode(F.sequence(F.lit(1), (F.col("mix_taken") / F.col("mix_size")).cast("int")))
+    return mixed.select(*docs.columns, times.alias("_mix_time")).drop("_mix_time")
+
+
 def op7_mixing(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return mix_sources(docs.select("doc_id", "text", "source")).select(

@@ -188,8 +188,13 @@ def _solve_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=_LINKS)
 
 
+def node_id(id_col: str, text_col: str) -> Column:
+    """The identifier, or a negative hash of the text where it is null."""
+    return F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).bitwiseOR(F.lit(-(2**63))))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
-    """The class of each document: rows (identifier, ``class_id``, ``class_size``, ``n_copies``).
+    """The class of each document: rows (identifier, ``node_id``, ``class_id``, ``class_size``, ``n_copies``).
 
     Two texts are linked if their shingles of five words align to a similarity of 0.8 or more; classes are the connected
     components. Words are lower-cased and lose marks at their ends. ``class_id`` is the least identifier of a class,
@@ -207,7 +212,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    rows = rows.select("id", F.coalesce("id", F.xxhash64("body").bitwiseOR(F.lit(-(2**63)))).alias("vid"), "body")
+    rows = rows.select("id", node_id("id", "body").alias("vid"), "body")
     hashed = rows.select("id", "vid", word_hashes(F.col("body")).alias("words"))
     sketched = hashed.select("id", "vid", F.xxhash64("words").alias("s1"), F.xxhash64(F.lit("words"), "words").alias("s2"), "words")
     texts = staged(sketched.mapInArrow(_sketch_rows, "id long, vid long, s1 long, s2 long, buckets array<long>"), "sketches")
@@ -246,10 +251,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = nodes.select("s1", "s2", "vid", "n_copies").join(roots.withColumnRenamed("node", "vid"), "vid", "left").select("s1", "s2", "n_copies", F.coalesce("root", "vid").alias("class"))
     sizes = classes.groupBy("class").agg(F.sum("n_copies").alias("class_size"))
     per_text = classes.join(sizes, "class").select("s1", "s2", "class", "n_copies", "class_size")
-    ids = texts.select("id", "s1", "s2").join(per_text, ["s1", "s2"])
-    return ids.select(F.col("id").alias(id_col), F.col("class").alias("class_id"), "class_size", "n_copies")
+    ids = texts.select("id", "vid", "s1", "s2").join(per_text, ["s1", "s2"])
+    return ids.select(F.col("id").alias(id_col), F.col("vid").alias("node_id"), F.col("class").alias("class_id"), "class_size", "n_copies")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each class the document with the least identifier stays, once."""
+    leaders = near_duplicates(docs, id_col, text_col).filter("node_id = class_id").select(F.col("node_id").alias("_node")).distinct()
+    named = docs.withColumn("_node", node_id(id_col, text_col))
+    return named.join(leaders, "_node", "left_semi").dropDuplicates(["_node"]).drop("_node")
 
 
 def op9_near_dedup(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return near_duplicates(docs)
+    return near_duplicates(docs).drop("node_id")
