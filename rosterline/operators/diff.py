@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.names import event_id
-
-EVENT = ("program_id", "provider_id", "seq", "event_type", "new_status", "detail")
+from .sizes import broadcast_if_small
 
 
 def last_in_roster(roster: DataFrame, keys: tuple[str, ...] = ("program_id", "provider_id"), order: str = "row_no") -> DataFrame:
@@ -32,22 +31,25 @@ def diff_chain(observations: DataFrame, snaps: DataFrame, time: str = "snap_date
     """All events of all programs: (program_id, provider_id, seq, event_type, new_status, detail, snapshot time and id).
 
     Each observation looks at the one before and the one after it of the same provider. A gap in the program's snapshots
-    after it is an exit at the next snapshot, also if that is empty; a gap before it is an entry. One shuffle by provider
-    serves all chains; the table of snapshots is small and joined by program and time.
+    after it is an exit at the next snapshot, also if that is empty; a gap before it is an entry. Observations are shuffled
+    once, by provider, so a program that holds most of them is spread. Snapshots carry the next one with them and are
+    joined once; they are broadcast where they are few.
     """
-    seen = observations.join(snaps.select("program_id", time, "seq"), ["program_id", time])
-    last = snaps.groupBy("program_id").agg(F.max("seq").alias("_end"))
+    in_order = Window.partitionBy("program_id").orderBy("seq")
+    step = lambda when, at, id_: F.struct(F.col(when).alias("seq"), F.col(at).alias(time), F.col(id_).alias("snapshot_id"))
+    known = snaps.select("program_id", time, "seq", "snapshot_id", F.lead("seq").over(in_order).alias("_s"), F.lead(time).over(in_order).alias("_t"), F.lead("snapshot_id").over(in_order).alias("_i"))
+    known = known.select("program_id", time, "seq", step("seq", time, "snapshot_id").alias("_here"), F.when(F.col("_s").isNotNull(), step("_s", "_t", "_i")).alias("_next"))
+    seen = observations.select("program_id", "provider_id", time, "status").join(broadcast_if_small(known), ["program_id", time])
     by = Window.partitionBy("program_id", "provider_id").orderBy("seq")
-    seen = seen.join(last, "program_id").select(
-        "program_id", "provider_id", "seq", "status", "_end", F.lag("seq").over(by).alias("_before"), F.lead("seq").over(by).alias("_after"), F.lag("status").over(by).alias("_old")
-    )
+    seen = seen.select("program_id", "provider_id", "seq", "status", "_here", "_next", F.lag("seq").over(by).alias("_before"), F.lead("seq").over(by).alias("_after"), F.lag("status").over(by).alias("_old"))
     fresh = F.col("_before").isNull() | (F.col("_before") < F.col("seq") - 1)
-    entry = F.when(fresh, F.struct(F.col("seq").alias("seq"), F.lit("authorized").alias("event_type"), F.col("status").alias("new_status"), F.lit(None).cast("string").alias("detail")))
-    change = F.when(~fresh & ~F.col("_old").eqNullSafe(F.col("status")), F.struct(F.col("seq").alias("seq"), F.lit("status_change").alias("event_type"), F.col("status").alias("new_status"), F.concat_ws(" → ", "_old", "status").alias("detail")))
-    gone = (F.col("seq") < F.col("_end")) & (F.col("_after").isNull() | (F.col("_after") > F.col("seq") + 1))
-    exit_ = F.when(gone, F.struct((F.col("seq") + 1).alias("seq"), F.lit("disappeared_from_roster").alias("event_type"), F.lit("exited").alias("new_status"), F.lit(None).cast("string").alias("detail")))
-    events = seen.select("program_id", "provider_id", F.explode(F.filter(F.array(entry, change, exit_), lambda e: e.isNotNull())).alias("e")).select("program_id", "provider_id", "e.*")
-    return events.join(snaps.select("program_id", "seq", time, "snapshot_id"), ["program_id", "seq"])
+    event = lambda when, at, kind, new, detail: F.when(when, F.struct(F.col(at).alias("at"), F.lit(kind).alias("event_type"), new.alias("new_status"), detail.cast("string").alias("detail")))
+    entry = event(fresh, "_here", "authorized", F.col("status"), F.lit(None))
+    change = event(~fresh & ~F.col("_old").eqNullSafe(F.col("status")), "_here", "status_change", F.col("status"), F.concat_ws(" → ", "_old", "status"))
+    gone = F.col("_next").isNotNull() & (F.col("_after").isNull() | (F.col("_after") > F.col("seq") + 1))
+    exit_ = event(gone, "_next", "disappeared_from_roster", F.lit("exited"), F.lit(None))
+    events = seen.select("program_id", "provider_id", F.explode(F.filter(F.array(entry, change, exit_), lambda e: e.isNotNull())).alias("e"))
+    return events.select("program_id", "e.at.seq", "provider_id", "e.event_type", "e.new_status", "e.detail", f"e.at.{time}", "e.at.snapshot_id")
 
 
 def with_event_id(events: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .sizes import broadcast_if_small
+
 
 def recompute_status(entities: DataFrame, events: DataFrame, key: str = "provider_id", status: str = "current_status") -> DataFrame:
     """entities with the status of their last event by (date, event id); without events they keep theirs."""
@@ -21,7 +23,7 @@ def status_asof(events: DataFrame, dates: DataFrame, program: str = "program_id"
     """
     by = Window.partitionBy(program, key).orderBy("event_date", "event_id")
     held = events.withColumn("_to", F.lead("event_date").over(by)).filter("_to is null or _to > event_date")
-    return held.join(F.broadcast(dates), (F.col("event_date") <= F.col("as_of")) & (F.col("_to").isNull() | (F.col("_to") > F.col("as_of")))).groupBy("as_of", program, F.col("new_status").alias("status")).agg(F.count("*").alias("n"))
+    return held.join(broadcast_if_small(dates, 10_000), (F.col("event_date") <= F.col("as_of")) & (F.col("_to").isNull() | (F.col("_to") > F.col("as_of")))).groupBy("as_of", program, F.col("new_status").alias("status")).agg(F.count("*").alias("n"))
 
 
 def net_roster(events: DataFrame, program: str = "program_id", day: str = "event_date") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 from ..functions import parse
 from ..functions.names import normalize_name
 from ..operators import match, merge, quality, reconcile
+from ..operators.sizes import broadcast_if_small
 from ..sources.tables import table
 from .expressions import TABLES
 from .diffs import BASE, chain
@@ -15,7 +16,7 @@ from .registry import query
 
 
 def places(spark, d):
-    return table(spark, d, "customer").join(F.broadcast(table(spark, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey")).join(F.broadcast(table(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    return table(spark, d, "customer").join(broadcast_if_small(table(spark, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey")).join(broadcast_if_small(table(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
 
 
 @query("provider_filter", "SELECT c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA' AND c_mktsegment = 'BUILDING' AND contains(lower(c_name || ' ' || n_name), '#0000')")

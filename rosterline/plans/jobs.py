@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from ..functions import signals
 from ..operators import diff, merge, quality, reconcile, status
+from ..operators.sizes import broadcast_if_small
 
 
 @dataclass
@@ -95,7 +96,7 @@ def resolve_status(programs: DataFrame, bills: DataFrame, configs: DataFrame) ->
     found = F.exists("queries", lambda q: F.lower(F.col("title")).contains(F.lower(q)))
     flat = F.replace(F.lower("identifier"), F.lit(" "), F.lit(""))
     known = F.exists("known_bills", lambda k: flat.contains(F.replace(F.lower(k), F.lit(" "), F.lit(""))))
-    pairs = bills.join(F.broadcast(c), (F.col("state") == F.col("_state")) & (found | known))
+    pairs = bills.join(broadcast_if_small(c), (F.col("state") == F.col("_state")) & (found | known))
     pairs = pairs.withColumns({"way": signals.direction(F.col("title"), F.col("abstract")), "is_enacted": signals.enacted(F.col("latest_action"), F.col("classes")), "has_failed": signals.failed(F.col("latest_action"))})
     pairs = pairs.withColumn("score", signals.relevance(F.col("identifier"), F.col("title"), F.col("is_enacted"), F.col("queries"), F.col("known_bills")))
     rank = F.row_number().over(Window.partitionBy("program_id").orderBy(F.desc("score"), F.desc_nulls_last("action_date"), "bill_id"))
