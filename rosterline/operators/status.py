@@ -82,3 +82,8 @@ def stratified_sample(df: DataFrame, strata: list[str], key: str, least: int = 1
     counted = df.join(df.groupBy(*strata).agg(F.count("*").alias("_n")), strata)
     rank = F.row_number().over(Window.partitionBy(*strata).orderBy(F.sha2(F.concat_ws("|", F.col(key).cast("string"), F.lit(seed)), 256), key))
     return counted.withColumn("_r", rank).filter(F.col("_r") <= F.greatest(F.lit(least), F.ceil(F.col("_n") * share))).drop("_r", "_n")
+
+
+def roster_at(providers: DataFrame, snapshot: str, last: str = "last_seen_snapshot_id") -> DataFrame:
+    """Identifiers and statuses of the providers last seen in a snapshot: the old side of the next diff."""
+    return providers.filter(F.col(last) == snapshot).select("program_id", "provider_id", F.col("current_status").alias("status"))

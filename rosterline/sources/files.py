@@ -90,3 +90,19 @@ def describe_package(tables: Mapping[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def write_bundle(tables: Mapping[str, DataFrame], folder: str, nested: Mapping[str, tuple[str, str]] | None = None) -> None:
+    """Tables as JSON files for a viewer. ``nested`` maps a table to (parent, key): its rows become an array in the parent's."""
+    nested = nested or {}
+    for name, df in tables.items():
+        if name in nested:
+            continue
+        out = df
+        for child, (parent, key) in nested.items():
+            if parent == name:
+                rows = tables[child]
+                rest = [c for c in rows.columns if c != key]
+                arrays = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*rest))).alias(child))
+                out = out.join(arrays, key, "left")
+        out.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/{name}.json")

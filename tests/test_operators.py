@@ -230,3 +230,12 @@ def test_renames_and_match_quality(spark):
     ev = spark.createDataFrame([("p", 2, "A", "disappeared_from_roster"), ("p", 2, "B", "authorized"), ("p", 3, "C", "authorized")], "program_id string, seq int, provider_id string, event_type string")
     nm = spark.createDataFrame([("A", "bee law group"), ("B", "bee law firm"), ("C", "bee law group")], "provider_id string, name string")
     assert [(r["gone"], r["come"], r["similarity"]) for r in match.rename_candidates(ev, nm).collect()] == [("A", "B", 0.5)]
+
+
+def test_bundles_and_rosters(spark, tmp_path):
+    programs = spark.createDataFrame([("p", "P"), ("q", "Q")], "program_id string, name string")
+    providers = spark.createDataFrame([("p", "A", "s2", "active"), ("p", "B", "s1", "exited")], "program_id string, provider_id string, last_seen_snapshot_id string, current_status string")
+    assert [tuple(r) for r in status.roster_at(providers, "s2").collect()] == [("p", "A", "active")]
+    files.write_bundle({"programs": programs, "providers": providers}, str(tmp_path), {"providers": ("programs", "program_id")})
+    back = {r["program_id"]: r["providers"] for r in spark.read.json(str(tmp_path / "programs.json")).collect()}
+    assert [x["provider_id"] for x in back["p"]] == ["A", "B"] and back["q"] is None
