@@ -311,14 +311,15 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Owners are counted by gram with partial sums before the shuffle. A gram whose owners all have the same context (the
     bytes of their windows) needs no sorting: its windows are repeated as a whole. Only distinct contexts of one gram are
     sorted, in a task that holds one bucket at a time. Buckets of more than ``max_bucket`` distinct contexts are solved by
-    counting their windows by hash, which is exact as well and spreads them over all tasks. The join that marks owners has
-    one row a gram on one side, so the runtime can split a hot gram. Contexts and windows are told apart by 128 bits of
+    counting their windows by hash, which is exact as well and spreads them over all tasks. Repeated grams are written as a
+    table, one row a gram, so that the runtime can split a hot gram in the join that marks owners. Contexts and windows are told apart by 128 bits of
     hash.
     """
     rows = docs.select(ident(id_col).alias("nid"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
     rows = rows.select("nid", F.hash("body").alias("t"), F.col("body").cast("binary").alias("body"))
     found = rows.filter(F.octet_length("body") >= length).mapInArrow(_owner_rows(length), _ddl(_OWNERS))
     grams = found.groupBy("key").agg(F.count("*").alias("n"), (F.min("ctx") == F.max("ctx")).alias("pure")).filter("n > 1").select("key", "pure")
+    grams = staged(grams, "grams")
     marked = staged(found.join(grams, "key"), "owners")
     alike = marked.filter("pure").select("nid", "t", (F.col("pos") - F.col("lft")).alias("lo"), (F.col("pos") + F.col("rgt")).alias("hi"))
 
