@@ -37,7 +37,6 @@ SPEAKS = {
 }
 FEATURES = ("kind", "digits", "size", "marks", "plus", "round", "left", "right", "context")
 _CONTEXT = 24  # code points looked at on either side
-_BOUND = 60_000  # more than the product of the features' values that can occur together
 
 
 def luhn(digits: Column) -> Column:
@@ -120,13 +119,13 @@ def train(found: DataFrame, precision: float = 0.9, least: int = 20) -> tuple[tu
 
     A candidate is positive if it holds a match of its kind's base pattern that the base checks accept: the trees learn
     from format and context how likely that is. Candidates are counted by feature vector in Spark; only the counts reach
-    the driver, at most one row for each combination of small integers. Three quarters of the documents fit the trees,
+    the driver, at most one row for each combination of small integers, whatever the size of the corpus. Three quarters of the documents fit the trees,
     the rest calibrates: a kind's threshold is the least score from which on at least ``precision`` of the held-back
     candidates are positive, infinite if fewer than ``least`` are left.
     """
     names = [f"f_{f}" for f in FEATURES]
     cells = found.groupBy((F.pmod(F.xxhash64("nid"), F.lit(4)) == 0).alias("back"), *names).agg(F.count("*").alias("n"), F.sum(F.col("sound").cast("int")).alias("s"))
-    rows = sorted(tuple(r) for r in cells.limit(_BOUND).collect())
+    rows = sorted(tuple(r) for r in cells.collect())
     table = np.array([r[1:] for r in rows], np.float64).reshape(len(rows), len(names) + 2)
     back = np.array([r[0] for r in rows], bool)
     x, n, s = table[:, : len(names)], table[:, -2], table[:, -1]
