@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -24,6 +25,7 @@ FAMILIES = {
 UNKNOWN = "und"
 GRAMS = (1, 2, 3, 4)  # bytes
 BINS = 1 << 12
+_ROWS = 500  # texts that a task turns into Python strings at a time
 _GAP = b"\x20" * 4
 #: Other ASCII characters than letters count as white space.
 _PLAIN = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
@@ -39,7 +41,7 @@ def gram_counts(texts: list[str]) -> Iterator[np.ndarray]:
     at = 0
     while at < len(texts):
         part, size = [], 0
-        while at < len(texts) and size < 1 << 21:
+        while at < len(texts) and size < 1 << 19:
             part.append(texts[at].lower().encode().translate(_PLAIN))
             size += len(part[-1])
             at += 1
@@ -63,20 +65,21 @@ def gram_counts(texts: list[str]) -> Iterator[np.ndarray]:
 def linear_svm(x: np.ndarray, y: np.ndarray, strength: float = 1e-3, steps: int = 120) -> tuple[np.ndarray, float]:
     """Weights and bias of least squared hinge loss, by accelerated gradient steps; y is 1 or -1, both sides weigh the same."""
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
-    x = np.concatenate([x, np.ones((len(x), 1), np.float32)], 1)
-    v = np.random.default_rng(0).normal(size=x.shape[1]).astype(np.float32)
-    for _ in range(10):  # the largest curvature
-        v = x.T @ (weight * (x @ v))
-        top = float(np.linalg.norm(v))
-        v /= max(top, 1e-12)
-    rate, w, momentum = 1 / (2 * top + strength), np.zeros(x.shape[1], np.float32), np.zeros(x.shape[1], np.float32)
+    y = y.astype(np.float32)
+    v, u = np.random.default_rng(0).normal(size=x.shape[1]).astype(np.float32), np.float32(1)
+    for _ in range(10):  # the largest curvature, with the bias as a feature that is always 1
+        r = weight * (x @ v + u)
+        v, u = x.T @ r, r.sum()
+        top = float(np.sqrt(v @ v + u * u))
+        v, u = v / max(top, 1e-12), u / max(top, 1e-12)
+    rate = np.float32(1 / (2 * top + strength))
+    w, bias, ahead, ahead_bias = np.zeros_like(v), np.float32(0), np.zeros_like(v), np.float32(0)
     for k in range(steps):
-        ahead = momentum
-        slack = np.maximum(0, 1 - y * (x @ ahead))
-        new = ahead - rate * (strength * ahead - 2 * (x.T @ (weight * slack * y)))
-        momentum = new + (k / (k + 3)) * (new - w)
-        w = new
-    return w[:-1], float(w[-1])
+        pull = 2 * weight * np.maximum(0, 1 - y * (x @ ahead + ahead_bias)) * y
+        new, new_bias = ahead - rate * (strength * ahead - x.T @ pull), ahead_bias - rate * (strength * ahead_bias - pull.sum())
+        ahead, ahead_bias = new + (k / (k + 3)) * (new - w), new_bias + (k / (k + 3)) * (new_bias - bias)
+        w, bias = new, new_bias
+    return w.astype(np.float32), float(bias)
 
 
 def steepness(margin: np.ndarray, y: np.ndarray) -> float:
@@ -90,9 +93,9 @@ def steepness(margin: np.ndarray, y: np.ndarray) -> float:
 
 
 def fit(x: np.ndarray, langs: list[str]) -> dict:
-    """The model: scale of features, one-versus-rest classifiers of families, one-versus-one classifiers within each."""
+    """The model: scale of features, one-versus-rest classifiers of families, one-versus-one classifiers within each. x is used up."""
     scale = 1 / (x.std(0) + 1e-4)
-    x = x * scale / np.sqrt(x.shape[1])
+    x *= scale / np.sqrt(np.float32(x.shape[1]))
     lang, family = np.array(langs), np.array([family_of(v) for v in langs])
     families = sorted(set(family))
     columns, biases, steep, pairs = [], [], [], []
@@ -139,7 +142,7 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 3000) -> dict | None:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 2000) -> dict | None:
     """Fit the classifiers on about ``sample`` documents, an equal number of each language, chosen by a hash of the identifier.
 
     Only rows with a language, an identifier, a letter and not ``held_out`` are learned from. The sample is the only data
@@ -158,21 +161,24 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     schema = pa.schema([("i", pa.int64()), ("l", pa.string()), ("x", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            vectors = [v.tobytes() for v in gram_counts(batch.column(2).to_pylist())]
+        for batch in (whole.slice(at, _ROWS) for whole in batches for at in range(0, whole.num_rows, _ROWS)):
+            vectors = [zlib.compress(v.tobytes(), 1) for v in gram_counts(batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.string()), pa.array(vectors, pa.binary())], schema=schema)
 
     rows = sorted((tuple(r) for r in chosen.mapInArrow(run, "i long, l string, x binary").collect()), key=lambda r: (r[1], r[0], bytes(r[2])))
     if not rows:
         return None
-    return fit(np.stack([np.frombuffer(bytes(r[2]), np.float32) for r in rows]), [r[1] for r in rows])
+    x, langs = np.empty((len(rows), BINS), np.float32), [r[1] for r in rows]
+    for i in range(len(rows)):
+        x[i], rows[i] = np.frombuffer(zlib.decompress(rows[i][2]), np.float32), None
+    return fit(x, langs)
 
 
 def identify(docs: DataFrame, model: dict | None, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` with ``lang_pred`` and ``lang_score``; columns of these names are replaced.
 
     ``und`` with score 0 if the text is null or has no letter, or if there is no model. A row's result depends on its whole
-    text alone: no shuffle, and a batch's texts are handled two megabytes at a time (longer texts one by one). The model of
+    text alone: no shuffle, and a batch's texts are handled half a megabyte at a time (longer texts one by one). The model of
     a few weights for each bin is part of the task.
     """
     docs = docs.drop("lang_pred", "lang_score")
@@ -182,15 +188,16 @@ def identify(docs: DataFrame, model: dict | None, text_col: str = "text") -> Dat
     schema = T.StructType([*marked.schema.fields, T.StructField("lang_pred", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, letters = batch.column(at).to_pylist(), batch.column(flag).to_pylist()
-            out = [(UNKNOWN, 0.0)] * len(texts)
-            if model is not None:
-                usable = [i for i, x in enumerate(letters) if x]
-                for i, count in zip(usable, gram_counts([texts[i] for i in usable])):
+        for whole in batches:
+            for start in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(start, _ROWS)
+                letters = batch.column(flag).to_pylist()
+                out, usable = [(UNKNOWN, 0.0)] * len(letters), [i for i, x in enumerate(letters) if x and model is not None]
+                texts = batch.column(at).take(pa.array(usable, pa.int32())).to_pylist()
+                for i, count in zip(usable, gram_counts(texts)):
                     out[i] = decide(model, count)
-            langs, scores = pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:flag], scores, langs], names=[*own, "lang_score", "lang_pred"])
+                langs, scores = pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())
+                yield pa.RecordBatch.from_arrays([*batch.columns[:flag], scores, langs], names=[*own, "lang_score", "lang_pred"])
 
     return marked.mapInArrow(run, schema).select(*own, "lang_pred", "lang_score")
 
