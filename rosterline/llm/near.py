@@ -219,12 +219,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = texts.groupBy("s1", "s2").agg(F.min("vid").alias("vid"), F.count("*").alias("n_copies"), F.first("buckets").alias("buckets"))
     placed = nodes.select("vid", F.posexplode("buckets").alias("band", "bucket")).select("vid", F.xxhash64("band", "bucket").alias("key"))
     shared = placed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    placed = staged(placed.join(shared, "key"), "placed")
+    placed = staged(placed.join(staged(shared, "buckets"), "key"), "placed")
 
     busy = placed.groupBy("vid").agg(F.sum("n").alias("degree"))
     words = staged(hashed.select("vid", "words").join(busy.select("vid"), "vid", "left_semi").dropDuplicates(["vid"]), "words")
     ranked = placed.join(busy, "vid")
     hubs = ranked.groupBy("key").agg(F.max(F.struct("degree", F.negative("vid").alias("v"))).alias("top")).select("key", F.negative("top.v").alias("hub"))
+    hubs = staged(hubs, "hubs")
     pairs = placed.join(hubs, "key").filter("vid <> hub").select(F.greatest("vid", "hub").alias("a"), F.least("vid", "hub").alias("b")).distinct()
     both = pairs.join(words.select(F.col("vid").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("vid").alias("b"), F.col("words").alias("wb")), "b")
     links = staged(both.select("a", "b", "wa", "wb").mapInArrow(_verify, "a long, b long"), "verified")
