@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import heapq
 import re
 import zlib
 from array import array
@@ -34,7 +33,7 @@ class Encoder:
     bounded. ``path`` is the vocabulary as ranks.
     """
 
-    def __init__(self, path: str, most: int = 800_000):
+    def __init__(self, path: str, most: int = 400_000):
         import tiktoken
 
         with open(path, "rb") as file:
@@ -97,8 +96,7 @@ def pack(lengths: list[int], capacity: int = SEQUENCE) -> list[tuple[int, int, i
 
     Whole sequences are cut from documents longer than one. What is left goes, in descending length, to the sequence of
     lowest cost that has room for it; a rest that no sequence has room for is cut over those with the most room. As many
-    sequences are opened as the rests fill, so only the room of less than one sequence is left. If the sequences after
-    the first full ones could end at a power of two, that needs no padding either.
+    sequences are opened as the rests fill, so only the room of less than one sequence is left.
     """
     out, rests, opened = [], [], 0
     for doc, n in enumerate(lengths):
@@ -109,36 +107,28 @@ def pack(lengths: list[int], capacity: int = SEQUENCE) -> list[tuple[int, int, i
         if n % capacity:
             rests.append((n % capacity, doc, whole * capacity))
     bins = -(-sum(n for n, _, _ in rests) // capacity)
-    used, costs = [0] * bins, [0.0] * bins
-    heap = [(0.0, b) for b in range(bins)]
+    used, costs = np.zeros(bins, np.int64), np.zeros(bins)
 
     def put(b: int, doc: int, start: int, n: int) -> None:
-        out.append((doc, start, n, opened + b, used[b]))
+        out.append((doc, start, n, opened + b, int(used[b])))
         used[b] += n
         costs[b] += cost(n)
-        if used[b] < capacity:
-            heapq.heappush(heap, (costs[b], b))
 
     homeless = []
     for n, doc, start in sorted(rests, key=lambda r: (-r[0], r[1])):
-        skipped = []
-        while heap and capacity - used[heap[0][1]] < n and len(skipped) < 64:
-            skipped.append(heapq.heappop(heap))
-        if heap and capacity - used[heap[0][1]] >= n:
-            put(heapq.heappop(heap)[1], doc, start, n)
+        b = int(np.argmin(np.where(used + n <= capacity, costs, np.inf)))
+        if used[b] + n <= capacity:
+            put(b, doc, start, n)
         else:
             homeless.append((n, doc, start))
-        for entry in skipped:
-            heapq.heappush(heap, entry)
-    room = sorted((b for _, b in heap), key=lambda b: (used[b] - capacity, b))
-    heap.clear()
+    room = np.argsort(used, kind="stable").tolist()[::-1]
     for n, doc, start in homeless:
         while n:
             b = room[-1]
-            if used[b] == capacity:
+            take = min(n, capacity - int(used[b]))
+            if not take:
                 room.pop()
                 continue
-            take = min(n, capacity - used[b])
             put(b, doc, start, take)
             n, start = n - take, start + take
     return out
