@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, ascii_lower, ident, unident
+from .common import SPACE, ascii_lower, ident, staged, unident
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, min_docs: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -23,8 +23,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of ``docs`` are ignored, whatever their names. Keys are compared by two 64-bit hashes.
 
     Both counts are combined before they are shuffled, the second after the pairs of key and document are distinct, so
-    a line of a third of all documents is one row for each task. The join on hot keys has one row a key on one side;
-    the runtime splits its large partitions on the other.
+    a line of a third of all documents is one row for each task. The hot keys are written as a table, one row a key, so that
+    the runtime can split the large partitions of the lines that are joined to them.
     """
     rows = docs.select(ident(id_col).alias("nid"), F.coalesce(F.col(text_col), F.lit("")).alias("body"), F.struct(*carry).alias("carried") if carry else F.lit(None).alias("carried"))
     rows = rows.select("nid", "carried", F.xxhash64("body").alias("h"), F.split("body", "\n", -1).alias("lines"))
@@ -41,6 +41,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .groupBy("k1", "k2").agg(F.count("*").alias("n_docs"), F.max("nid").alias("keeper"))
         .filter(F.col("n_docs") >= min_docs).select("k1", "k2", "keeper")
     )
+    common = staged(common, "lines")
     drops = (
         keyed.join(common, ["k1", "k2"]).filter(F.col("nid") != F.col("keeper"))
         .groupBy("nid", "h").agg(F.array_sort(F.collect_set("pos")).alias("drops"))
