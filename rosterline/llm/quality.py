@@ -87,9 +87,10 @@ def robust_estimates(vectors: DataFrame) -> DataFrame:
     It starts from medians and absolute deviations of each statistic. A concentration step takes the 75 % of a group's
     vectors that are nearest under the last estimate, and their mean and covariance as the next. The share is found from
     counts of distances in narrow bins; all counts and sums are combined before they are shuffled, so a group may hold
-    most of the rows. Estimates are a row a group.
+    most of the rows. What is joined to vectors is a written table of a row a group.
     """
     centre = vectors.groupBy("g").agg(F.count("*").alias("n"), *[F.percentile_approx(x, 0.5, 2000).alias(f"m{i}") for i, x in enumerate(STATS, 1)])
+    centre = staged(centre, "mcd")
     spread = vectors.join(centre, "g").groupBy("g", "n", *[f"m{i}" for i in range(1, 5)]).agg(
         *[F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, 2000).alias(f"s{i}") for i, x in enumerate(STATS, 1)]
     )
@@ -100,6 +101,7 @@ def robust_estimates(vectors: DataFrame) -> DataFrame:
         counts = near.groupBy("g", "n", "bin").agg(F.count("*").alias("k"))
         so_far = F.sum("k").over(Window.partitionBy("g").orderBy("bin"))
         edge = counts.withColumn("so_far", so_far).filter(F.col("so_far") >= F.ceil(F.col("n") * SHARE)).groupBy("g").agg(F.min("bin").alias("edge"))
+        edge = staged(edge, "mcd")
         core = near.join(edge, "g").filter("bin <= edge")
         means = [F.avg(x).alias(f"m{i}") for i, x in enumerate(STATS, 1)]
         cov = [F.covar_pop(STATS[i - 1], STATS[j - 1]).alias(f"c{i}{j}") for i in range(1, 5) for j in range(1, i + 1)]
@@ -130,6 +132,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ]
     usable = stats.filter(~failed)
     large = usable.groupBy("own").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_GROUP).select("own", F.lit(True).alias("large"))
+    large = staged(large, "groups")
     marked = stats.join(large, "own", "left").withColumn("g", F.when(F.col("large"), F.col("own")).otherwise(F.lit("pooled"))).withColumn("base_failed", failed)
     marked = staged(marked.select("*", *[F.when(~failed, v).alias(x) for x, v in zip(STATS, vector)]).drop("own", "large"), "vectors")
     params = robust_estimates(marked.filter("not base_failed").select("g", *STATS))
