@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ident, unident
+from .common import ident, staged, unident
 
 #: Elements by their part in a page.
 BLOCKS = {
@@ -193,6 +193,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     totals = votes.groupBy("host").agg(F.sum("n").alias("total"))
     won = votes.join(totals, "host").filter(F.col("n") >= least_share * F.col("total"))
     won = won.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct(F.negative("n").alias("n"), "path"))), lambda x: x.path).alias("paths"))
+    won = staged(won, "paths")  # its size is known then: pages are shuffled only if hosts are very many
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
