@@ -23,8 +23,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of ``docs`` are ignored, whatever their names. Keys are compared by two 64-bit hashes.
 
     Both counts are combined before they are shuffled, the second after the pairs of key and document are distinct, so
-    a line of a third of all documents is one row for each task. The hot keys are written as a table, one row a key, so that
-    the runtime can split the large partitions of the lines that are joined to them.
+    a line of a third of all documents is one row for each task. Keys and positions are written once, as hashes. The hot keys
+    are written as a table, one row a key, so that the runtime can split the large partitions of the lines that are joined to
+    them.
     """
     rows = docs.select(ident(id_col).alias("nid"), F.coalesce(F.col(text_col), F.lit("")).alias("body"), F.struct(*carry).alias("carried") if carry else F.lit(None).alias("carried"))
     rows = rows.select("nid", "carried", F.xxhash64("body").alias("h"), F.split("body", "\n", -1).alias("lines"))
@@ -36,6 +37,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .filter(F.length("key") >= min_chars)
         .select("nid", "h", "pos", F.xxhash64("key").alias("k1"), F.xxhash64(F.lit("line"), "key").alias("k2"))
     )
+    keyed = staged(keyed, "keys")  # hashes only; texts are split once for them
     common = (
         keyed.select("k1", "k2", "nid").distinct()
         .groupBy("k1", "k2").agg(F.count("*").alias("n_docs"), F.max("nid").alias("keeper"))
