@@ -35,7 +35,7 @@ SPEAKS = {
     3: ("card", "credit", "visa", "mastercard", "iban", "account", "payment"), 4: ("phone", "tel", "call", "fax", "mobile", "cell", "telephone"),
     5: ("version", "order", "isbn", "id", "no", "section", "figure", "page", "serial", "token", "key", "hash"),
 }
-FEATURES = ("kind", "digits", "size", "marks", "plus", "round", "left", "right", "context")
+FEATURES = ("kind", "digits", "size", "groups", "round", "left", "right", "context")
 _CONTEXT = 24  # code points looked at on either side
 
 
@@ -60,6 +60,36 @@ def _valid(kind: Column, value: Column) -> Column:
     )
 
 
+def _groups(value: Column) -> Column:
+    """The runs of digits in a text."""
+    return F.filter(F.split(value, "[^0-9]+", -1), lambda g: g != "")
+
+
+def _sound(kind: Column, value: Column, before: Column, after: Column, context: Column) -> Column:
+    """The base rules on a loose candidate without the marks that its base pattern demands.
+
+    An email's '(at)' and '(dot)' are read as marks and a card's separators are dropped. Four numbers with other marks than
+    plain dots are an ip if the marks are alike, the row of numbers ends there, and its surroundings speak of hosts or two
+    of the numbers have three digits. Digits without '+' are a phone if they are grouped as one or their surroundings
+    speak of one, and are not a date, four dotted numbers or one number in groups of three.
+    """
+    plain = F.regexp_replace(F.regexp_replace(value, r" ?[(\[{] ?at ?[)\]}] ?", "@"), r" ?[(\[{] ?dot ?[)\]}] ?", ".")
+    email = F.regexp_extract(plain, BASE["email"], 0) != ""
+    parts, marks = _groups(value), F.regexp_replace(value, "[0-9 ]", "")
+    alone = ~before.rlike("[0-9] ?[.,:] ?$") & ~after.rlike("^ ?[.,:] ?[0-9]")
+    likely = (context == 2) | (F.size(F.filter(parts, lambda g: F.length(g) == 3)) >= 2)
+    ip = _valid(F.lit("ip"), F.concat_ws(".", parts)) & (~value.rlike("[ ,:]") | (marks.isin("...", ",,,", ":::") & alone & likely))
+    sizes, last = F.transform(parts, lambda g: F.length(g)), F.length(F.element_at(parts, F.lit(-1)))
+    date = value.rlike(r"^(?:(?:1[5-9]|20)[0-9]{2}[ ./-](?:0?[1-9]|1[0-2])[ ./-](?:0?[1-9]|[12][0-9]|3[01])|(?:0?[1-9]|[12][0-9]|3[01])[ ./-](?:0?[1-9]|[12][0-9]|3[01])[ ./-](?:1[5-9]|20)[0-9]{2})(?![0-9])")
+    number = value.rlike(r"^[0-9]{1,3}(?:\.[0-9]{3})+$") | value.rlike("^[0-9]{1,2}(?: [0-9]{3})+$") | value.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$")
+    marked = value.rlike(r"^(?:\+|00)|[(]")
+    dialled = value.rlike("^0[1-9]") | (F.size(parts).between(3, 4) & (last == 4) & F.exists(sizes, lambda n: n != 4))
+    phone = _valid(F.lit("phone"), value) & ~date & ~number & (marked | (context == 4) | (dialled & (context != 5)))
+    return (
+        F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", _valid(F.lit("card"), value)).otherwise(phone)
+    )
+
+
 def _matches(body: Column, pattern: str, base: bool, kind: str) -> Column:
     """All matches in order: text, length of the piece before it, and what lies on either side.
 
@@ -94,7 +124,7 @@ def candidates(rows: DataFrame) -> DataFrame:
 
 
 def _features(found: DataFrame) -> DataFrame:
-    """Small integers that describe a candidate's format and context; its checks are not among them."""
+    """Small integers that describe a candidate's format and context; its checks and the marks of base patterns are not among them."""
     value, before, after = F.col("value"), F.col("before"), F.lower(F.col("after"))
     digits = F.length(F.regexp_replace(value, "[^0-9]", ""))
     code = F.lit(0)
@@ -105,11 +135,10 @@ def _features(found: DataFrame) -> DataFrame:
     context = F.lit(0)
     for number, said in sorted(SPEAKS.items(), reverse=True):
         context = F.when(near.rlike(r"(?<!\w)(?:" + "|".join(said) + r")(?!\w)"), number).otherwise(context)
-    marks = F.when(value.rlike("@"), 1).when(value.rlike(r"[(\[{]"), 2).when(value.rlike("-"), 3).when(value.rlike(" "), 4).when(value.rlike(r"[.]"), 5).when(value.rlike(r"[,:/_]"), 6).otherwise(0)
     return found.withColumns({
         "f_kind": code, "f_digits": F.when(digits < 8, digits.cast("int") / 4).when(digits < 20, digits - 6).otherwise(14).cast("int"),
         "f_size": F.when(F.length(value) < 12, 0).when(F.length(value) < 16, 1).when(F.length(value) < 20, 2).when(F.length(value) < 40, 3).otherwise(4),
-        "f_marks": marks, "f_plus": value.startswith("+").cast("int"), "f_round": (digits == F.length(value)).cast("int"),
+        "f_groups": F.least(F.size(_groups(value)), F.lit(7)), "f_round": (digits == F.length(value)).cast("int"),
         "f_left": side(F.right(before, F.lit(1))), "f_right": side(F.left(after, F.lit(1))), "f_context": context,
     })
 
@@ -117,8 +146,8 @@ def _features(found: DataFrame) -> DataFrame:
 def train(found: DataFrame, precision: float = 0.9, least: int = 20) -> tuple[tuple, dict[str, float]]:
     """Trees and a threshold for each kind, from all loose candidates (nid, kind, sound, f_*).
 
-    A candidate is positive if it holds a match of its kind's base pattern that the base checks accept: the trees learn
-    from format and context how likely that is. Candidates are counted by feature vector in Spark; only the counts reach
+    A candidate is positive if the base rules accept it once its marks are put aside (``_sound``): the trees learn from
+    format and context how likely that is. Candidates are counted by feature vector in Spark; only the counts reach
     the driver, at most one row for each combination of small integers, whatever the size of the corpus. Three quarters of the documents fit the trees,
     the rest calibrates: a kind's threshold is the least score from which on at least ``precision`` of the held-back
     candidates are positive, infinite if fewer than ``least`` are left.
@@ -143,7 +172,7 @@ def train(found: DataFrame, precision: float = 0.9, least: int = 20) -> tuple[tu
 
 
 def _spans(found: DataFrame) -> DataFrame:
-    """Base matches that pass, and the loose candidates that the trees select and that touch neither them nor each other."""
+    """Base matches that pass, and the loose candidates that are selected and that touch neither them nor each other."""
     by_doc = Window.partitionBy("nid", "h").orderBy("start", "end", F.desc("base"), "kind")
     past, future = by_doc.rowsBetween(Window.unboundedPreceding, -1), by_doc.rowsBetween(1, Window.unboundedFollowing)
     base_end, base_start = F.when(F.col("base"), F.col("end")), F.when(F.col("base"), F.col("start"))
@@ -158,8 +187,9 @@ def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Personal data of each whole text: identifier, n_email, n_ip, n_card, n_phone (base matches), ``base_spans`` and
     ``spans`` (arrays of kind, start and end in code points, by kind as listed, then start).
 
-    Base matches always stay; the trees add loose candidates whose score reaches their kind's threshold and which overlap
-    no base match. See ``train`` for what is learned, from all documents. Null text is empty; rows without candidates have
+    Base matches always stay. Added are loose candidates that overlap no base match and that the base rules accept once
+    their marks are put aside (see ``_sound``), however common or rare they are, and those whose score reaches their kind's
+    threshold. See ``train`` for what is learned, from all documents. Null text is empty; rows without candidates have
     empty arrays; repeated rows are found once and each returned; a null identifier stays null; an empty table gives an
     empty result; other columns are ignored. Places come from running sums over a document's own candidates; texts are
     never shuffled.
@@ -167,18 +197,16 @@ def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = docs.select(ident(id_col).alias("nid"), F.coalesce(F.col(text_col), F.lit("")).alias("body")).withColumn("h", F.xxhash64("body"))
     found = staged(candidates(rows), "candidates")
     base = found.filter("base").filter(_valid(F.col("kind"), F.col("value"))).select("nid", "h", "base", "kind", "start", "end")
-    inner = F.lit("")
-    for kind in KINDS:
-        inner = F.when(F.col("kind") == kind, F.regexp_extract("value", BASE[kind], 0)).otherwise(inner)
-    loose = _features(found.filter("not base").withColumn("inner", inner))
-    loose = loose.withColumn("sound", (F.col("inner") != "") & _valid(F.col("kind"), F.col("inner")))
+    loose = _features(found.filter("not base"))
+    sound = _sound(F.col("kind"), F.col("value"), F.col("before"), F.col("after"), F.col("f_context"))
+    loose = loose.withColumn("sound", sound)
     names = [f"f_{f}" for f in FEATURES]
     loose = staged(loose.select("nid", "h", "base", "kind", "start", "end", "sound", *[F.col(c).cast("int").alias(c) for c in names]), "loose")
     model, thresholds = train(loose, precision)
     least = F.lit(float("inf"))
     for kind in KINDS:
         least = F.when(F.col("kind") == kind, F.lit(thresholds[kind])).otherwise(least)
-    chosen = loose.withColumn("score", score_column(model, names)).filter(F.col("score") >= least).select("nid", "h", "base", "kind", "start", "end")
+    chosen = loose.withColumn("score", score_column(model, names)).filter(F.col("sound") | (F.col("score") >= least)).select("nid", "h", "base", "kind", "start", "end")
     number = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
     span = F.struct(number.alias("order"), "start", "end", "kind", "base")
     per_doc = _spans(base.unionByName(chosen)).groupBy("nid", "h").agg(F.array_sort(F.collect_list(span)).alias("all"))

@@ -67,3 +67,35 @@ def test_the_trees_add_what_looks_like_the_base(spark):
     rows = find_personal(docs, precision=0.8).collect()
     assert sum(x["n_phone"] for x in rows) == 1900
     assert all(len(x["spans"]) <= 1 for x in rows)
+
+
+def luhn_card(r):
+    while True:
+        digits = [r.randint(0, 9) for _ in range(16)]
+        if passes("card", "".join(map(str, digits))):
+            return "".join(map(str, digits))
+
+
+def test_other_forms_are_found_however_common(spark):
+    r = random.Random(9)
+    two = lambda: "".join(r.choices("abcdefgh", k=5))
+    octets = lambda: [str(r.randint(100, 255)) for _ in range(4)]
+    quads = lambda c: [c[i : i + 4] for i in range(0, 16, 4)]
+    phone = lambda: "1 (%03d) 555-%04d" % (r.randint(200, 999), r.randint(0, 9999))
+    usual = {"email": lambda: f"{two()}@{two()}.org", "ip": lambda: ".".join(octets()), "card": lambda: luhn_card(r), "phone": lambda: "+" + phone()}
+    other = {
+        "email": [lambda: f"{two()} (at) {two()} (dot) org", lambda: f"{two()}[at]{two()}[dot]org"], "ip": [lambda: ", ".join(octets()), lambda: ":".join(octets())],
+        "card": [lambda m=m: m.join(quads(luhn_card(r))) for m in "./_"], "phone": [phone, lambda: "0%d %04d %04d" % (r.randint(20, 99), r.randint(0, 9999), r.randint(0, 9999))],
+    }
+    clean = ["on 2024-01-15 and 31.12.2023", "rows 1, 2, 3, 4 and 120, 130, 140, 150, 160", "years 2019 2020 2021", "sums 12.345.678 and 12 345 678", "at 10:15:30:123"]
+    for share in (0.02, 0.25, 0.9):
+        rows, want = [], {}
+        for i in range(1200):
+            kind = r.choice(list(usual))
+            value = r.choice(other[kind])() if r.random() < share else usual[kind]()
+            rows.append((i, f"{two()} {value} {two()}", "v", 0))
+            want[i] = [(kind, 6, 6 + len(value))]
+        rows += [(5000 + i, c, "v", 0) for i, c in enumerate(clean)]
+        got = {x["doc_id"]: [tuple(s) for s in x["spans"]] for x in find_personal(spark.createDataFrame(rows, SCHEMA)).collect()}
+        assert [(rows[i][1], got[i]) for i in want if got[i] != want[i]] == []
+        assert [(c, got[5000 + i]) for i, c in enumerate(clean) if got[5000 + i]] == []
