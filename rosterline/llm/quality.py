@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import log1p, sqrt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -10,13 +12,14 @@ from .common import SPACE, ident, staged, unident, words
 
 SYMBOLS = "#*$%&|<>"
 STATS = ("x1", "x2", "x3", "x4")
-#: Standard deviations that an estimate can't fall below: many texts have no symbol and no repeat at all, and a covariance
-#: of such counts is singular.
-FLOORS = (0.1, 0.35, 0.7, 1.2)
 SHARE = 0.75  # of a group's texts that the estimate rests on
 #: Fixed values for four statistics: the factor that makes the covariance of the central 75 % consistent for normal data,
 #: and the squared distance that one in a million normal vectors exceeds.
 CONSISTENCY, CUT = 1.4866, 33.38
+#: Standard deviations that an estimate can't fall below: many texts have no symbol and no repeat at all, and a covariance
+#: of such counts is singular. Those of repeats come from the least step of a short text: where a group has no repeats, one
+#: short line again (1 of 8 lines and 6 of 75 words, both statistics at once) just stays within the cut.
+FLOORS = (0.1, 0.35, log1p(100 * 6 / 75) / sqrt(CUT / 2), log1p(100 / 8) / sqrt(CUT / 2))
 STEPS = 3
 LEAST_GROUP = 30
 _FINE = 64  # bins of squared distances for each factor of e

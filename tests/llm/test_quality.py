@@ -56,3 +56,19 @@ def test_verdicts(spark):
     assert not any(got[1000 + i]["kept"] or got[1000 + i]["base_failed"] for i in range(5))
     assert all(got[i]["base_failed"] and not got[i]["kept"] for i in (2000, 2001, None))
     assert quality_rules(docs.limit(0)).count() == 0
+
+
+def test_repeats_alone_are_outliers(spark):
+    r = random.Random(11)
+    some = lambda n: ["".join(r.choices("abcdefgh", k=r.randint(4, 7))) for _ in range(n)]
+    lines = lambda w: "\n".join(" ".join(w[i : i + 12]) for i in range(0, len(w), 12))
+    rows = [(i, lines(some(r.randint(100, 600)))) for i in range(400)]
+    for i in range(10):
+        block, few = some(50 + 4 * i), some(60)
+        rows += [(1000 + i, lines(some(170) + block + some(7) + block)), (1100 + i, "\n".join(r.choices(few, k=600)))]
+        one, line = some(3), " ".join(some(3))
+        rows += [(1200 + i, lines(some(20) + one + some(20) + one + some(20))), (1300 + i, "\n".join([line, *[" ".join(some(12)) for _ in range(8)], line]))]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1, "g", "w") for i, t in rows], SCHEMA)
+    got = {x["doc_id"]: x for x in quality_rules(docs).collect()}
+    assert not any(x["base_failed"] for x in got.values())
+    assert [i for i, x in got.items() if x["kept"] != (i < 1000 or i >= 1200)] == []
