@@ -34,65 +34,89 @@ def targets(sizes: list[int], weights: list[float], most: int = MOST_REPEATS) ->
     return out
 
 
-def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, table: int = 1 << 14) -> np.ndarray:
-    """How many documents of each length to take so that their lengths sum to the budget or as near below it as can be found.
-
-    Lengths share the budget in proportion to their counts, rounded down. The rest of the budget is fitted over what is
-    left of each length: from the largest down while the rest is above ``table``, then by a bounded knapsack of ``table``
-    sums that reaches the best sum exactly.
+def _best_sum(lengths: np.ndarray, spare: np.ndarray, rest: int, order: np.ndarray) -> np.ndarray:
+    """How many of each length, at most ``spare``, reach the best sum up to ``rest``: a bounded knapsack over all lengths,
+    in a table of one entry for each multiple of their common divisor. Lengths come in ``order`` until the rest is reached.
     """
-    lengths, counts = np.asarray(lengths, np.int64), np.asarray(counts, np.int64)
-    take = np.zeros(len(lengths), np.int64)
-    total = int((lengths * counts).sum())
-    if total == 0 or budget <= 0:
-        return take
-    take = np.array([int(c) * budget // total for c in counts.tolist()], np.int64)
-    rest = budget - int((lengths * take).sum())
-    order = np.argsort(-lengths, kind="stable")
-    for i in order.tolist():
-        if rest <= table:
-            break
-        n = min(int(counts[i] - take[i]), (rest - table // 2) // int(lengths[i])) if lengths[i] else 0
-        if n > 0:
-            take[i] += n
-            rest -= n * int(lengths[i])
-    rest = max(rest, 0)
-    usable = [i for i in order.tolist() if 0 < lengths[i] <= rest and take[i] < counts[i]]
-    if not rest or not usable or rest > 4 * table:
-        return take
-    # by[s]: the length whose addition first made the sum s, and how many of it were added in that step
-    by = np.full(rest + 1, -1, np.int64)
+    got = np.zeros(len(lengths), np.int64)
+    usable = [i for i in order.tolist() if 0 < lengths[i] <= rest and spare[i] > 0]
+    if not usable:
+        return got
+    unit = int(np.gcd.reduce(lengths[usable]))
+    rest //= unit
+    # by[s]: the step that first made the sum s; a step adds so many of one length
+    by, steps = np.full(rest + 1, -1, np.int32), []
     seen = np.zeros(rest + 1, bool)
     seen[0] = True
     for i in usable:
-        size, spare = int(lengths[i]), int(min(counts[i] - take[i], rest // lengths[i]))
-        step = 1
-        while spare > 0:  # doubling steps: 1, 2, 4, ... copies at a time
-            n = min(step, spare)
-            shift = n * size
-            if shift > rest:
-                n = rest // size
-                shift = n * size
+        size = int(lengths[i]) // unit
+        left, step = min(int(spare[i]), rest // size), 1
+        while left > 0:  # doubling steps: 1, 2, 4, ... copies at a time
+            n = min(step, left)
             new = np.zeros(rest + 1, bool)
-            new[shift:] = seen[:-shift] if shift else seen
+            new[n * size :] = seen[: rest + 1 - n * size]
             new &= ~seen
-            if new.any():
-                at = np.flatnonzero(new)
-                by[at] = i * (1 << 20) + n
-                seen |= new
-            spare -= n
+            by[new] = len(steps)
+            steps.append((i, n))
+            seen |= new
+            left -= n
             step *= 2
         if seen[rest]:
             break
     best = int(np.flatnonzero(seen)[-1])
-    got = take.copy()
     while best:
-        i, n = divmod(int(by[best]), 1 << 20)
+        i, n = steps[by[best]]
         got[i] += n
-        best -= n * int(lengths[i])
+        best -= n * int(lengths[i]) // unit
     return got
 
 
+def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, table: int = 1 << 14, seed: int = 17) -> np.ndarray:
+    """How many documents of each length to take so that their lengths sum to the budget or as near below it as can be found.
+
+    Lengths share the budget in proportion to their counts. Shares are rounded up or down by a seeded systematic draw along
+    the lengths: each is rounded up as often as its fraction says, and the sum misses the budget by no more than about the
+    longest length. That rest is fitted by a bounded knapsack over all that is left, in a seeded order; where it misses the
+    budget, up to 124 of those rounded up are given back by the seed and fitted too. Where that misses as well and the
+    shares rounded down leave at most ``table``, the best sum over those is taken if it is nearer.
+    """
+    lengths, counts = np.asarray(lengths, np.int64), np.asarray(counts, np.int64)
+    total = int((lengths * counts).sum())
+    if total == 0 or budget <= 0:
+        return np.zeros(len(lengths), np.int64)
+    floor = np.array([int(c) * budget // total for c in counts.tolist()], np.int64)
+    part = np.array([int(c) * budget % total / total if size else 0.0 for c, size in zip(counts.tolist(), lengths.tolist())])
+    draw = np.random.default_rng([seed, budget, total])
+    along = np.argsort(lengths, kind="stable")
+    up = np.zeros(len(lengths), np.int64)
+    up[along] = np.diff(np.floor(np.cumsum(part[along]) + draw.random()).astype(np.int64), prepend=0)
+    up = np.minimum(up, counts - floor)
+    over = int((lengths * (floor + up)).sum()) - budget
+    while over > 0:  # the shortest document that makes up for it, or the longest
+        added = np.flatnonzero(up * lengths)
+        enough = added[lengths[added] >= over]
+        i = int(enough[np.argmin(lengths[enough])]) if len(enough) else int(added[np.argmax(lengths[added])])
+        up[i] -= 1
+        over -= int(lengths[i])
+    order = draw.permutation(len(lengths))
+    take, back = floor + up, 0
+    up_again = draw.permutation(np.flatnonzero(up * lengths))
+    fitted = take + _best_sum(lengths, counts - take, -over, order)
+    while int((lengths * fitted).sum()) < budget and back < min(64, len(up_again)):
+        # Little can be added to a small rest: a few of those rounded up are given back, the longer the rest is missed the more.
+        give = up_again[back : 2 * back + 4]
+        back += len(give)
+        take[give] -= up[give]
+        other = take + _best_sum(lengths, counts - take, budget - int((lengths * take).sum()), order)
+        fitted = other if int((lengths * other).sum()) > int((lengths * fitted).sum()) else fitted
+    take = fitted
+    rest = budget - int((lengths * floor).sum())
+    if int((lengths * take).sum()) < budget and rest <= table:
+        other = floor + _best_sum(lengths, counts - floor, rest, order)
+        take = other if int((lengths * other).sum()) > int((lengths * take).sum()) else take
+    return take
+
+
 def mix_sources(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, seed: int = 17,
 ) -> DataFrame:
@@ -132,7 +156,7 @@ def mix_sources(
         size, goal_ = int(pdf["mix_source_size"].iloc[0]), int(round(pdf["mix_target"].iloc[0]))
         rounds, budget = divmod(goal_, size) if size else (0, 0)
         pdf = pdf.sort_values("mix_size", kind="stable")
-        extra = fit_budget(pdf["mix_size"].to_numpy(), pdf["n"].to_numpy(), budget)
+        extra = fit_budget(pdf["mix_size"].to_numpy(), pdf["n"].to_numpy(), budget, seed=seed)
         return pdf.assign(_mix_rounds=rounds, _mix_extra=np.where(pdf["mix_size"] > 0, extra, 0))[list(planned.names)]
 
     planned = T.StructType.fromDDL("_mix_s string, _mix_null boolean, mix_size long, mix_source_size long, mix_target double, _mix_rounds long, _mix_extra long")

@@ -55,3 +55,26 @@ def test_each_source_comes_near_its_target(spark):
         t[3] += x["mix_size"]
     assert all(abs(a - b) <= 1 and c == d for a, b, c, d in by.values())
     assert mix_sources(docs.limit(0)).count() == 0
+
+
+def test_all_lengths_have_their_share():
+    r = random.Random(3)
+    lengths = np.array(sorted(r.sample(range(20, 2000), 280) + r.sample(range(2000, 20000), 70)))
+    counts = np.array([r.choice([1, 1, 1, 2]) for _ in lengths])
+    words = lengths * counts
+    budget = int(words.sum()) * 2 // 5
+    seen = set()
+    for seed in range(20):
+        take = fit_budget(lengths, counts, budget, seed=seed)
+        assert (take <= counts).all() and (take >= 0).all() and int(np.dot(lengths, take)) == budget
+        for part in np.array_split(np.arange(len(lengths)), 5):
+            assert abs(take[part].sum() / counts[part].sum() - 0.4) < 0.12
+        assert take[-25:].sum() < 0.7 * counts[-25:].sum()
+        seen.add(tuple(take.tolist()))
+    assert len(seen) == 20
+
+
+def test_a_rest_of_long_documents_is_fitted():
+    lengths, counts = np.array([3 * 70001, 3 * 90001, 3 * 100003, 3 * 110017]), np.array([1, 1, 1, 1])
+    budget = 3 * (70001 + 100003)
+    assert max(int(np.dot(lengths, fit_budget(lengths, counts, budget, seed=s))) for s in range(20)) == budget
