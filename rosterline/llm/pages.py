@@ -29,6 +29,8 @@ HINTS_AWAY = re.compile(
     r"|newsletter|notice|pager|pagination|popup|promo\w*|related|recommend\w*|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[-_ ])"
 )
 HINTS_MAIN = re.compile(r"(?:^|[-_ ])(?:article|body|content|entry|main|page|post|story|text)(?:$|[-_ ])")
+#: Names of what holds an article whole, other than those that are common on wrappers of a page.
+HINTS_ARTICLE = re.compile(r"(?:^| )(?:article|entry|post|story)(?:$|[-_ ])")
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _CLASS = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -36,15 +38,16 @@ _DIGITS = re.compile(r"\d+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "away", "parent", "main")
+    __slots__ = ("tag", "path", "away", "parent", "main", "article", "titled")
 
     def __init__(self, tag: str, names: str, parent: "Element | None"):
         kept = ".".join(sorted({_DIGITS.sub("#", n) for n in names.split()}))
         step = f"{tag}.{kept}" if kept else tag
-        self.tag, self.parent = tag, parent
+        self.tag, self.parent, self.titled = tag, parent, False
         self.path = f"{parent.path}/{step}" if parent else step
         self.away = bool(parent and parent.away) or tag in AWAY or bool(names and tag not in ("body", "html", "main", "article") and HINTS_AWAY.search(names.lower()))
         self.main = tag in ("article", "main") or bool(names and HINTS_MAIN.search(names.lower()))
+        self.article = bool(names and HINTS_ARTICLE.search(names.lower()))
 
 
 def blocks(page: str) -> list[tuple[str, int, Element]]:
@@ -60,9 +63,11 @@ def blocks(page: str) -> list[tuple[str, int, Element]]:
         if text:
             joined = " ".join(html.unescape("".join(text)).split())
             if joined:
-                holder = stack[-1]
+                holder, titled = stack[-1], False
                 while holder.parent and holder.tag not in CONTAINERS and holder.tag not in AWAY and not holder.away:
+                    titled = titled or holder.tag in ("h1", "h2")
                     holder = holder.parent
+                holder.titled = holder.titled or titled
                 out.append((joined, linked, holder))
         text, linked = [], 0
 
@@ -143,26 +148,43 @@ def best_path(found: list[tuple[str, int, Element]]) -> tuple[str, float] | None
     return max(ranked.items(), key=lambda x: (x[1], -len(x[0]), x[0])) if ranked else None
 
 
+def _outermost(found: Element, direct: set[Element]) -> Element:
+    """The highest container around a found one that the article takes up: an article or main element, one whose names say
+    that it holds the article, one with text of its own beside the containers in it, or a body with a heading of its own.
+    """
+    out, at = found, found.parent
+    while at is not None:
+        if at.tag in ("body", "html"):
+            belongs = at.titled and at in direct
+        else:
+            belongs = at.tag in ("article", "main") or at.article or (at in direct and at.tag in CONTAINERS)
+        out, at = at if belongs else out, at.parent
+    return out
+
+
 def main_text(page: str, winners: list[str]) -> tuple[str, str]:
-    """The text of the first winning path that the page has, else of its own best one; and that path."""
+    """The text of the first winning path that the page has, else of its own best one; and the path of what it came from.
+
+    What is taken is the outermost container of the article around that path, so that a title, a lead or a section beside
+    a nested container stays.
+    """
     found = blocks(page)
     own = [x for x in found if not x[2].away]
+    direct = {holder for text, linked, holder in own if len(text) > 2 * linked}
 
-    def inside(path: str) -> list[str]:
-        out = []
-        for text, _, holder in own:
-            at = holder
-            while at is not None and at.path != path:
-                at = at.parent
-            if at is not None:
-                out.append(text)
-        return out
+    def around(holder: Element) -> Iterator[Element]:
+        at: Element | None = holder
+        while at is not None:
+            yield at
+            at = at.parent
 
     best = best_path(found)
     for path in [*winners, *([best[0]] if best else [])]:
-        texts = inside(path)
-        if texts:
-            return "\n".join(texts), path
+        places = {at for _, _, holder in own for at in around(holder) if at.path == path}
+        if places:
+            whole = {_outermost(at, direct) for at in places}
+            inside = [(text, top) for text, _, holder in own for top in [next((at for at in around(holder) if at in whole), None)] if top is not None]
+            return "\n".join(text for text, _ in inside), inside[0][1].path
     return "\n".join(text for text, _, _ in own), ""
 
 
@@ -171,7 +193,8 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
 
     Each page's containers are scored and its best one is a vote for its path of tags and classes, with digits
     generalised. Votes are counted by host with partial sums; paths with ``least_share`` of a host's votes win, most votes
-    first. Each page is then read again by its host's winning paths, and by its own best path if it has none of them.
+    first. Each page is then read again by its host's winning paths, and by its own best path if it has none of them, each
+    with what its article holds beside them (see ``main_text``).
 
     Null html is empty and gives an empty text; a page without host has the host ''. One row out for each row in,
     repeated ones too; an empty table gives an empty result; other columns are ignored. What is joined to pages is one row

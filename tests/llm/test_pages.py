@@ -33,3 +33,19 @@ def test_hosts_agree(spark):
     assert all(got[i] == [WANT] for i in range(5)) and got[None] == [WANT] * 2
     assert got[10] == ["Short."] and got[9][0].startswith("A long box") and got[11] == [""] and got[12] == ["text"]
     assert extract_main_text(docs.limit(0)).count() == 0
+
+
+def test_text_beside_nested_containers_stays(spark):
+    long = "A sentence of the article that is long enough to count for much. " * 20
+    want = lambda *parts: "\n".join(" ".join(p.split()) for p in parts)
+    shapes = {
+        "a": (f"<article><h1>Title</h1><p>Lead here.</p><div class='entry-content'><p>{long}</p></div></article>", want("Title", "Lead here.", long)),
+        "b": (f"<article><section class='intro'><p>Short one.</p></section><section class='details'><p>{long}</p></section></article>", want("Short one.", long)),
+        "c": (f"<div class='post'><div class='top'><h1>Title</h1></div><div class='text'><p>{long}</p></div></div>", want("Title", long)),
+        "d": (f"<div class='x'><h1>Title</h1><p>Lead here.</p><div><p>{long}</p></div></div>", want("Title", "Lead here.", long)),
+        "e": (f"<h1>Title</h1><p>Lead here.</p><div><p>{long}</p></div>", want("Title", "Lead here.", long)),
+    }
+    rows = [(i, f"https://{k}.org/{i}", f"<html><body><nav><a href='/'>Home</a></nav>{page}<footer>us</footer></body></html>", "x", 1) for k, (page, _) in shapes.items() for i in range(3)]
+    got = extract_main_text(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(got) == len(rows)
+    assert [(r["url"], r["text"][:60]) for r in got if r["text"] != shapes[r["url"][8]][1]] == []
