@@ -25,9 +25,13 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 #: What a start tag closes: paragraphs end at any block, items and cells at the next one.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
 HINTS_AWAY = re.compile(
-    r"(?:^|[-_ ])(?:ad|ads|advert\w*|banner|breadcrumb\w*|comments?|respond|reply|replies|cookie\w*|consent|copyright|footer|header|masthead|menu|modal|nav\w*"
-    r"|newsletter|notice|pager|pagination|popup|promo\w*|related|recommend\w*|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[-_ ])"
+    r"(?:^|[-_])(?:ad|ads|advert\w*|banner|breadcrumb\w*|comments?|respond|reply|replies|cookie\w*|consent|copyright|footer|header|masthead|menu|modal|nav\w*"
+    r"|newsletter|notice|pager|pagination|popup|promo\w*|related|recommend\w*|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[-_])"
 )
+#: Words that begin the name of a page's layout ("with-sidebar", "no-menu"), which says nothing about the element itself;
+#: and names of what readers add, which may be longer than the article.
+LAYOUT = re.compile(r"(?:with|without|no|not|has|have|hide|show|is|wide|fixed|sticky|full)[-_]")
+HINTS_READERS = re.compile(r"(?:^|[-_])(?:comments?|respond|reply|replies)(?:$|[-_])")
 HINTS_MAIN = re.compile(r"(?:^|[-_ ])(?:article|body|content|entry|main|page|post|story|text)(?:$|[-_ ])")
 #: Names of what holds an article whole, other than those that are common on wrappers of a page.
 HINTS_ARTICLE = re.compile(r"(?:^| )(?:article|entry|post|story)(?:$|[-_ ])")
@@ -38,18 +42,55 @@ _DIGITS = re.compile(r"\d+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "away", "parent", "main", "article", "titled")
+    __slots__ = ("tag", "path", "away", "parent", "main", "article", "titled", "hinted", "readers")
 
     def __init__(self, tag: str, names: str, parent: "Element | None"):
         kept = ".".join(sorted({_DIGITS.sub("#", n) for n in names.split()}))
         step = f"{tag}.{kept}" if kept else tag
         self.tag, self.parent, self.titled = tag, parent, False
         self.path = f"{parent.path}/{step}" if parent else step
-        self.away = bool(parent and parent.away) or tag in AWAY or bool(names and tag not in ("body", "html", "main", "article") and HINTS_AWAY.search(names.lower()))
+        hints = [n for n in names.lower().split() if HINTS_AWAY.search(n) and not LAYOUT.match(n)] if tag not in ("body", "html", "main", "article") else []
+        self.hinted, self.readers = bool(hints), any(HINTS_READERS.search(n) for n in hints)
+        self.away = bool(parent and parent.away) or tag in AWAY or self.hinted
         self.main = tag in ("article", "main") or bool(names and HINTS_MAIN.search(names.lower()))
         self.article = bool(names and HINTS_ARTICLE.search(names.lower()))
 
 
+def _chain(at: Element | None) -> Iterator[Element]:
+    """An element and those around it, innermost first."""
+    while at is not None:
+        yield at
+        at = at.parent
+
+
+def _reconsider(found: list[tuple[str, int, Element]], made: list[Element]) -> None:
+    """Take back hints of names that can't be right: on an element, other than of readers' texts, with most of a page's text
+    without links; around the largest article or main element, if it has more text than all that is not away; and all of
+    them, if they leave nothing. Elements away by their tag stay away."""
+    worth: dict[Element, int] = {}
+    total = kept = 0
+    for text, linked, holder in found:
+        w = len(text) - min(len(text), 2 * linked)
+        chain = list(_chain(holder))
+        if w <= 0 or any(at.tag in AWAY for at in chain):
+            continue
+        total += w
+        kept += 0 if holder.away else w
+        for at in chain:
+            if at.hinted or at.tag in ("article", "main"):
+                worth[at] = worth.get(at, 0) + w
+    wrong = {at for at, w in worth.items() if at.hinted and not at.readers and 2 * w > total}
+    whole = max((at for at in worth if at.tag in ("article", "main")), key=lambda at: worth[at], default=None)
+    if whole is not None and whole.away and worth[whole] > kept:
+        wrong |= {at for at in _chain(whole) if at.hinted}
+    for taken_back in (wrong, None):
+        for at in made:
+            at.hinted = at.hinted and taken_back is not None and at not in taken_back
+            at.away = bool(at.parent and at.parent.away) or at.tag in AWAY or at.hinted
+        if not total or any(not holder.away and len(text) > 2 * linked for text, linked, holder in found):
+            break
+
+
 def blocks(page: str) -> list[tuple[str, int, Element]]:
     """The page's text blocks in order: text, characters of it inside links, and the container that holds it.
 
@@ -57,6 +98,7 @@ def blocks(page: str) -> list[tuple[str, int, Element]]:
     """
     root = Element("html", "", None)
     stack, out, text, linked, at, link = [root], [], [], 0, 0, 0
+    made = [root]
 
     def flush() -> None:
         nonlocal text, linked
@@ -120,7 +162,10 @@ def blocks(page: str) -> list[tuple[str, int, Element]]:
                 stack.pop()
             names = " ".join(m[2] or m[3] or m[4] or "" for m in _CLASS.finditer(attributes)) if attributes.strip() else ""
             stack.append(Element(tag, names, stack[-1]))
+            made.append(stack[-1])
     flush()
+    if any(x.hinted for x in made):
+        _reconsider(out, made)
     return out
 
 
@@ -172,18 +217,12 @@ def main_text(page: str, winners: list[str]) -> tuple[str, str]:
     own = [x for x in found if not x[2].away]
     direct = {holder for text, linked, holder in own if len(text) > 2 * linked}
 
-    def around(holder: Element) -> Iterator[Element]:
-        at: Element | None = holder
-        while at is not None:
-            yield at
-            at = at.parent
-
     best = best_path(found)
     for path in [*winners, *([best[0]] if best else [])]:
-        places = {at for _, _, holder in own for at in around(holder) if at.path == path}
+        places = {at for _, _, holder in own for at in _chain(holder) if at.path == path}
         if places:
             whole = {_outermost(at, direct) for at in places}
-            inside = [(text, top) for text, _, holder in own for top in [next((at for at in around(holder) if at in whole), None)] if top is not None]
+            inside = [(text, top) for text, _, holder in own for top in [next((at for at in _chain(holder) if at in whole), None)] if top is not None]
             return "\n".join(text for text, _ in inside), inside[0][1].path
     return "\n".join(text for text, _, _ in own), ""
 

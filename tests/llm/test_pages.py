@@ -49,3 +49,17 @@ def test_text_beside_nested_containers_stays(spark):
     got = extract_main_text(spark.createDataFrame(rows, SCHEMA)).collect()
     assert len(got) == len(rows)
     assert [(r["url"], r["text"][:60]) for r in got if r["text"] != shapes[r["url"][8]][1]] == []
+
+
+def test_names_of_layouts_do_not_hide_the_article():
+    long = "A sentence of the article that is long enough to count for much. " * 20
+    said = "A reader says more than the article itself does. " * 60
+    around = "<nav>Menu</nav><div class='%s'><article><h1>Title</h1><p>" + long + "</p></article><div class='left-sidebar'><p>Beside.</p></div></div>"
+    want = "Title\n" + " ".join(long.split())
+    for names in ("content with-sidebar", "no-sidebar", "page has-menu", "wide-nav", "fixed-header", "sidebar-right", "page-header"):
+        for rest in ("<footer>us</footer>", f"<div id='comments'><p>{said}</p></div>"):
+            assert main_text(f"<html><body>{around % names}{rest}</body></html>", [])[0] == want, names
+    assert main_text(f"<div class='menu'><p>{long}</p></div>", [])[0] == " ".join(long.split())
+    assert main_text(f"<div class='comments'><p>{said}</p></div><nav>x</nav>", [])[0] == " ".join(said.split())
+    related = f"<div class='related'><article><p>Another text.</p></article></div><div class='site-header'><p>Us.</p></div>"
+    assert main_text(f"<body><div class='post'><p>{long}</p></div>{related}<div class='post-comments'><p>{said}</p></div></body>", [])[0] == " ".join(long.split())
