@@ -44,14 +44,17 @@ def n_words(col: Column) -> Column:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A folder that the driver and all executors share, one for each session.
+    """A folder that the driver and all executors share, one for each application.
 
-    It lies in spark.checkpoint.dir. Where that is unset, as in tests on one machine, a temporary folder is used.
+    It lies in spark.checkpoint.dir. Where that is unset, a temporary folder is used if the master is local, as in tests;
+    on a cluster that is an error, since executors would not see each other's files.
     """
-    key = id(spark.sparkContext)
+    key = spark.sparkContext.applicationId
     if key not in _roots:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             base = "file://" + tempfile.mkdtemp(prefix="spark-stage-")
         _roots[key] = f"{base.rstrip('/')}/stage-{uuid.uuid4().hex}"
         atexit.register(_remove, spark, _roots[key])
@@ -59,7 +62,7 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def _remove(spark: SparkSession, path: str) -> None:
-    """Best effort at exit: the session may be gone by then."""
+    """Best effort: at exit the session may be gone."""
     try:
         jvm = spark.sparkContext._jvm
         where = jvm.org.apache.hadoop.fs.Path(path)
@@ -73,4 +76,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove tables that ``staged`` returned and that nothing will read again."""
+    for table in tables:
+        _remove(table.sparkSession, table._staged_at)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import release, staged
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -27,12 +27,16 @@ def components(links: DataFrame) -> DataFrame:
     """Rows (node, root) for each node of links (a, b) that isn't the least of its component; root is the least.
 
     All state stays in tables: a step is a partial minimum by node and a join that has one row a node on one side, so a
-    node with very many links is split at run time. Nothing but a checksum of each step reaches the driver.
+    node with very many links is split at run time. A step's table is removed once the next one is written; the result's can be given to ``release``. Nothing but a
+    checksum of each step reaches the driver.
     """
     links, seen = staged(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"), None
     while True:
         mark = tuple(links.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first())
         if mark == seen:
-            return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = mark
-        links = staged(_star(_star(links, True), False), "links")
+            out = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            out._staged_at = links._staged_at
+            return out
+        seen, last = mark, links
+        links = staged(_star(_star(last, True), False), "links")
+        release(last)
