@@ -256,11 +256,11 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, block: int) -> DataFra
 
     placed = nodes.select("vid", "size", F.explode("buckets").alias("key"))
     shared = staged(placed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "buckets")
-    placed = staged(placed.join(shared, "key"), "placed")
+    placed = staged(placed.join(shared.hint("merge"), "key"), "placed")
     degree = placed.groupBy("vid").agg(F.sum("n").alias("degree"))
     busy = staged(nodes.join(degree, "vid").select("s1", "s2", ident("least").alias("nid"), "vid", "degree"), "busy")
     # Only texts that share a bucket are compared; copies of them under other identifiers drop out in the join.
-    words = texts.withColumn("nid", ident("id")).join(busy, ["s1", "s2", "nid"]).select("vid", "words").dropDuplicates(["vid"])
+    words = texts.withColumn("nid", ident("id")).join(busy.hint("merge"), ["s1", "s2", "nid"]).select("vid", "words").dropDuplicates(["vid"])
     words = staged(words, "words")
 
     hubs = placed.join(busy.select("vid", "degree"), "vid").groupBy("key").agg(F.max(F.struct("degree", F.negative("vid").alias("v"))).alias("top"))
@@ -270,7 +270,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, block: int) -> DataFra
     parts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
     heads = parts.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("member"), F.col("hub").alias("vid"))
     members = pairs.join(parts, "hub").select("hub", F.pmod(F.xxhash64("vid"), F.col("parts")).cast("int").alias("part"), F.lit(True).alias("member"), "vid")
-    faced = heads.unionByName(members).join(words, "vid").select("hub", "part", "member", "vid", "words")
+    faced = heads.unionByName(members).hint("merge").join(words, "vid").select("hub", "part", "member", "vid", "words")
     links = staged(faced.repartition("hub", "part").sortWithinPartitions("hub", "part", "member").mapInArrow(_verify, "a long, b long"), "verified")
     release(pairs, hubs, shared)
 
@@ -294,7 +294,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, block: int) -> DataFra
         .select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "vid", "label")
     )
     more = (
-        dealt.join(words, "vid").select("key", "x", "y", "vid", "label", "words").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+        dealt.hint("merge").join(words, "vid").select("key", "x", "y", "vid", "label", "words").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
         .mapInArrow(_solve_rows, "a long, b long")
     )
     more = staged(more, "verified")
@@ -323,7 +323,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cut or capped.
 
     Words are written once with the sketches. What is compared is joined to them by identifier, and each text goes once to
-    each text or bucket that it faces. Tables are removed when nothing reads them again.
+    each text or bucket that it faces. Both sides of these joins grow with the corpus, so they are sort-merge joins at any
+    size. Tables are removed when nothing reads them again.
 
     Null text counts as empty; documents without words are copies of each other. Texts of fewer than five words are
     linked if equal. Equal similarities need no order: every link joins. Rows that share an identifier are compared by
