@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ident, staged, unident
+from .common import ident, release, staged, unident
 
 GRAM = 32
 _STEP = 1 << 19  # windows hashed at a time
@@ -190,10 +190,10 @@ def _views(batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets[1:] - offsets[0]
 
 
-_OWNERS = pa.schema([("nid", pa.int64()), ("t", pa.int32()), ("pos", pa.int32()), ("lft", pa.int32()), ("rgt", pa.int32()), ("key", pa.int64()), ("ctx", pa.int64())])
-_CONTEXTS = pa.schema([("nid", pa.int64()), ("t", pa.int32()), ("pos", pa.int32()), ("lft", pa.int32()), ("key", pa.int64()), ("n", pa.int64()), ("body", pa.binary())])
-_WINDOWS = pa.schema([("nid", pa.int64()), ("t", pa.int32()), ("pos", pa.int32()), ("a", pa.int32()), ("n", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64())])
-_SPANS = pa.schema([("nid", pa.int64()), ("t", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32())])
+_OWNERS = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("pos", pa.int32()), ("lft", pa.int32()), ("rgt", pa.int32()), ("key", pa.int64()), ("ctx", pa.int64())])
+_CONTEXTS = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("pos", pa.int32()), ("lft", pa.int32()), ("key", pa.int64()), ("n", pa.int64()), ("body", pa.binary())])
+_WINDOWS = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("pos", pa.int32()), ("a", pa.int32()), ("n", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64())])
+_SPANS = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
 
 
 def _ddl(schema: pa.Schema) -> str:
@@ -268,11 +268,11 @@ def _span_rows(length: int):
 def _window_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for nid, t, pos, left, key, n, body in zip(*(c.to_pylist() for c in batch.columns)):
+            for k1, k2, pos, left, key, n, body in zip(*(c.to_pylist() for c in batch.columns)):
                 digests = [xxhash.xxh3_128_intdigest(body[i : i + length]) for i in range(len(body) - length + 1)]
                 m = len(digests)
                 words = np.array([(d & (2**64 - 1), d >> 64) for d in digests], np.uint64).view(np.int64)
-                yield _batch(_WINDOWS, [nid] * m, [t] * m, [pos] * m, np.arange(left, left - m, -1).astype(np.int32), [n] * m, words[:, 0], words[:, 1])
+                yield _batch(_WINDOWS, [k1] * m, [k2] * m, [pos] * m, np.arange(left, left - m, -1).astype(np.int32), [n] * m, words[:, 0], words[:, 1])
 
     return run
 
@@ -300,6 +300,24 @@ def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(_KEPT, *zip(*rows))
 
 
+def _apart(counted: DataFrame, share: int = 10_000) -> tuple[DataFrame, DataFrame]:
+    """Rows of a written table with a count ``n``: those that hold more than one part in ``share`` of the sum, and the others.
+
+    The first are fewer than ``share``, whatever the corpus, so they can be broadcast; a join with the others has no hot key.
+    """
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    much = F.col("n") > total / share
+    return counted.filter(much), counted.filter(~much)
+
+
+def _keep_counted(left: DataFrame, counted: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of ``left`` whose keys are in the written table ``counted``, with its other columns but n; no key is hot in the shuffle."""
+    hot, rest = _apart(counted)
+    other = [c for c in counted.columns if c not in keys and c != "n"]
+    direct = left.join(F.broadcast(hot.select(*keys, *other)), keys)
+    return direct.unionByName(left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest.select(*keys, *other), keys))
+
+
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, max_bucket: int = 40_000) -> DataFrame:
     """Remove each byte that a string of ``length`` bytes covers which also starts anywhere else, in the same text or another.
 
@@ -308,43 +326,45 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows; repeated rows repeat each other; a null identifier stays null; an empty table gives an empty result; other
     columns are ignored.
 
-    Owners are counted by gram with partial sums before the shuffle. A gram whose owners all have the same context (the
-    bytes of their windows) needs no sorting: its windows are repeated as a whole. Only distinct contexts of one gram are
-    sorted, in a task that holds one bucket at a time. Buckets of more than ``max_bucket`` distinct contexts are solved by
-    counting their windows by hash, which is exact as well and spreads them over all tasks. Repeated grams are written as a
-    table, one row a gram, so that the runtime can split a hot gram in the join that marks owners. Contexts and windows are told apart by 128 bits of
-    hash.
+    Rows are told apart by 128 bits of hash over identifier and text, as are contexts and windows. Owners are found once
+    and written; they are counted by gram with partial sums before the shuffle. A gram whose owners all have the same
+    context (the bytes of their windows) needs no sorting: its windows are repeated as a whole. Only distinct contexts of
+    one gram are sorted, in a task that holds one bucket at a time. Buckets of more than ``max_bucket`` distinct contexts
+    are solved by counting their windows by hash, which is exact as well and spreads them over all tasks. Grams and
+    contexts that hold over one owner in 10,000, of which there are at most 10,000, are joined by broadcast, so that no
+    task gets the owners of a hot one.
     """
     rows = docs.select(ident(id_col).alias("nid"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    rows = rows.select("nid", F.hash("body").alias("t"), F.col("body").cast("binary").alias("body"))
-    found = rows.filter(F.octet_length("body") >= length).mapInArrow(_owner_rows(length), _ddl(_OWNERS))
-    grams = found.groupBy("key").agg(F.count("*").alias("n"), (F.min("ctx") == F.max("ctx")).alias("pure")).filter("n > 1").select("key", "pure")
+    rows = rows.select("nid", F.xxhash64("nid", "body").alias("k1"), F.xxhash64("body", "nid").alias("k2"), F.col("body").cast("binary").alias("body"))
+    found = staged(rows.filter(F.octet_length("body") >= length).select("k1", "k2", "body").mapInArrow(_owner_rows(length), _ddl(_OWNERS)), "owners")
+    grams = found.groupBy("key").agg(F.count("*").alias("n"), (F.min("ctx") == F.max("ctx")).alias("pure")).filter("n > 1")
     grams = staged(grams, "grams")
-    marked = staged(found.join(grams, "key"), "owners")
-    alike = marked.filter("pure").select("nid", "t", (F.col("pos") - F.col("lft")).alias("lo"), (F.col("pos") + F.col("rgt")).alias("hi"))
+    marked = staged(_keep_counted(found, grams, ["key"]), "marked")
+    release(found, grams)
+    alike = marked.filter("pure").select("k1", "k2", (F.col("pos") - F.col("lft")).alias("lo"), (F.col("pos") + F.col("rgt")).alias("hi"))
 
-    mixed = marked.filter("not pure")
-    place = F.struct("nid", "t", "pos", "lft", "rgt")
+    mixed = marked.filter("not pure").drop("pure")
+    place = F.struct("k1", "k2", "pos", "lft", "rgt")
     contexts = mixed.groupBy("key", "ctx").agg(F.count("*").alias("n"), F.min(place).alias("at"))
     contexts = staged(contexts.select("key", "ctx", "n", "at.*"), "contexts")
-    many = contexts.filter("n > 1").select("key", "ctx")
-    copied = mixed.join(many, ["key", "ctx"]).select("nid", "t", (F.col("pos") - F.col("lft")).alias("lo"), (F.col("pos") + F.col("rgt")).alias("hi"))
+    many = staged(contexts.filter("n > 1").select("key", "ctx", "n"), "copied")
+    copied = _keep_counted(mixed, many, ["key", "ctx"]).select("k1", "k2", (F.col("pos") - F.col("lft")).alias("lo"), (F.col("pos") + F.col("rgt")).alias("hi"))
 
-    places = contexts.groupBy("nid", "t").agg(F.collect_list(F.struct("key", "n", "pos", "lft", "rgt")).alias("places"))
-    bodies = rows.join(places, ["nid", "t"]).mapInArrow(_context_rows, _ddl(_CONTEXTS))
-    hot = contexts.groupBy("key").count().filter(F.col("count") > max_bucket).select("key")
+    places = contexts.groupBy("k1", "k2").agg(F.collect_list(F.struct("key", "n", "pos", "lft", "rgt")).alias("places"))
+    bodies = rows.join(places, ["k1", "k2"]).select("k1", "k2", "body", "places").mapInArrow(_context_rows, _ddl(_CONTEXTS))
     bodies = staged(bodies, "bodies")
-    sorted_ = bodies.join(hot, "key", "left_anti").select(*_CONTEXTS.names).repartition("key").sortWithinPartitions("key", "nid", "t", "pos").mapInArrow(_span_rows(length), _ddl(_SPANS))
+    hot = staged(contexts.groupBy("key").count().filter(F.col("count") > max_bucket).select("key"), "hot")
+    sorted_ = bodies.join(hot, "key", "left_anti").select(*_CONTEXTS.names).repartition("key").sortWithinPartitions("key", "k1", "k2", "pos").mapInArrow(_span_rows(length), _ddl(_SPANS))
 
     windows = bodies.join(hot, "key", "left_semi").select(*_CONTEXTS.names).mapInArrow(_window_rows(length), _ddl(_WINDOWS))
     often = windows.groupBy("w1", "w2").agg(F.sum("n").alias("total")).filter("total > 1").select("w1", "w2")
     counted = (
-        windows.filter("n = 1").join(often, ["w1", "w2"]).groupBy("nid", "t", "pos").agg(F.min("a").alias("least"), F.max("a").alias("most"))
-        .select("nid", "t", (F.col("pos") - F.col("most")).alias("lo"), (F.col("pos") - F.col("least") + length).alias("hi"))
+        windows.filter("n = 1").join(often, ["w1", "w2"]).groupBy("k1", "k2", "pos").agg(F.min("a").alias("least"), F.max("a").alias("most"))
+        .select("k1", "k2", (F.col("pos") - F.col("most")).alias("lo"), (F.col("pos") - F.col("least") + length).alias("hi"))
     )
     spans = alike.unionByName(copied).unionByName(sorted_).unionByName(counted)
-    spans = spans.groupBy("nid", "t").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    kept = rows.join(spans, ["nid", "t"], "left").select("nid", "t", "body", "spans").mapInArrow(
+    spans = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    kept = rows.join(spans, ["k1", "k2"], "left").select("nid", "k1", "body", "spans").mapInArrow(
         _kept_rows, "nid long, n_bytes long, n_removed long, n_spans long, kept binary"
     )
     return kept.withColumnRenamed("nid", id_col).withColumn(id_col, unident(id_col))

@@ -62,6 +62,25 @@ def test_repeated_rows_null_ids_and_an_empty_table(spark):
     assert suffix_dedup(docs.limit(0)).count() == 0
 
 
+def test_texts_whose_short_hashes_collide_stay_apart(spark):
+    many = spark.range(400_000).select(F.concat(F.lit("w"), F.sha2(F.col("id").cast("string"), 512), F.sha2((F.col("id") + 1).cast("string"), 512), F.col("id")).alias("body"))
+    h = F.hash("body")
+    pair = many.join(many.groupBy(h.alias("h")).count().filter("count > 1").limit(3), h == F.col("h")).select("body").limit(2).collect()
+    a, b = (r["body"] for r in pair)
+    docs = spark.createDataFrame([(None, a, "s", "x", 1), (None, b + b[:150], "s", "x", 1), (4, b[:120], "s", "x", 1), (4, "z" * 130, "s", "x", 1)], SCHEMA)
+    got = sorted(tuple(r)[1:4] for r in suffix_dedup(docs, length=100).collect())
+    assert got == sorted(x[:3] for x in brute([a, b + b[:150], b[:120], "z" * 130], 100))
+
+
+def test_hot_grams_are_joined_apart(spark):
+    from rosterline.llm.suffixes import _keep_counted
+
+    left = spark.range(1000).selectExpr("id", "if(id < 700, 1, id) key")
+    counted = spark.createDataFrame([(1, 700, True), (800, 1, False), (5000, 1, False)], "key long, n long, pure boolean")
+    got = {(r["id"], r["key"], r["pure"]) for r in _keep_counted(left, counted, ["key"]).collect()}
+    assert got == {*((i, 1, True) for i in range(700)), (800, 800, False)}
+
+
 def test_deep_shallow_orders_suffixes():
     r = random.Random(3)
     strings = [b"p" * 70 + bytes(r.choices(b"ab", k=r.randint(0, 12))) for _ in range(60)] + [bytes(r.choices(b"ab", k=r.randint(0, 90))) for _ in range(60)]
