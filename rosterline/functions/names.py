@@ -2,23 +2,50 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Company suffixes, with and without their dots.
 SUFFIXES_DOTTED = r"pllc|l\.l\.c\.|l\.l\.p\.|p\.c\.|llc|llp|ltd|inc|co|pc"
 SUFFIXES = "pllc|llc|llp|ltd|inc|co|pc"
-#: Letters with marks and their plain letters, for one-step folding. ß stays, as it has no decomposition.
-MARKED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿĀāĂăĄąĆćČčĎďĒēĖėĘęĚěĞğĪīĮįŁłŃńŇňŌōŐőŘřŚśŞşŠšŤťŪūŮůŰűŹźŻżŽž"
-PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyyAaAaAaCcCcDdEeEeEeEeGgIiIiŁłNnNnOoOoRrSsSsSsTtUuUuUuZzZzZz"
+#: Fixed values of the Hangul block: first syllable, counts of its middle and last letters, where its three kinds of letters begin.
+HANGUL, MIDDLES, LASTS, LETTERS = 0xAC00, 21, 28, (0x1100, 0x1161, 0x11A7)
+
+
+def _decomposed() -> tuple[str, str]:
+    """The characters whose canonical decomposition is another one and marks, and these others, from the Unicode data."""
+    marked, plain = [], []
+    for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x30000)]):
+        rest = [x for x in unicodedata.normalize("NFD", c) if unicodedata.category(x) != "Mn"]
+        if len(rest) == 1 and rest[0] != c:
+            marked.append(c)
+            plain.append(rest[0])
+    return "".join(marked), "".join(plain)
+
+
+MARKED, PLAIN = _decomposed()
 
 
 def _squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
+def _letters(syllable: Column) -> Column:
+    """A Hangul syllable as its two or three letters; other characters as they are."""
+    at = F.conv(F.hex(F.encode(syllable, "UTF-16BE")), 16, 10).cast("int") - HANGUL
+    codes = F.concat(
+        F.hex(F.lit(LETTERS[0]) + (at / (MIDDLES * LASTS)).cast("int")), F.hex(F.lit(LETTERS[1]) + (at % (MIDDLES * LASTS) / LASTS).cast("int")),
+        F.when(at % LASTS > 0, F.hex(F.lit(LETTERS[2]) + at % LASTS)).otherwise(""),
+    )
+    return F.when(syllable.rlike("^[\uAC00-\uD7A3]$"), F.decode(F.unhex(codes), "UTF-16BE")).otherwise(syllable)
+
+
 def strip_marks(c: Column) -> Column:
-    return F.translate(c, MARKED, PLAIN)
+    """Canonical decomposition without non-spacing marks, so composed and decomposed names are alike."""
+    plain = F.regexp_replace(F.translate(c, MARKED, PLAIN), r"\p{Mn}+", "")
+    return F.when(plain.rlike("[\uAC00-\uD7A3]"), F.array_join(F.transform(F.split(plain, ""), _letters), "")).otherwise(plain)
 
 
 def normalize_name(c: Column) -> Column:

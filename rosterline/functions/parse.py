@@ -86,7 +86,7 @@ def bullet_cell(c: Column, date_format: str = "MMMM d, yyyy") -> Column:
     lines = split_list(c, "\n")
     first = F.get(lines, F.lit(0))
     joined = F.array_join(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), " ")
-    items = F.transform(F.slice(F.split(joined, "•"), 2, 1_000_000), lambda x: F.trim(x))
+    items = F.transform(F.slice(F.split(joined, "•"), F.lit(2), F.size(F.split(joined, "•"))), lambda x: F.trim(x))
     return F.struct(F.to_date(F.try_to_timestamp(first, F.lit(date_format))).alias("date"), F.filter(items, lambda x: x.isNotNull()).alias("items"))
 
 
@@ -131,7 +131,7 @@ def region_code(c: Column) -> Column:
 def relative_path(c: Column, root: str) -> Column:
     """A path below the root without it; others unchanged."""
     root = root.rstrip("/") + "/"
-    return F.when(c.startswith(root), F.substring(c, len(root) + 1, 1_000_000)).otherwise(c)
+    return F.when(c.startswith(root), F.right(c, F.length(c) - len(root))).otherwise(c)
 
 
 def json_text(c: Column) -> Column:

@@ -65,6 +65,11 @@ def roster_captures(captures: DataFrame, sources: DataFrame, program: str = "pro
     return marked.join(facts, program).filter(keep).select(*captures.columns)
 
 
+def distinct_urls(captures: DataFrame, program: str = "program_id", url: str = "source_url") -> DataFrame:
+    """(program, url): the different addresses of each program's captures."""
+    return captures.select(program, url).distinct()
+
+
 def before_first_own(captures: DataFrame, own: DataFrame, key: str, time: str) -> DataFrame:
     """Captures strictly before the key's first own one; all where it has none."""
     first = own.groupBy(key).agg(F.min(time).alias("_first"))

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has at most so many rows; beyond that the planner joins by shuffle.
-
-    The count stops at the limit, so it reads no more than it needs.
+def broadcast_if_small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if the planner's estimate of its size is at most so many bytes; beyond that the planner and
+    the runtime choose. The estimate comes from the sizes of files, so nothing is read or computed for it.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df.hint("broadcast") if int(size) <= most else df

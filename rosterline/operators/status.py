@@ -23,7 +23,7 @@ def status_asof(events: DataFrame, dates: DataFrame, program: str = "program_id"
     """
     by = Window.partitionBy(program, key).orderBy("event_date", "event_id")
     held = events.withColumn("_to", F.lead("event_date").over(by)).filter("_to is null or _to > event_date")
-    return held.join(broadcast_if_small(dates, 10_000), (F.col("event_date") <= F.col("as_of")) & (F.col("_to").isNull() | (F.col("_to") > F.col("as_of")))).groupBy("as_of", program, F.col("new_status").alias("status")).agg(F.count("*").alias("n"))
+    return held.join(broadcast_if_small(dates), (F.col("event_date") <= F.col("as_of")) & (F.col("_to").isNull() | (F.col("_to") > F.col("as_of")))).groupBy("as_of", program, F.col("new_status").alias("status")).agg(F.count("*").alias("n"))
 
 
 def net_roster(events: DataFrame, program: str = "program_id", day: str = "event_date") -> DataFrame:
@@ -78,10 +78,20 @@ def sequence_gaps(df: DataFrame, col: str) -> DataFrame:
 
 
 def stratified_sample(df: DataFrame, strata: list[str], key: str, least: int = 15, share: float = 0.1, seed: str = "0") -> DataFrame:
-    """Of each stratum the greater of ``least`` rows and its share, chosen by a hash of key and seed."""
-    counted = df.join(df.groupBy(*strata).agg(F.count("*").alias("_n")), strata)
-    rank = F.row_number().over(Window.partitionBy(*strata).orderBy(F.sha2(F.concat_ws("|", F.col(key).cast("string"), F.lit(seed)), 256), key))
-    return counted.withColumn("_r", rank).filter(F.col("_r") <= F.greatest(F.lit(least), F.ceil(F.col("_n") * share))).drop("_r", "_n")
+    """Of each stratum the greater of ``least`` rows and its share, chosen by a hash of key and seed.
+
+    Rows are ranked in 256 parts by the first two digits of the hash and the parts counted, so no stratum is sorted in one
+    task.
+    """
+    hashed = df.withColumn("_h", F.sha2(F.concat_ws("|", F.col(key).cast("string"), F.lit(seed)), 256)).withColumn("_part", F.substring("_h", 1, 2))
+    parts = hashed.groupBy(*strata, "_part").agg(F.count("*").alias("_k"))
+    whole = Window.partitionBy(*strata)
+    before = F.coalesce(F.sum("_k").over(whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = parts.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(strata)], F.col("_part").alias("_p"), before.alias("_before"), F.sum("_k").over(whole).alias("_n"))
+    rank = F.row_number().over(Window.partitionBy(*strata, "_part").orderBy("_h", key))
+    same = [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(strata)]
+    ranked = hashed.withColumn("_r", rank).join(parts, [*same, F.col("_part") == F.col("_p")])
+    return ranked.filter(F.col("_before") + F.col("_r") <= F.greatest(F.lit(least), F.ceil(F.col("_n") * share))).select(*df.columns)
 
 
 def roster_at(providers: DataFrame, snapshot: str, last: str = "last_seen_snapshot_id") -> DataFrame:

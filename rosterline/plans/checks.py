@@ -119,10 +119,10 @@ MATCH_SQL = """a AS (SELECT p_partkey AS a, p_brand AS area, string_split(p_name
 
 
 @query("entity_match", f"""WITH {MATCH_SQL}, m AS (SELECT a, b, len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t))) AS s FROM a JOIN b USING (area) WHERE list_has_any(a.t, b.t))
-SELECT a, b, round(s, 6) AS similarity, CASE WHEN s >= 0.92 THEN 'accept' WHEN s >= 0.7 THEN 'review' ELSE 'reject' END AS band FROM m""")
+SELECT a, b, round(s, 6) AS similarity, CASE WHEN s >= 0.92 THEN 'accept' WHEN s >= 0.7 THEN 'review' ELSE 'reject' END AS band FROM m WHERE s >= 0.3""")
 def _(spark, d):
     p = table(spark, d, "part").withColumn("name", normalize_name(F.col("p_name")))
-    return match.entity_match(p.filter("p_partkey % 2 = 0").withColumnRenamed("p_partkey", "a"), p.filter("p_partkey % 2 = 1").withColumnRenamed("p_partkey", "b"), "a", "b", "name", "p_brand").drop("p_brand")
+    return match.entity_match(p.filter("p_partkey % 2 = 0").withColumnRenamed("p_partkey", "a"), p.filter("p_partkey % 2 = 1").withColumnRenamed("p_partkey", "b"), "a", "b", "name", "p_brand", 0.3).drop("p_brand")
 
 
 @query("match_quality", """SELECT count(*) FILTER (WHERE p AND g) AS true_positive, count(*) FILTER (WHERE p AND NOT g) AS false_positive, count(*) FILTER (WHERE g AND NOT p) AS false_negative,

@@ -232,16 +232,6 @@ def _(spark, d):
     return chain(spark, d).filter("event_type = 'authorized'").select("event_id", "provider_id", "snap_date").orderBy("snap_date", "event_id").limit(20)
 
 
-@query("run_summary", BASE + """, n AS (SELECT program_id, count(DISTINCT provider_id) AS providers FROM obs GROUP BY 1)
-SELECT program_id, providers, count(*) FILTER (WHERE event_type = 'authorized') AS added, count(*) FILTER (WHERE event_type = 'disappeared_from_roster') AS removed, count(*) FILTER (WHERE event_type = 'status_change') AS changed
-FROM n JOIN ev USING (program_id) GROUP BY ALL""")
-def _(spark, d):
-    n = roster_observations(spark, d).groupBy("program_id").agg(F.count_distinct("provider_id").alias("providers"))
-    of = lambda k, a: F.count_if(F.col("event_type") == k).alias(a)
-    e = chain(spark, d).groupBy("program_id").agg(of("authorized", "added"), of("disappeared_from_roster", "removed"), of("status_change", "changed"))
-    return n.join(e, "program_id")
-
-
 @query("date_range", "SELECT event_type, min(ts) AS first_ts, max(ts) AS last_ts FROM events GROUP BY 1")
 def _(spark, d):
     return table(spark, d, "events").groupBy("event_type").agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))

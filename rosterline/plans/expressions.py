@@ -328,4 +328,4 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 @query("package_rowcounts", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows, (SELECT count(*) FROM (DESCRIBE {t})) AS n_columns FROM {t}" for t in TABLES))
 def _(spark, d):
-    return files.describe_package({t: table(spark, d, t) for t in TABLES})
+    return files.describe_package({t: table(spark, d, t) for t in TABLES}).select("table_name", "n_rows", "n_columns")

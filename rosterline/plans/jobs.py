@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from ..functions import signals
 from ..operators import diff, merge, quality, reconcile, status
 from ..operators.sizes import broadcast_if_small
+from ..sources import files
 
 
 @dataclass
@@ -50,29 +51,75 @@ def rebuild(manifest: DataFrame, observations: DataFrame, sources: DataFrame, pr
     return Rebuild(events, providers, kept, errors)
 
 
-def incremental(previous: DataFrame, roster: DataFrame, unchanged: bool) -> DataFrame:
-    """Events of a new capture against the last roster; none if its bytes are those of the last one. Nothing is written."""
-    events = diff.snapshot_diff(previous, roster)
-    return events.limit(0) if unchanged else events
+def publish(out: Rebuild, folder: str) -> dict[str, int]:
+    """Write a rebuild as a release, each table in the order of its key; an audit that is not empty stops it."""
+    if not out.errors.isEmpty():
+        raise ValueError("the audit of the rebuild has errors")
+    tables = {"provider": out.providers, "event": out.events, "snapshot": out.snapshots}
+    return files.export_tables(tables, {"provider": ["program_id", "provider_id"], "event": ["event_id"], "snapshot": ["program_id", "snapshot_id"]}, folder)
 
 
-def backfill(captures: DataFrame, own: DataFrame, parsed: DataFrame, days: int = 90) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(events, gaps, report) of historical captures before the first own one.
+def run_summary(providers: DataFrame, events: DataFrame) -> DataFrame:
+    """(program_id, providers, added, removed, changed) of a run: rows of the roster and events by kind."""
+    n = providers.groupBy("program_id").agg(F.count_distinct("provider_id").alias("providers"))
+    of = lambda kind, name: F.count_if(F.col("event_type") == kind).alias(name)
+    e = events.groupBy("program_id").agg(of("authorized", "added"), of("disappeared_from_roster", "removed"), of("status_change", "changed"))
+    return n.join(e, "program_id", "left").fillna(0, ["added", "removed", "changed"])
 
-    captures: program_id, capture_id, captured_at, digest, error. parsed: program_id, capture_id, provider_id, status.
+
+def incremental(previous: DataFrame, roster: DataFrame, last: DataFrame, captures: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(events, summary) of new captures against the last rosters. Nothing is written, so it is also the preview of a run.
+
+    last and captures: program_id, content_sha256 of the last and of the new capture. A program whose bytes are those of
+    its last capture is unchanged and has no events. Of one id twice in a roster with ``row_no`` the last row counts. summary: program_id, run_status (first, updated, unchanged),
+    providers, added, removed, changed.
+    """
+    if "row_no" in roster.columns:
+        roster = diff.last_in_roster(roster, ("program_id", "provider_id"))
+    state = captures.select("program_id", F.col("content_sha256").alias("_new")).join(last.select("program_id", F.col("content_sha256").alias("_old")), "program_id", "left")
+    label = F.when(F.col("_old").isNull(), "first").when(F.col("_old") == F.col("_new"), "unchanged").otherwise("updated")
+    state = state.select("program_id", label.alias("run_status"))
+    open_ = state.filter("run_status <> 'unchanged'").select("program_id")
+    events = diff.snapshot_diff(previous.join(open_, "program_id", "left_semi"), roster.join(open_, "program_id", "left_semi"))
+    summary = state.join(run_summary(roster, events), "program_id", "left").fillna(0, ["providers", "added", "removed", "changed"])
+    return events, summary
+
+
+def dispositions(captures: DataFrame, kept: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:
+    """captures with ``disposition``: skipped (not kept), parse_error, empty (no rows counted) or ingested."""
+    label = F.when(F.col("_kept").isNull(), "skipped").when(F.col("error").isNotNull(), "parse_error").when(F.col("n_rows").isNull(), "empty").otherwise("ingested")
+    marked = captures.join(kept.select(*keys, F.lit(True).alias("_kept")), keys, "left").join(counts, keys, "left")
+    return marked.withColumn("disposition", label).drop("_kept", "n_rows")
+
+
+def disposition_counts(marked: DataFrame, program: str = "program_id") -> DataFrame:
+    """(program, ingested, skipped, parse_error, empty, partial): captures by disposition; partial ones are ingested too."""
+    of = lambda name: F.count_if(F.col("disposition") == name).alias(name)
+    partial = F.count_if((F.col("disposition") == "ingested") & F.col("is_partial")).alias("partial")
+    return marked.groupBy(program).agg(of("ingested"), of("skipped"), of("parse_error"), of("empty"), partial)
+
+
+def backfill(captures: DataFrame, own: DataFrame, parsed: DataFrame, days: int = 90) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(events, snapshots, gaps, report) of historical captures before the first own one.
+
+    captures: program_id, capture_id, captured_at, digest, error, and is_partial if parsers set it. parsed: program_id,
+    capture_id, provider_id, status. own: program_id, captured_at, snapshot_id; snapshots are its rows and the captures
+    that are new to it.
     """
+    if "is_partial" not in captures.columns:
+        captures = captures.withColumn("is_partial", F.lit(False))
+    keys = ["program_id", "capture_id"]
     early = quality.before_first_own(captures, own.select("program_id", F.col("captured_at")), "program_id", "captured_at")
     kept = diff.consecutive_dedup(early, "program_id", ["captured_at", "capture_id"], "digest")
-    counts = parsed.groupBy("program_id", "capture_id").agg(F.count("*").alias("n_rows"))
-    label = F.when(F.col("_kept").isNull(), "skipped").when(F.col("error").isNotNull(), "parse_error").when(F.col("n_rows").isNull(), "empty").otherwise("ingested")
-    marked = early.join(kept.select("program_id", "capture_id", F.lit(True).alias("_kept")), ["program_id", "capture_id"], "left").join(counts, ["program_id", "capture_id"], "left").withColumn("disposition", label)
+    marked = dispositions(early, kept, parsed.groupBy(*keys).agg(F.count("*").alias("n_rows")), keys)
     good = marked.filter("disposition = 'ingested'")
     snaps = good.select("program_id", F.col("capture_id").alias("snapshot_id"), "captured_at").withColumn("seq", F.row_number().over(Window.partitionBy("program_id").orderBy("captured_at", "snapshot_id")))
-    rows = parsed.join(good.select("program_id", "capture_id", "captured_at"), ["program_id", "capture_id"])
+    rows = parsed.join(good.select(*keys, "captured_at"), keys)
     events = diff.with_event_id(diff.diff_chain(rows, snaps, "captured_at"))
     gaps = status.capture_gaps(good, "program_id", "captured_at", days).unionByName(status.bridge_gap(good, own, "program_id", "captured_at", days))
-    report = marked.groupBy("program_id").pivot("disposition", ["ingested", "skipped", "parse_error", "empty"]).count().fillna(0)
-    return events, gaps, report
+    columns = ["program_id", "captured_at", "snapshot_id"]
+    known = merge.merge_insert_new(own.select(*columns), snaps.select(*columns), ["snapshot_id"], ["captured_at"])
+    return events, known, gaps, disposition_counts(marked)
 
 
 def completeness(ours: DataFrame, inventory: DataFrame, ledger: DataFrame, implemented: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
@@ -88,9 +135,12 @@ def completeness(ours: DataFrame, inventory: DataFrame, ledger: DataFrame, imple
 
 
 def resolve_status(programs: DataFrame, bills: DataFrame, configs: DataFrame) -> DataFrame:
-    """A signal for each program from its best bill: proposed status, confidence, evidence of up to five bills.
+    """A signal for each program from its best bill: proposed status and sunset date, confidence, evidence of up to five
+    bills, the address that speaks for it.
 
-    configs: program_id, state, queries, known_bills, pending_rules, override. An override wins over any bill.
+    configs: program_id, state, queries, known_bills, pending_rules, override, override_sunset, override_url. bills:
+    bill_id, identifier, title, abstract, state, latest_action, action_date, classes, url. An override wins over any bill,
+    with its own date and address; bills are its evidence still. A bill proposes no date.
     """
     c = configs.select("program_id", F.col("state").alias("_state"), "queries", "known_bills", "pending_rules", "override")
     found = F.exists("queries", lambda q: F.lower(F.col("title")).contains(F.lower(q)))
@@ -99,22 +149,45 @@ def resolve_status(programs: DataFrame, bills: DataFrame, configs: DataFrame) ->
     pairs = bills.join(broadcast_if_small(c), (F.col("state") == F.col("_state")) & (found | known))
     pairs = pairs.withColumns({"way": signals.direction(F.col("title"), F.col("abstract")), "is_enacted": signals.enacted(F.col("latest_action"), F.col("classes")), "has_failed": signals.failed(F.col("latest_action"))})
     pairs = pairs.withColumn("score", signals.relevance(F.col("identifier"), F.col("title"), F.col("is_enacted"), F.col("queries"), F.col("known_bills")))
-    rank = F.row_number().over(Window.partitionBy("program_id").orderBy(F.desc("score"), F.desc_nulls_last("action_date"), "bill_id"))
-    top = pairs.withColumn("_r", rank).filter("_r <= 5")
-    evidence = top.groupBy("program_id").agg(F.array_sort(F.collect_list(F.struct("_r", "bill_id"))).alias("e")).select("program_id", F.transform("e", lambda x: x.bill_id).alias("evidence"))
-    best = top.filter("_r = 1").select("program_id", "score", "way", "is_enacted", "has_failed")
-    out = programs.join(configs.select("program_id", "pending_rules", "override"), "program_id").join(best, "program_id", "left").join(evidence, "program_id", "left")
+    top = top_ranked(pairs, "program_id", [F.desc("score"), F.desc_nulls_last("action_date"), F.asc("bill_id")], 5)
+    evidence = top.groupBy("program_id").agg(F.array_sort(F.collect_list(F.struct("rank", "bill_id"))).alias("e")).select("program_id", F.transform("e", lambda x: x.bill_id).alias("evidence"))
+    best = top.filter("rank = 1").select("program_id", "score", "way", "is_enacted", "has_failed", "url")
+    out = programs.join(configs.select("program_id", "pending_rules", "override", "override_sunset", "override_url"), "program_id").join(best, "program_id", "left").join(evidence, "program_id", "left")
+    given = F.col("override").isNotNull()
     proposed = F.coalesce("override", signals.proposed_status(F.col("score"), F.col("way"), F.col("is_enacted"), F.col("has_failed"), F.col("pending_rules")))
-    confidence = F.when(F.col("override").isNotNull(), 1.0).otherwise(F.coalesce(signals.proposal_confidence(F.col("score"), F.col("way"), F.col("is_enacted")), F.lit(0.0)))
-    out = out.withColumn("proposed_status", F.when(F.col("override").isNotNull() | F.col("score").isNotNull(), proposed)).withColumn("confidence", confidence)
+    confidence = F.when(given, 1.0).otherwise(F.coalesce(signals.proposal_confidence(F.col("score"), F.col("way"), F.col("is_enacted")), F.lit(0.0)))
+    out = out.withColumn("proposed_status", F.when(given | F.col("score").isNotNull(), proposed)).withColumn("confidence", confidence)
+    sunset = F.when(given, F.col("override_sunset"))
     return out.select(
-        "program_id", "program_status", "proposed_status", F.lit(None).cast("date").alias("proposed_sunset"), "confidence", "evidence", "source_url",
-        signals.is_change(F.col("program_status"), F.col("proposed_status"), F.lit(None).cast("date")).alias("is_change"),
+        "program_id", "program_status", "proposed_status", sunset.alias("proposed_sunset"), "confidence", "evidence", F.when(given, F.col("override_url")).otherwise(F.col("url")).alias("source_url"),
+        signals.is_change(F.col("program_status"), F.col("proposed_status"), sunset).alias("is_change"),
     )
 
 
-def bundle(programs: DataFrame, providers: DataFrame, events: DataFrame, documented_zero: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(program rows with counts, running roster sizes, undocumented zeros) for the analyst's reports."""
+def top_ranked(df: DataFrame, key: str, order: list, n: int) -> DataFrame:
+    """The first n rows of each key by ``order``, with their ``rank``."""
+    return df.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter(F.col("rank") <= n)
+
+
+@dataclass
+class Bundle:
+    programs: DataFrame
+    totals: DataFrame
+    places: DataFrame
+    roster_sizes: DataFrame
+    undocumented: DataFrame
+
+
+def bundle(programs: DataFrame, providers: DataFrame, events: DataFrame, documented_zero: DataFrame, folder: str | None = None) -> Bundle:
+    """The analyst's tables: programs with counts, totals, programs and providers by jurisdiction, running roster sizes,
+    undocumented zeros. With ``folder`` they are written as JSON files, roster sizes inside their programs."""
     counts = providers.groupBy("program_id").agg(F.count("*").alias("providers"), F.count_if(F.col("current_status") == "active").alias("active"))
     rows = programs.join(counts, "program_id", "left").fillna(0, ["providers", "active"]).withColumn("has_providers", F.col("providers") > 0)
-    return rows, status.net_roster(events), quality.undocumented_zero(programs, providers, documented_zero)
+    totals = rows.agg(F.count("*").alias("programs"), F.count_distinct("jurisdiction").alias("jurisdictions"), F.coalesce(F.sum("providers"), F.lit(0)).alias("providers"), F.coalesce(F.sum("active"), F.lit(0)).alias("active"))
+    places = rows.groupBy("jurisdiction").agg(
+        F.array_sort(F.collect_list("program_id")).alias("program_ids"), F.sum("providers").alias("providers"), F.bool_and(F.col("providers") == 0).alias("all_zero")
+    )
+    out = Bundle(rows, totals, places, status.net_roster(events), quality.undocumented_zero(programs, providers, documented_zero))
+    if folder is not None:
+        files.write_bundle({"programs": rows, "totals": totals, "places": places, "roster_sizes": out.roster_sizes}, folder, {"roster_sizes": ("programs", "program_id")})
+    return out

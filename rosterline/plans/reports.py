@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..operators import reconcile
 from ..sources.tables import table
+from . import jobs
 from .registry import query
 
 
@@ -118,19 +118,9 @@ def _(spark, d):
     return r.select(F.coalesce("o_orderstatus", F.lit("Total")).alias("status"), "n", "customers")
 
 
-@query("backfill_report", """WITH b AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events),
-c AS (SELECT user_id, CASE WHEN p = event_type THEN 'skipped' WHEN value < 5 THEN 'parse_error' WHEN value > 150 THEN 'partial' ELSE 'ingested' END AS k FROM b)
-SELECT user_id, count(*) FILTER (WHERE k = 'ingested') AS ingested, count(*) FILTER (WHERE k = 'parse_error') AS parse_error, count(*) FILTER (WHERE k = 'partial') AS partial, count(*) FILTER (WHERE k = 'skipped') AS skipped FROM c GROUP BY 1""")
-def _(spark, d):
-    before = F.lag("event_type").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    kind = F.when(before == F.col("event_type"), "skipped").when(F.col("value") < 5, "parse_error").when(F.col("value") > 150, "partial").otherwise("ingested")
-    return table(spark, d, "events").select("user_id", kind.alias("k")).groupBy("user_id").pivot("k", ["ingested", "parse_error", "partial", "skipped"]).count().fillna(0)
-
-
 @query("top_evidence", "SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_totalprice DESC, o_orderkey) AS evidence FROM (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) <= 5) GROUP BY 1")
 def _(spark, d):
-    rank = F.row_number().over(Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey"))
-    top = table(spark, d, "orders").withColumn("r", rank).filter("r <= 5").groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("r", "o_orderkey"))).alias("e"))
+    top = jobs.top_ranked(table(spark, d, "orders"), "o_custkey", [F.desc("o_totalprice"), F.asc("o_orderkey")], 5).groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("rank", "o_orderkey"))).alias("e"))
     return top.select("o_custkey", F.array_join(F.transform("e", lambda x: x.o_orderkey.cast("string")), ",").alias("evidence"))
 
 
@@ -144,11 +134,3 @@ def _(spark, d):
 def _(spark, d):
     n = table(spark, d, "nation").select("n_name", "n_regionkey", F.when(F.col("n_nationkey") % 2 == 0, F.col("n_nationkey")).alias("launched"))
     return n.orderBy("n_regionkey", F.asc_nulls_last("launched"), "n_name")
-
-
-@query("bundle_counts", """SELECT n_nationkey, n_name, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS providers, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey) AS snapshots,
-(SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) > 0 AS has_providers FROM nation""")
-def _(spark, d):
-    count = lambda name, key, out: table(spark, d, name).groupBy(F.col(key).alias("n_nationkey")).agg(F.count("*").alias(out))
-    n = table(spark, d, "nation").select("n_nationkey", "n_name").join(count("customer", "c_nationkey", "providers"), "n_nationkey", "left").join(count("supplier", "s_nationkey", "snapshots"), "n_nationkey", "left").fillna(0)
-    return n.withColumn("has_providers", F.col("providers") > 0)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,10 +37,13 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def register_captures(captures: DataFrame, content: str, media: Column, order: Sequence[str], known: DataFrame | None = None) -> DataFrame:
-    """captures with sha256, snapshot_id, storage_path and is_new: the first of its bytes, and not among the known hashes."""
-    hashed = captures.withColumn("sha256", F.sha2(F.col(content), 256))
-    first = F.row_number().over(Window.partitionBy("sha256").orderBy(*order)) == 1
-    out = hashed.withColumn("snapshot_id", F.concat(F.lit("snap_"), F.substring("sha256", 1, 16))).withColumn("storage_path", F.concat_ws(".", "sha256", media)).withColumn("is_new", first)
+    """captures with sha256, snapshot_id, storage_path and is_new: the first of its bytes by ``order``, and not among the known
+    hashes. ``order`` has to tell captures of the same bytes apart. One row for each hash is joined to them, so bytes that very
+    many captures have don't meet in one task."""
+    hashed = captures.withColumn("sha256", F.sha2(F.col(content), 256)).withColumn("_at", F.struct(*order))
+    first = hashed.groupBy(F.col("sha256").alias("_sha")).agg(F.min("_at").alias("_first"))
+    out = hashed.join(first, F.col("sha256").eqNullSafe(F.col("_sha"))).withColumn("is_new", F.col("_at") == F.col("_first")).drop("_at", "_sha", "_first")
+    out = out.withColumn("snapshot_id", F.concat(F.lit("snap_"), F.substring("sha256", 1, 16))).withColumn("storage_path", F.concat_ws(".", "sha256", media))
     if known is None:
         return out
     old = known.select(F.col("sha256"), F.lit(True).alias("_old")).distinct()
@@ -76,20 +80,23 @@ def export_tables(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[s
     """Write each table in the order of its key as Parquet and CSV; returns the counts of what was written."""
     counts = {}
     for name, df in tables.items():
-        ordered = df.orderBy(*keys[name])
-        ordered.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
-        csv_frame(ordered).write.mode("overwrite").csv(f"{folder}/{name}.csv", header=True, emptyValue="")
-        counts[name] = df.sparkSession.read.parquet(f"{folder}/{name}.parquet").count()
+        df.orderBy(*keys[name]).write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
+        written = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}.parquet")  # computed once; its files are in order
+        csv_frame(written.orderBy(*keys[name])).write.mode("overwrite").csv(f"{folder}/{name}.csv", header=True, emptyValue="")
+        counts[name] = written.count()
     return counts
 
 
-def describe_package(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(table_name, rows, columns) of each table; schemas as JSON text."""
-    parts = [df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows", F.lit(len(df.columns)).alias("n_columns")) for name, df in tables.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def describe_package(tables: Mapping[str, DataFrame], place: str = "jurisdiction") -> DataFrame:
+    """(table_name, n_rows, n_columns, n_places, schema) of each table; n_places counts the different values of ``place``, where
+    the table has it, and schema is JSON text."""
+
+    def one(name: str, df: DataFrame) -> DataFrame:
+        places = F.count_distinct(place) if place in df.columns else F.lit(None)
+        counts = df.agg(F.count("*").alias("n_rows"), places.cast("long").alias("n_places"))
+        return counts.select(F.lit(name).alias("table_name"), "n_rows", F.lit(len(df.columns)).alias("n_columns"), "n_places", F.lit(df.schema.json()).alias("schema"))
+
+    return reduce(DataFrame.unionByName, [one(name, df) for name, df in tables.items()])
 
 
 def write_bundle(tables: Mapping[str, DataFrame], folder: str, nested: Mapping[str, tuple[str, str]] | None = None) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -22,6 +22,15 @@ def extract_html_rows(df: DataFrame, id_col: str, html_col: str, row: str = r"(?
     return rows.select(id_col, "row_no", cells.alias("cells")).filter(F.size("cells") >= least_cells)
 
 
+def named_rows(rows: DataFrame, name: Column, test_accounts: Sequence[str] = ()) -> DataFrame:
+    """rows with ``name`` as a column, without scripts that a page leaves in its cell; rows without a name, with '-' or with
+    the last name of a test account (before the comma, without case) go."""
+    clean = F.trim(F.substring_index(name, "if ('", 1))
+    known = [t.lower() for t in test_accounts]
+    junk = (clean == "") | (clean == "-") | F.lower(F.trim(F.substring_index(clean, ",", 1))).isin(known)
+    return rows.withColumn("name", clean).filter(clean.isNotNull() & ~junk)
+
+
 def extract_items(df: DataFrame, id_col: str, html_col: str, pattern: str, group: int = 1) -> DataFrame:
     """(id, item_no, item): what a pattern's group holds, in order, as plain text."""
     return df.select(id_col, F.posexplode(F.regexp_extract_all(html_col, F.lit(pattern), F.lit(group))).alias("item_no", "i")).select(id_col, "item_no", plain_text(F.col("i")).alias("item"))
@@ -50,8 +59,12 @@ def heading_inventory(df: DataFrame, doc: str, html_col: str) -> DataFrame:
     return out.filter("tag = 'li' and model_type is not null").select(doc, "pos", "model_type", "bucket", F.coalesce("region", F.lit("Domestic")).alias("region"), F.col("text").alias("item"))
 
 
-def parse_captures(captures: DataFrame, parsers: Mapping[str, Callable[[bytes], list[dict]]], fields: str, program: str = "program_id", key: str = "capture_id", content: str = "content") -> DataFrame:
-    """Rows (program, key, row_no, fields..., error) by the user's function for each program.
+def parse_captures(
+    captures: DataFrame, parsers: Mapping[str, Callable[[bytes], list[dict]]], fields: str, program: str = "program_id", key: str = "capture_id", content: str = "content", partial: Sequence[str] = (),
+) -> DataFrame:
+    """Rows (program, key, row_no, fields..., error, is_partial) by the user's function for each program.
+
+    Programs in ``partial`` have functions that see only the first page of a roster; their rows say so.
 
     A capture whose function fails gives one row with the error, one without rows gives one with 'no rows'; other captures
     go on. Captures are parsed where they are: no shuffle.
@@ -71,4 +84,5 @@ def parse_captures(captures: DataFrame, parsers: Mapping[str, Callable[[bytes],
                     out.append((p, str(k), None, *[None] * len(names), f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(out, columns=columns)
 
-    return captures.select(program, F.col(key).cast("string").alias(key), content).mapInPandas(run, schema)
+    rows = captures.select(program, F.col(key).cast("string").alias(key), content).mapInPandas(run, schema)
+    return rows.withColumn("is_partial", F.col(program).isin(list(partial)))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.window import Window
 
 from ..functions.names import event_id
@@ -14,14 +18,6 @@ ROSTER = "program_id string, provider_id string, status string, snapshot_id stri
 EVENTS = "event_id string, program_id string, provider_id string, event_type string, new_status string, detail string, snapshot_id string, retrieved_at timestamp"
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A table that may not have been written yet."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
-
-
 def batch_events(batch: DataFrame, current: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(events, next rosters) of one batch of observations against the last roster of each program.
 
@@ -53,12 +49,13 @@ def ingest(stream: DataFrame, folder: str) -> DataStreamWriter:
     """Start of a stream of observations (``ROSTER``) that appends events and replaces rosters under ``folder``.
 
     Each batch writes its own version of events and rosters, named by the batch, so a batch that is run again after a
-    failure writes the same files again. Late rows go to ``late``.
+    failure writes the same files again, and one whose version before is gone fails. Late rows go to ``late``.
     """
 
     def each(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        before = read_or_empty(spark, f"{folder}/roster/v={number - 1}", ROSTER)
+        # Every version but the first has one before it: a lost one must stop the stream, not authorise everybody again.
+        before = spark.createDataFrame([], ROSTER) if number == 0 else spark.read.schema(ROSTER).parquet(f"{folder}/roster/v={number - 1}")
         _, late = split_late(batch, before.select("program_id", "retrieved_at"))
         late.write.mode("overwrite").parquet(f"{folder}/late/v={number}")
         events, roster = batch_events(batch, before)
@@ -74,6 +71,32 @@ def unchanged_dedup(captures: DataFrame, last: DataFrame, program: str = "progra
     return consecutive_dedup(both, program, [time], content).filter("_new").drop("_new")
 
 
+def changed_captures(captures: DataFrame, program: str = "program_id", content: str = "sha256", time: str = "retrieved_at", late: str = "7 days") -> DataFrame:
+    """Of a stream of captures (program, content hash, time) those whose content differs from the program's one before.
+
+    The state is the last hash and time of each program, so A, B, A stays, unlike with dropped duplicates. Captures of a
+    batch count in order of time; one older than the program's last is left out, as the backfill has it.
+    """
+
+    def each(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last, at = state.get if state.exists else (None, None)
+        rows = pd.concat(frames).sort_values([time, content], kind="stable")
+        keep = []
+        for i, (value, when) in enumerate(zip(rows[content], rows[time])):
+            if at is not None and when.to_pydatetime() <= at:
+                continue
+            if value != last:
+                keep.append(i)
+            last, at = value, when.to_pydatetime()
+        if at is not None:
+            state.update((last, at))
+        yield rows.iloc[keep][[program, content, time]]
+
+    schema = f"{program} string, {content} string, {time} timestamp"
+    grouped = captures.select(F.col(program).cast("string").alias(program), content, time).withWatermark(time, late).groupBy(program)
+    return grouped.applyInPandasWithState(each, schema, "last string, at timestamp", "append", GroupStateTimeout.NoTimeout)
+
+
 def event_counts(events: DataFrame, time: str = "ts", program: str = "event_type", width: str = "1 day", late: str = "1 day") -> DataFrame:
     """Counts by program and window of event time; works on streams and on tables."""
     counted = events.withWatermark(time, late).groupBy(F.window(time, width).alias("w"), program).agg(F.count("*").alias("n"))

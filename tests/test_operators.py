@@ -21,7 +21,7 @@ def ts(day, hour=0):
 
 
 @pytest.mark.parametrize("raw, want", [
-    ("The Legal Solutions, LLC", "legal solutions"), ("Smith & Jones P.C.", "smith and jones"), ("Ávila Law Group PLLC", "avila law group"), ("  the  Co ", "the"), ("größe Inc", "große"), ("Coco Inco", "coco inco"),
+    ("The Legal Solutions, LLC", "legal solutions"), ("Smith & Jones P.C.", "smith and jones"), ("Ávila Law Group PLLC", "avila law group"), ("  the  Co ", "the"), ("größe Inc", "große"), ("A\u0301vila Law", "avila law"), ("Nguyễn Legal", "nguyen legal"), ("Nguye\u0302\u0303n Legal", "nguyen legal"), ("ÅNGSTRÖM \u212b", "angstrom a"), ("한 Law", "\u1112\u1161\u11ab law"), ("가", "\u1100\u1161"), ("Coco Inco", "coco inco"),
 ])
 def test_normal_names(spark, raw, want):
     assert one(spark, raw, names.normalize_name) == want
@@ -194,7 +194,7 @@ def test_files(spark, tmp_path):
     assert files.flat_frame(t).orderBy("k").first()["a"] == "[]"
 
 
-def test_rebuild_backfill_and_resolution(spark):
+def test_rebuild_backfill_and_resolution(spark, tmp_path):
     man = spark.createDataFrame([("p", "s1", "u", ts(1), "h1"), ("p", "s2", "u", ts(2), "h1"), ("p", "s3", "u", ts(3), "h2"), ("p", "x", "other", ts(3), "h9")], "program_id string, snapshot_id string, source_url string, retrieved_at timestamp, content_sha256 string")
     obs = spark.createDataFrame([("p", ts(1), "A", 1, "active"), ("p", ts(3), "A", 1, "suspended"), ("p", ts(3), "B", 2, "active"), ("p", ts(3), "B", 3, "revoked")], "program_id string, retrieved_at timestamp, provider_id string, row_no int, status string")
     sources = spark.createDataFrame([("p", "u")], "program_id string, canonical_url string")
@@ -203,27 +203,43 @@ def test_rebuild_backfill_and_resolution(spark):
     assert sorted((r["provider_id"], r["event_type"], r["new_status"]) for r in out.events.collect()) == [("A", "authorized", "active"), ("A", "status_change", "suspended"), ("B", "authorized", "revoked")]
     assert {r["provider_id"]: r["current_status"] for r in out.providers.collect()} == {"A": "suspended", "B": "revoked"}
     assert [(r["check"], r["key"]) for r in out.errors.collect()] == [("program_without_snapshot", "q")]
-    caps = spark.createDataFrame([("p", "c1", ts(1), "d1", None), ("p", "c2", ts(2), "d1", None), ("p", "c3", ts(3), "d3", "bad"), ("p", "c4", ts(4), "d4", None)], "program_id string, capture_id string, captured_at timestamp, digest string, error string")
-    own = spark.createDataFrame([("p", ts(20))], "program_id string, captured_at timestamp")
+    caps = spark.createDataFrame([("p", "c1", ts(1), "d1", None, True), ("p", "c2", ts(2), "d1", None, True), ("p", "c3", ts(3), "d3", "bad", False), ("p", "c4", ts(4), "d4", None, False)], "program_id string, capture_id string, captured_at timestamp, digest string, error string, is_partial boolean")
+    own = spark.createDataFrame([("p", ts(20), "own")], "program_id string, captured_at timestamp, snapshot_id string")
     parsed = spark.createDataFrame([("p", "c1", "A", "active")], "program_id string, capture_id string, provider_id string, status string")
-    ev, gaps, report = jobs.backfill(caps, own, parsed, 5)
-    assert ev.count() == 1 and [g["gap_days"] for g in gaps.collect()] == [19]
+    ev, known, gaps, report = jobs.backfill(caps, own, parsed, 5)
+    assert sorted(r["snapshot_id"] for r in known.collect()) == ["c1", "own"] and ev.count() == 1 and [g["gap_days"] for g in gaps.collect()] == [19]
     r = report.first()
-    assert (r["ingested"], r["skipped"], r["parse_error"], r["empty"]) == (1, 1, 1, 1)
-    bills = spark.createDataFrame([("1", "HB 12", "Legal sandbox pilot", "UT", "Signed by governor", dt.date(2024, 1, 1), ["x"], None), ("2", "SB 1", "Repeal legal sandbox", "UT", "Died", None, [], None)], "bill_id string, identifier string, title string, state string, latest_action string, action_date date, classes array<string>, abstract string")
-    conf = spark.createDataFrame([("p", "UT", ["sandbox"], ["hb12"], False, None), ("q", "AZ", ["x"], [], False, "sunset")], "program_id string, state string, queries array<string>, known_bills array<string>, pending_rules boolean, override string")
-    prog = spark.createDataFrame([("p", "proposed", "u"), ("q", "active", "u")], "program_id string, program_status string, source_url string")
+    assert (r["ingested"], r["skipped"], r["parse_error"], r["empty"], r["partial"]) == (1, 1, 1, 1, 1)
+    bills = spark.createDataFrame([("1", "HB 12", "Legal sandbox pilot", "UT", "Signed by governor", dt.date(2024, 1, 1), ["x"], None, "b1"), ("2", "SB 1", "Repeal legal sandbox", "UT", "Died", None, [], None, "b2")], "bill_id string, identifier string, title string, state string, latest_action string, action_date date, classes array<string>, abstract string, url string")
+    conf = spark.createDataFrame([("p", "UT", ["sandbox"], ["hb12"], False, None, None, None), ("q", "AZ", ["x"], [], False, "sunset", dt.date(2021, 7, 31), "rule28"), ("r", "AZ", ["x"], [], False, "sunset", dt.date(2021, 7, 31), "rule28"), ("s", "AZ", ["x"], [], False, None, None, None)], "program_id string, state string, queries array<string>, known_bills array<string>, pending_rules boolean, override string, override_sunset date, override_url string")
+    prog = spark.createDataFrame([("p", "proposed", "u", None), ("q", "active", "u", None), ("r", "sunset", "u", None), ("s", "active", "u", None)], "program_id string, program_status string, source_url string, sunset_date date")
     got = {x["program_id"]: x for x in jobs.resolve_status(prog, bills, conf).collect()}
     assert (got["p"]["proposed_status"], got["p"]["confidence"], got["p"]["evidence"], got["p"]["is_change"]) == ("active", 1.0, ["1", "2"], True)
-    assert (got["q"]["proposed_status"], got["q"]["confidence"]) == ("sunset", 1.0)
+    assert (got["q"]["proposed_status"], got["q"]["confidence"], got["q"]["proposed_sunset"], got["q"]["source_url"], got["q"]["is_change"]) == ("sunset", 1.0, dt.date(2021, 7, 31), "rule28", True)
+    assert got["r"]["is_change"]  # its sunset date is news
+    assert (got["s"]["proposed_status"], got["s"]["confidence"], got["s"]["is_change"], got["s"]["source_url"]) == (None, 0.0, False, None)
+    done = {r["program_id"]: tuple(r)[1:] for r in merge.apply_signals(prog, jobs.resolve_status(prog, bills, conf)).collect()}
+    assert done == {"p": ("active", "b1", None), "q": ("sunset", "rule28", dt.date(2021, 7, 31)), "r": ("sunset", "rule28", dt.date(2021, 7, 31)), "s": ("active", "u", None)}
     led = spark.createDataFrame([], "item string, jurisdiction string, classification string, resolved boolean, detected_by string")
     inv = spark.createDataFrame([("abs", "Implemented", "UT"), (None, "Implemented", "AZ")], "model_type string, status_bucket string, jurisdiction string")
     ours = spark.createDataFrame([("AZ", "abs")], "jurisdiction string, model_type string")
     merged, state = jobs.completeness(ours, inv, led, ("Implemented",))
     assert merged.count() == 2 and state.first()["unresolved"] == 2
-    rows, net, zero = jobs.bundle(programs, out.providers, out.events, programs.filter("program_id = 'q'"))
-    assert {r["program_id"]: r["providers"] for r in rows.collect()} == {"p": 2, "q": 0} and zero.count() == 0
-    assert net.agg(F.sum("change")).first()[0] == 2
+    placed = programs.withColumn("jurisdiction", F.lit("UT"))
+    b = jobs.bundle(placed, out.providers, out.events, programs.filter("program_id = 'q'"), str(tmp_path / "bundle"))
+    assert {r["program_id"]: r["providers"] for r in b.programs.collect()} == {"p": 2, "q": 0} and b.undocumented.count() == 0
+    assert b.roster_sizes.agg(F.sum("change")).first()[0] == 2 and tuple(b.totals.first()) == (2, 1, 2, 0)
+    assert [tuple(r) for r in b.places.collect()] == [("UT", ["p", "q"], 2, False)] and spark.read.json(str(tmp_path / "bundle" / "programs.json")).count() == 2
+    with pytest.raises(ValueError):
+        jobs.publish(out, str(tmp_path / "release"))
+    clean = jobs.rebuild(man, obs, sources, programs.filter("program_id = 'p'"))
+    assert jobs.publish(clean, str(tmp_path / "release")) == {"provider": 2, "event": 3, "snapshot": 2}
+    last, new = (spark.createDataFrame([("p", h)], "program_id string, content_sha256 string") for h in ("h1", "h2"))
+    before, now = obs.filter("day(retrieved_at) = 1"), obs.filter("day(retrieved_at) = 3")
+    assert [tuple(r) for r in jobs.incremental(before, now, last, new)[1].collect()] == [("p", "updated", 2, 1, 0, 1)]
+    events, summary = jobs.incremental(before, now, last, last)
+    assert events.count() == 0 and [tuple(r) for r in summary.collect()] == [("p", "unchanged", 2, 0, 0, 0)]
+    assert jobs.incremental(before.limit(0), now, last.limit(0), new)[1].first()["run_status"] == "first"
 
 
 def test_renames_and_match_quality(spark):
@@ -239,3 +255,47 @@ def test_bundles_and_rosters(spark, tmp_path):
     files.write_bundle({"programs": programs, "providers": providers}, str(tmp_path), {"providers": ("programs", "program_id")})
     back = {r["program_id"]: r["providers"] for r in spark.read.json(str(tmp_path / "programs.json")).collect()}
     assert [x["provider_id"] for x in back["p"]] == ["A", "B"] and back["q"] is None
+
+
+def test_merges_of_repeated_incoming_keys(spark):
+    cols = "k int, v string, first string, n int, verified boolean"
+    old = spark.createDataFrame([(1, "a", None, 0, False), (9, "z", "f", 0, True)], cols)
+    new = spark.createDataFrame([(2, "x", None, 1, False), (2, "y", "b", 2, False), (2, "z", "c", 3, False), (1, "q", "d", 1, True), (1, "r", "e", 2, False), (9, "no", None, 5, False)], cols)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert rows(merge.merge_upsert(old, new, ["k"], ["n"])) == [(1, "r", "e", 2, False), (2, "z", "c", 3, False), (9, "no", None, 5, False)]
+    assert rows(merge.merge_insert_new(old, new, ["k"], ["n"])) == [(1, "a", None, 0, False), (2, "x", None, 1, False), (9, "z", "f", 0, True)]
+    assert rows(merge.merge_first_seen(old, new, ["k"], ["first"], ["v"], ["n"])) == [(1, "a", "d", 2, False), (2, "x", "b", 3, False), (9, "z", "f", 5, False)]
+    assert rows(merge.merge_verified(old, new, ["k"], order=["n"])) == [(1, "q", "d", 1, True), (2, "z", "c", 3, False), (9, "z", "f", 0, True)]
+    assert merge.merge_upsert(old, new, ["k"]).count() == 3 and rows(merge.last_wins(new, ["k"], "n"))[1][1] == "z"
+    programs = spark.createDataFrame([("p", "active", None, "u")], "program_id string, program_status string, sunset_date date, source_url string")
+    two = spark.createDataFrame([("p", True, 0.6, "active", None, "a"), ("p", True, 0.9, "sunset", None, "b")], "program_id string, is_change boolean, confidence double, proposed_status string, proposed_sunset date, source_url string")
+    assert rows(merge.apply_signals(programs, two)) == [("p", "sunset", None, "b")]
+
+
+def test_long_cells_paths_and_junk_rows(spark):
+    long = "x\n" + "• item " * 3 + "y" * 1_200_000
+    assert len(one(spark, long, parse.bullet_cell)["items"][-1]) > 1_200_000
+    assert one(spark, "/root/" + "p" * 1_200_000, lambda c: F.length(parse.relative_path(c, "/root"))) == 1_200_000
+    raw = spark.createDataFrame([("Adams, Michelleif ('Y'=='N') {",), ("-",), (" ",), (None,), ("TEST, Account",), ("Bee, Law",)], "cell string")
+    assert sorted(r["name"] for r in pages.named_rows(raw, F.col("cell"), ["test"]).collect()) == ["Adams, Michelle", "Bee, Law"]
+    t = spark.createDataFrame([("UT", 1), ("AZ", 2), ("UT", 3)], "jurisdiction string, k int")
+    got = files.describe_package({"t": t, "u": t.select("k")}).orderBy("table_name").collect()
+    assert [tuple(r)[:4] for r in got] == [("t", 3, 2, 2), ("u", 3, 1, None)] and "jurisdiction" in got[0]["schema"]
+
+
+def test_names_are_paired_by_rare_tokens(spark):
+    import random
+
+    r = random.Random(3)
+    words = ["law", "group", "legal"] + ["w%d" % i for i in range(30)]
+    made = lambda n: [(i, " ".join({*r.sample(words[:3], 2), *r.sample(words, r.randint(1, 4))}), r.choice("xy")) for i in range(n)]
+    a, b = made(60), made(60)
+    for least in (0.3, 0.5, 0.7):
+        want = set()
+        for i, n, p in a:
+            for j, m, q in b:
+                s = len({*n.split()} & {*m.split()}) / len({*n.split()} | {*m.split()})
+                if p == q and s >= least:
+                    want.add((p, i, j, round(s, 6)))
+        got = match.entity_match(spark.createDataFrame(a, "a int, name string, area string"), spark.createDataFrame(b, "b int, name string, area string"), "a", "b", "name", "area", least)
+        assert sorted(tuple(x)[:4] for x in got.collect()) == sorted(want)

@@ -51,6 +51,37 @@ def test_unchanged_captures(spark):
     assert [r["retrieved_at"].day for r in inc.unchanged_dedup(new, last).orderBy("retrieved_at").collect()] == [3, 4]
 
 
+def test_a_lost_version_stops_the_stream(spark, tmp_path):
+    import shutil
+
+    import pytest
+    from pyspark.errors import PySparkException
+
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    stream = spark.readStream.schema(inc.ROSTER).parquet(str(src))
+    for day in (1, 2):
+        spark.createDataFrame(rows((day, "A", "active")), inc.ROSTER).coalesce(1).write.mode("append").parquet(str(src))
+        if day == 2:
+            shutil.rmtree(f"{out}/roster/v=0")
+            with pytest.raises(PySparkException):
+                inc.ingest(stream, out).trigger(availableNow=True).start().awaitTermination()
+        else:
+            inc.ingest(stream, out).trigger(availableNow=True).start().awaitTermination()
+
+
+def test_changed_captures_of_a_stream(spark, tmp_path):
+    cols = "program_id string, sha256 string, retrieved_at timestamp"
+    src = tmp_path / "in"
+    src.mkdir()
+    got = inc.changed_captures(spark.readStream.schema(cols).parquet(str(src))).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c"))
+    for batch in ([("p", "a", 1), ("p", "a", 2), ("p", "b", 3), ("q", "a", 1)], [("p", "b", 4), ("p", "a", 5), ("q", "a", 2), ("q", "c", 1)]):
+        spark.createDataFrame([(p, s, dt.datetime(2024, 1, d)) for p, s, d in batch], cols).coalesce(1).write.mode("append").parquet(str(src))
+        got.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    out = sorted((r["program_id"], r["retrieved_at"].day, r["sha256"]) for r in spark.read.schema(cols).parquet(str(tmp_path / "out")).collect())
+    assert out == [("p", 1, "a"), ("p", 3, "b"), ("p", 5, "a"), ("q", 1, "a")]
+
+
 def test_counts_over_event_time(spark, tmp_path):
     t = spark.createDataFrame([("x", dt.datetime(2024, 1, 1, h)) for h in (1, 2)] + [("x", dt.datetime(2024, 1, 5)), ("y", dt.datetime(2024, 1, 9))], "event_type string, ts timestamp")
     t.write.parquet(str(tmp_path / "e"))
