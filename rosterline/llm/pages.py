@@ -36,194 +36,247 @@ HINTS_MAIN = re.compile(r"(?:^|[-_ ])(?:article|body|content|entry|main|page|pos
 #: Names of what holds an article whole, other than those that are common on wrappers of a page.
 HINTS_ARTICLE = re.compile(r"(?:^| )(?:article|entry|post|story)(?:$|[-_ ])")
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_OPEN = re.compile(r"<(?:(?P<comment>!--)|(?P<data>!\[CDATA\[)|(?P<other>[!?])|/?(?P<tag>[a-zA-Z][^\s/>]*))")
+#: From a tag's name to its end. Quotes count after '=' only, and one that is never closed is a character like others.
+_ATTRIBUTES = re.compile(r"((?:[^>=]|=\s*+(?:\"[^\"]*\"|'[^']*')?)*+)>")
 _CLASS = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_RAW_END = {tag: re.compile(rf"</{tag}(?![^\s/>])", re.I) for tag in RAW}
 _DIGITS = re.compile(r"\d+")
+_HEADING = frozenset(f"h{k}" for k in range(1, 7))
 
 
 class Element:
-    __slots__ = ("tag", "path", "away", "parent", "main", "article", "titled", "hinted", "readers")
-
-    def __init__(self, tag: str, names: str, parent: "Element | None"):
-        kept = ".".join(sorted({_DIGITS.sub("#", n) for n in names.split()}))
-        step = f"{tag}.{kept}" if kept else tag
-        self.tag, self.parent, self.titled = tag, parent, False
-        self.path = f"{parent.path}/{step}" if parent else step
-        hints = [n for n in names.lower().split() if HINTS_AWAY.search(n) and not LAYOUT.match(n)] if tag not in ("body", "html", "main", "article") else []
+    """A block element: its place in the page's tree of paths, and what its tag and names say of it."""
+
+    __slots__ = ("tag", "path", "parent", "away", "cut", "main", "article", "titled", "hinted", "readers", "holder", "heads")
+
+    def __init__(self, tag: str, names: str, parent: "Element | None", path: int):
+        self.tag, self.parent, self.path, self.titled = tag, parent, path, False
+        low = names.lower()
+        hints = [n for n in low.split() if HINTS_AWAY.search(n) and not LAYOUT.match(n)] if tag not in ("body", "html", "main", "article") else []
         self.hinted, self.readers = bool(hints), any(HINTS_READERS.search(n) for n in hints)
+        self.cut = bool(parent and parent.cut) or tag in AWAY
         self.away = bool(parent and parent.away) or tag in AWAY or self.hinted
-        self.main = tag in ("article", "main") or bool(names and HINTS_MAIN.search(names.lower()))
-        self.article = bool(names and HINTS_ARTICLE.search(names.lower()))
-
-
-def _chain(at: Element | None) -> Iterator[Element]:
-    """An element and those around it, innermost first."""
-    while at is not None:
-        yield at
-        at = at.parent
-
-
-def _reconsider(found: list[tuple[str, int, Element]], made: list[Element]) -> None:
-    """Take back hints of names that can't be right: on an element, other than of readers' texts, with most of a page's text
-    without links; around the largest article or main element, if it has more text than all that is not away; and all of
-    them, if they leave nothing. Elements away by their tag stay away."""
-    worth: dict[Element, int] = {}
-    total = kept = 0
-    for text, linked, holder in found:
-        w = len(text) - min(len(text), 2 * linked)
-        chain = list(_chain(holder))
-        if w <= 0 or any(at.tag in AWAY for at in chain):
-            continue
-        total += w
-        kept += 0 if holder.away else w
-        for at in chain:
-            if at.hinted or at.tag in ("article", "main"):
-                worth[at] = worth.get(at, 0) + w
-    wrong = {at for at, w in worth.items() if at.hinted and not at.readers and 2 * w > total}
-    whole = max((at for at in worth if at.tag in ("article", "main")), key=lambda at: worth[at], default=None)
-    if whole is not None and whole.away and worth[whole] > kept:
-        wrong |= {at for at in _chain(whole) if at.hinted}
-    for taken_back in (wrong, None):
-        for at in made:
-            at.hinted = at.hinted and taken_back is not None and at not in taken_back
-            at.away = bool(at.parent and at.parent.away) or at.tag in AWAY or at.hinted
-        if not total or any(not holder.away and len(text) > 2 * linked for text, linked, holder in found):
-            break
-
-
-def blocks(page: str) -> list[tuple[str, int, Element]]:
-    """The page's text blocks in order: text, characters of it inside links, and the container that holds it.
-
-    Character references are decoded, white space becomes one space. Missing and crossing end tags are tolerated.
-    """
-    root = Element("html", "", None)
-    stack, out, text, linked, at, link = [root], [], [], 0, 0, 0
-    made = [root]
-
-    def flush() -> None:
-        nonlocal text, linked
-        if text:
-            joined = " ".join(html.unescape("".join(text)).split())
-            if joined:
-                holder, titled = stack[-1], False
-                while holder.parent and holder.tag not in CONTAINERS and holder.tag not in AWAY and not holder.away:
-                    titled = titled or holder.tag in ("h1", "h2")
-                    holder = holder.parent
-                holder.titled = holder.titled or titled
-                out.append((joined, linked, holder))
-        text, linked = [], 0
-
-    def add(piece: str) -> None:
-        nonlocal linked
-        if piece:
-            text.append(piece)
-            if link:
-                linked += len(piece)
-
-    size = len(page)
-    while at < size:
-        found = _TOKEN.search(page, at)
-        if not found:
-            add(page[at:])
-            break
-        add(page[at : found.start()])
-        at = found.end()
-        if not found[1]:
-            continue
-        tag, attributes, closing = found[1].lower(), found[2], page[found.start() + 1] == "/"
-        if closing:
-            if tag == "a":
-                link = max(0, link - 1)
-            if tag in BLOCKS or tag in AWAY:
-                k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag), 0)
-                if k:
-                    flush()
-                    del stack[k:]
-                elif tag == "p":
-                    flush()
-            continue
-        if tag in RAW:
-            end = re.compile(f"</{tag}[^>]*>", re.I).search(page, at)
-            at = end.end() if end else size
-            continue
-        if tag == "a":
-            link += 1
-        elif tag == "br":
-            text.append(" ")
-        elif tag == "hr":
-            flush()
-        elif (tag in BLOCKS or tag in AWAY) and tag not in VOID:
-            flush()
-            link = 0
-            if tag == "html":
-                continue
-            closed = ENDS.get(tag, set()) | ({"p"} if tag in BLOCKS else set())
-            while stack[-1].tag in closed or (tag in BLOCKS and re.fullmatch("h[1-6]", tag) and re.fullmatch("h[1-6]", stack[-1].tag)):
-                stack.pop()
-            names = " ".join(m[2] or m[3] or m[4] or "" for m in _CLASS.finditer(attributes)) if attributes.strip() else ""
-            stack.append(Element(tag, names, stack[-1]))
-            made.append(stack[-1])
-    flush()
-    if any(x.hinted for x in made):
-        _reconsider(out, made)
-    return out
+        self.main = tag in ("article", "main") or bool(names and HINTS_MAIN.search(low))
+        self.article = bool(names and HINTS_ARTICLE.search(low))
+        # The container that holds the text of this element, and whether a main heading lies between.
+        if parent is None or tag in CONTAINERS or self.away:
+            self.holder, self.heads = self, False
+        else:
+            self.holder, self.heads = parent.holder, parent.heads or tag in ("h1", "h2")
 
 
-def scores(found: list[tuple[str, int, Element]]) -> dict[str, float]:
-    """A score for each container's path: its own text without links, and half of what lies in containers inside it.
-
-    Text away from the main part (menus, headers, forms, adverts, comments) counts for nothing.
-    """
-    out: dict[str, float] = {}
-    for text, linked, holder in found:
-        worth = len(text) - min(len(text), 2 * linked)
-        if holder.away or worth <= 0:
-            continue
-        share, at = 1.0, holder
-        while at is not None:
-            if at.tag in CONTAINERS:
-                out[at.path] = out.get(at.path, 0.0) + share * worth * (1.5 if at.main else 1.0)
-                share /= 2
-            at = at.parent
-    return out
+def _step(tag: str, names: str) -> str:
+    """A tag with its classes and identifiers in order, digits generalised."""
+    kept = ".".join(sorted({_DIGITS.sub("#", n).replace("/", "|") for n in names.split()}))
+    return f"{tag}.{kept}" if kept else tag
 
 
-def best_path(found: list[tuple[str, int, Element]]) -> tuple[str, float] | None:
-    ranked = scores(found)
-    return max(ranked.items(), key=lambda x: (x[1], -len(x[0]), x[0])) if ranked else None
+class Page:
+    """A page's text blocks in order (text, characters of it inside links, the container that holds it), its elements with
+    parents first, and its paths as numbers: ``paths`` has (number of the path above, step) to number.
 
+    One pass over the page, in time proportional to its length whatever its markup. Character references are decoded,
+    white space becomes one space. Missing and crossing end tags are tolerated; a tag that is cut off ends the page.
+    """
 
-def _outermost(found: Element, direct: set[Element]) -> Element:
-    """The highest container around a found one that the article takes up: an article or main element, one whose names say
-    that it holds the article, one with text of its own beside the containers in it, or a body with a heading of its own.
+    def __init__(self, page: str):
+        root = Element("html", "", None, 0)
+        self.blocks: list[tuple[str, int, Element]] = []
+        self.elements, self.paths, self.steps = [root], {}, [(-1, "html")]
+        stack, text, linked, at, link = [root], [], 0, 0, 0
+        opened: dict[str, int] = {}
+
+        def flush() -> None:
+            nonlocal text, linked
+            if text:
+                joined = " ".join(html.unescape("".join(text)).split())
+                if joined:
+                    holder = stack[-1].holder
+                    holder.titled = holder.titled or stack[-1].heads
+                    self.blocks.append((joined, linked, holder))
+            text, linked = [], 0
+
+        def add(piece: str) -> None:
+            nonlocal linked
+            if piece:
+                text.append(piece)
+                if link:
+                    linked += len(piece)
+
+        def pop() -> None:
+            opened[stack.pop().tag] -= 1
+
+        def after(mark: str, start: int) -> int:
+            end = page.find(mark, start)
+            return size if end < 0 else end + len(mark)
+
+        size = len(page)
+        while at < size:
+            found = _OPEN.search(page, at)
+            if not found:
+                add(page[at:])
+                break
+            add(page[at : found.start()])
+            at = found.end()
+            if not found["tag"]:
+                at = after("-->" if found["comment"] else "]]>" if found["data"] else ">", at)
+                continue
+            rest = _ATTRIBUTES.match(page, at)
+            if not rest:
+                break
+            at = rest.end()
+            tag, closing = found["tag"].lower(), page[found.start() + 1] == "/"
+            if closing:
+                if tag == "a":
+                    link = max(0, link - 1)
+                if tag in BLOCKS or tag in AWAY:
+                    if opened.get(tag):
+                        flush()
+                        while stack[-1].tag != tag:
+                            pop()
+                        pop()
+                    elif tag == "p":
+                        flush()
+            elif tag in RAW:
+                end = _RAW_END[tag].search(page, at)
+                at = after(">", end.end()) if end else size
+            elif tag == "a":
+                link += 1
+            elif tag == "br":
+                text.append(" ")
+            elif tag == "hr":
+                flush()
+            elif (tag in BLOCKS or tag in AWAY) and tag not in VOID:
+                flush()
+                link = 0
+                if tag == "html":
+                    continue
+                closed = ENDS.get(tag, set()) | ({"p"} if tag in BLOCKS else set())
+                while stack[-1].tag in closed or (tag in _HEADING and stack[-1].tag in _HEADING):
+                    pop()
+                names = " ".join(m[2] or m[3] or m[4] or "" for m in _CLASS.finditer(rest[1])) if rest[1].strip() else ""
+                place = (stack[-1].path, _step(tag, names))
+                number = self.paths.setdefault(place, len(self.steps))
+                if number == len(self.steps):
+                    self.steps.append(place)
+                stack.append(Element(tag, names, stack[-1], number))
+                opened[tag] = opened.get(tag, 0) + 1
+                self.elements.append(stack[-1])
+        flush()
+        if any(x.hinted for x in self.elements):
+            self._reconsider()
+
+    def up(self, own: dict[Element, float], share=lambda at: 1.0) -> dict[Element, float]:
+        """Sums over what lies inside each element; an element passes on ``share`` of its sum."""
+        out = dict(own)
+        for at in reversed(self.elements):
+            if at.parent is not None and out.get(at):
+                out[at.parent] = out.get(at.parent, 0) + share(at) * out[at]
+        return out
+
+    def worth(self, counts) -> dict[Element, int]:
+        """Characters without links that each container holds itself, in those of which ``counts`` is true."""
+        out: dict[Element, int] = {}
+        for text, linked, holder in self.blocks:
+            w = len(text) - min(len(text), 2 * linked)
+            if w > 0 and counts(holder):
+                out[holder] = out.get(holder, 0) + w
+        return out
+
+    def _reconsider(self) -> None:
+        """Take back hints of names that can't be right: on an element, other than of readers' texts, with most of a page's
+        text without links; around the largest article or main element, if it has more text than all that is not away; and
+        all of them, if they leave nothing. Elements away by their tag stay away."""
+        own = self.worth(lambda at: not at.cut)
+        total, kept = sum(own.values()), sum(w for at, w in own.items() if not at.away)
+        inside = self.up(own)
+        wrong = {at for at in self.elements if at.hinted and not at.readers and 2 * inside.get(at, 0) > total}
+        whole = max((at for at in self.elements if at.tag in ("article", "main") and inside.get(at)), key=lambda at: inside[at], default=None)
+        if whole is not None and whole.away and inside[whole] > kept:
+            at = whole
+            while at is not None:
+                wrong |= {at} if at.hinted else set()
+                at = at.parent
+        for taken_back in (wrong, None):
+            for at in self.elements:
+                at.hinted = at.hinted and taken_back is not None and at not in taken_back
+                at.away = bool(at.parent and at.parent.away) or at.tag in AWAY or at.hinted
+            if not total or self.worth(lambda at: not at.away):
+                break
+
+    def name(self, number: int) -> str:
+        """A path as text."""
+        steps = []
+        while number >= 0:
+            number, step = self.steps[number]
+            steps.append(step)
+        return "/".join(reversed(steps))
+
+    def number(self, name: str) -> int | None:
+        """A path's number, None if the page doesn't have it."""
+        number: int | None = 0
+        for step in name.split("/")[1:]:
+            number = self.paths.get((number, step))
+            if number is None:
+                break
+        return number
+
+
+def best_path(page: Page) -> str | None:
+    """The path of the containers that score most: their own text without links, and half of what lies in containers inside.
+
+    Text away from the main part (menus, headers, forms, adverts, comments) counts for nothing. Of equal scores the shorter
+    path wins, then the greater one.
+    """
+    sums = page.up(page.worth(lambda at: not at.away), lambda at: 0.5 if at.tag in CONTAINERS else 1.0)
+    scores: dict[int, float] = {}
+    for at in page.elements:
+        if at.tag in CONTAINERS and sums.get(at):
+            scores[at.path] = scores.get(at.path, 0.0) + sums[at] * (1.5 if at.main else 1.0)
+    most = max(scores.values(), default=0.0)
+    names = [page.name(number) for number, score in scores.items() if score == most]
+    return max(names, key=lambda name: (-len(name), name), default=None)
+
+
+def _outermost(page: Page, direct: set[Element]) -> dict[Element, Element]:
+    """For each element the highest container around it that the article takes up, else itself: an article or main element,
+    one whose names say that it holds the article, one with text of its own beside the containers in it, or a body with a
+    heading of its own.
     """
-    out, at = found, found.parent
-    while at is not None:
+    highest: dict[Element, Element | None] = {}
+    out = {}
+    for at in page.elements:
+        above = highest[at.parent] if at.parent is not None else None
+        out[at] = above or at
         if at.tag in ("body", "html"):
             belongs = at.titled and at in direct
         else:
             belongs = at.tag in ("article", "main") or at.article or (at in direct and at.tag in CONTAINERS)
-        out, at = at if belongs else out, at.parent
+        highest[at] = above or (at if belongs else None)
     return out
 
 
-def main_text(page: str, winners: list[str]) -> tuple[str, str]:
+def main_text(source: str, winners: list[str]) -> tuple[str, str]:
     """The text of the first winning path that the page has, else of its own best one; and the path of what it came from.
 
     What is taken is the outermost container of the article around that path, so that a title, a lead or a section beside
     a nested container stays.
     """
-    found = blocks(page)
-    own = [x for x in found if not x[2].away]
-    direct = {holder for text, linked, holder in own if len(text) > 2 * linked}
-
-    best = best_path(found)
-    for path in [*winners, *([best[0]] if best else [])]:
-        places = {at for _, _, holder in own for at in _chain(holder) if at.path == path}
+    page = Page(source)
+    own = [x for x in page.blocks if not x[2].away]
+    holds = page.up({holder: 1 for _, _, holder in own})
+    best = best_path(page)
+    for path in [*winners, *([best] if best else [])]:
+        number = page.number(path)
+        places = [at for at in page.elements if at.path == number and holds.get(at)] if number is not None else []
         if places:
-            whole = {_outermost(at, direct) for at in places}
-            inside = [(text, top) for text, _, holder in own for top in [next((at for at in _chain(holder) if at in whole), None)] if top is not None]
-            return "\n".join(text for text, _ in inside), inside[0][1].path
+            outer = _outermost(page, {holder for text, linked, holder in own if len(text) > 2 * linked})
+            whole, inside = {outer[at] for at in places}, {}
+            for at in page.elements:
+                inside[at] = at if at in whole else inside.get(at.parent)
+            taken = [(text, inside[holder]) for text, _, holder in own if inside[holder] is not None]
+            return "\n".join(text for text, _ in taken), page.name(taken[0][1].path)
     return "\n".join(text for text, _, _ in own), ""
 
 
@@ -232,7 +285,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
 
     Each page's containers are scored and its best one is a vote for its path of tags and classes, with digits
     generalised. Votes are counted by host with partial sums; paths with ``least_share`` of a host's votes win, most votes
-    first. Each page is then read again by its host's winning paths, and by its own best path if it has none of them, each
+    first, equal ones in the order of their paths. Each page is then read again by its host's winning paths, and by its own best path if it has none of them, each
     with what its article holds beside them (see ``main_text``).
 
     Null html is empty and gives an empty text; a page without host has the host ''. One row out for each row in,
@@ -247,9 +300,9 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            best = [best_path(blocks(page.as_py())) for page in batch.column(1)]
+            best = [best_path(Page(page.as_py())) for page in batch.column(1)]
             hosts = [h for h, b in zip(batch.column(0).to_pylist(), best) if b]
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array([b[0] for b in best if b], pa.string())], names=["host", "path"])
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array([b for b in best if b], pa.string())], names=["host", "path"])
 
     votes = rows.select("host", "page").mapInArrow(vote, "host string, path string").groupBy("host", "path").agg(F.count("*").alias("n"))
     totals = votes.groupBy("host").agg(F.sum("n").alias("total"))

@@ -1,4 +1,8 @@
-from rosterline.llm.pages import best_path, blocks, extract_main_text, main_text
+import random
+import time
+from html.parser import HTMLParser
+
+from rosterline.llm.pages import Page, best_path, extract_main_text, main_text
 
 SCHEMA = "page_id long, url string, html string, text string, path int"
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body class="home page-7">
@@ -19,7 +23,7 @@ def test_broken_markup():
     assert main_text("<div><p>open <b>never closed<div>inner</div></i></section> tail", [])[0] == "open never closed\ninner\ntail"
     assert main_text("<p>a<!-- <p>b --><script>x<p>y", [])[0] == "a"
     assert main_text("<article><p>cut off in a ta<span cla", [])[0].startswith("cut off")
-    assert best_path(blocks("<nav>only menu</nav>")) is None
+    assert best_path(Page("<nav>only menu</nav>")) is None
     assert main_text("<div>" * 3000 + "deep" + "</div>" * 3000, [])[0] == "deep"
 
 
@@ -61,5 +65,76 @@ def test_names_of_layouts_do_not_hide_the_article():
             assert main_text(f"<html><body>{around % names}{rest}</body></html>", [])[0] == want, names
     assert main_text(f"<div class='menu'><p>{long}</p></div>", [])[0] == " ".join(long.split())
     assert main_text(f"<div class='comments'><p>{said}</p></div><nav>x</nav>", [])[0] == " ".join(said.split())
-    related = f"<div class='related'><article><p>Another text.</p></article></div><div class='site-header'><p>Us.</p></div>"
+    related = "<div class='related'><article><p>Another text.</p></article></div><div class='site-header'><p>Us.</p></div>"
     assert main_text(f"<body><div class='post'><p>{long}</p></div>{related}<div class='post-comments'><p>{said}</p></div></body>", [])[0] == " ".join(long.split())
+
+
+class Plain(HTMLParser):
+    """The blocks inside elements that carry ``mark``, by the standard library: the plain reading of well-formed pages."""
+
+    BLOCK = {"p", "h1", "h2", "li", "div", "section", "article", "main", "ul", "blockquote", "aside", "body", "html", "nav", "footer", "header", "form", "pre"}
+    OUT = {"nav", "footer", "header", "form", "aside", "script", "style"}
+
+    def __init__(self, page, mark):
+        super().__init__(convert_charrefs=True)
+        self.mark, self.stack, self.out, self.text = mark, [], [], ""
+        self.feed(page)
+        self.close()
+        self.end()
+
+    def end(self):
+        said = " ".join(self.text.split())
+        if said and any(m for _, m in self.stack) and not any(t in self.OUT for t, _ in self.stack):
+            self.out.append(said)
+        self.text = ""
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "br":
+            self.text += " "
+        elif tag in self.BLOCK | self.OUT:
+            self.end()
+            self.stack.append((tag, ("data-main", self.mark) in attrs))
+
+    def handle_endtag(self, tag):
+        if tag in self.BLOCK | self.OUT:
+            self.end()
+            self.stack.pop()
+
+    def handle_data(self, data):
+        self.text += data
+
+
+def test_generated_pages_of_several_layouts_equal_a_plain_reading(spark):
+    r = random.Random(21)
+    words = ["alpha", "b&eacute;ta", "gam&amp;ma", "<b>delta</b>", "eps&#105;lon", "z&lt;eta", "<i>eta</i>\n theta", "<!-- note -->iota", '<a href="/x?a=1>2">kappa</a>', "l<br>m"]
+    say = lambda n: " ".join(r.choices(words, k=n))
+    layouts = {
+        "blog": '<div class="page"><header><p>{o}</p></header><div class="post post-{i}" data-main="1">{body}</div><div class="sidebar"><p>{o}</p></div></div>',
+        "news": '<nav><ul><li><a href="/">{o}</a></li></ul></nav><main data-main="1"><h1>{o}</h1><section class="text">{body}</section></main><div id="comments"><p>{o} {o}</p></div>',
+        "wiki": '<div id="top" class="menu"><a href="/">{o}</a></div><article data-main="1"><h1>{o}</h1>{body}<aside><p>{o}</p></aside></article><form><p>{o}</p></form>',
+        "old": '<div class="ad-banner"><p>{o}</p></div><div class="content" data-main="1"><h1>{o}</h1>{body}</div><div class="related"><ul><li>{o}</li></ul></div>',
+    }
+    rows, want = [], {}
+    for i in range(160):
+        host = r.choice(["one.org", "two.org"])
+        layout = r.choice(["blog", "news"] if host == "one.org" else ["wiki", "old"])
+        body = "".join(r.choice(["<p>%s</p>", "<blockquote><p>%s</p></blockquote>", "<ul><li>%s</li></ul>", "<p class='x'>%s</p>"]) % say(r.randint(12, 60)) for _ in range(r.randint(2, 9)))
+        body = f"<p>{say(40)}</p>" + body
+        page = f"<!DOCTYPE html><html><head><title>t</title><style>p {{}}</style></head><body><script>if (1 < 2) '</p>'</script>{layouts[layout].format(i=i, o=say(4), body=body)}<footer><p>{say(5)}</p></footer></body></html>"
+        rows.append((i, f"https://{host}/{i}", page, "x", 1))
+        want[i] = "\n".join(Plain(page, "1").out)
+    got = {x["page_id"]: x["text"] for x in extract_main_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [(rows[i][2], got[i], want[i]) for i in want if got[i] != want[i]] == []
+
+
+def test_time_follows_the_length_of_a_page():
+    n = 400_000
+    pages = {
+        "tags cut off": "<a " * (n // 3), "nested": "<div>x" * (n // 6), "quotes": '"' * n, "values": "<a b='" * (n // 6), "open values": '<p class="' * (n // 10), "ends": "<div>" * (n // 10) + "</p>" * (n // 8),
+        "raw": "<script></script" * (n // 16), "hints": "<div class='menu'>x" * (n // 19), "paragraphs": "<pre>x" * (n // 6), "comments": "<!--" * (n // 4), "marks": "<" * n, "spaces": "<p class" + " " * n,
+        "siblings": "<div>" * 5000 + "<section class=s>x</section>" * (n // 28), "references": "&" * n,
+    }
+    for name, page in pages.items():
+        began = time.time()
+        main_text("<article><p>Start.</p>" + page, ["html/article", "html/div/div"])
+        assert time.time() - began < 10, name
