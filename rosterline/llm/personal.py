@@ -35,7 +35,7 @@ SPEAKS = {
     3: ("card", "credit", "visa", "mastercard", "iban", "account", "payment"), 4: ("phone", "tel", "call", "fax", "mobile", "cell", "telephone"),
     5: ("version", "order", "isbn", "id", "no", "section", "figure", "page", "serial", "token", "key", "hash"),
 }
-FEATURES = ("kind", "digits", "size", "groups", "round", "left", "right", "context")
+FEATURES = ("kind", "digits", "size", "groups", "wide", "shape", "check", "row", "left", "right", "context")
 _CONTEXT = 24  # code points looked at on either side
 
 
@@ -65,31 +65,70 @@ def _groups(value: Column) -> Column:
     return F.filter(F.split(value, "[^0-9]+", -1), lambda g: g != "")
 
 
-def _sound(kind: Column, value: Column, before: Column, after: Column, context: Column) -> Column:
-    """The base rules on a loose candidate without the marks that its base pattern demands.
-
-    An email's '(at)' and '(dot)' are read as marks and a card's separators are dropped. Four numbers with other marks than
-    plain dots are an ip if the marks are alike, the row of numbers ends there, and its surroundings speak of hosts or two
-    of the numbers have three digits. Digits without '+' are a phone if they are grouped as one or their surroundings
-    speak of one, and are not a date, four dotted numbers or one number in groups of three.
-    """
+def _check(kind: Column, value: Column) -> Column:
+    """Whether the numbers or names in a loose candidate can be of its kind, whatever its marks: parts of an ip, digits and
+    check of a card, digits of a phone, an email once '(at)' and '(dot)' are read as marks and its host is not all digits."""
     plain = F.regexp_replace(F.regexp_replace(value, r" ?[(\[{] ?at ?[)\]}] ?", "@"), r" ?[(\[{] ?dot ?[)\]}] ?", ".")
-    email = F.regexp_extract(plain, BASE["email"], 0) != ""
-    parts, marks = _groups(value), F.regexp_replace(value, "[0-9 ]", "")
-    alone = ~before.rlike("[0-9] ?[.,:] ?$") & ~after.rlike("^ ?[.,:] ?[0-9]")
-    likely = (context == 2) | (F.size(F.filter(parts, lambda g: F.length(g) == 3)) >= 2)
-    ip = _valid(F.lit("ip"), F.concat_ws(".", parts)) & (~value.rlike("[ ,:]") | (marks.isin("...", ",,,", ":::") & alone & likely))
+    email = (F.regexp_extract(plain, BASE["email"], 0) != "") & F.substring_index(plain, "@", -1).rlike("[A-Za-z]")
+    return F.when(kind == "email", email).when(kind == "ip", _valid(F.lit("ip"), F.concat_ws(".", _groups(value)))).otherwise(_valid(kind, value))
+
+
+def _shape(value: Column) -> Column:
+    """What a row of digits looks like: 1 a date, 2 one number in groups of three or with dots alone, 3 years, 4 marked as a
+    phone ('+', '00', brackets), 5 dialled from within a country, 6 numbers with unlike marks, 0 none of these."""
+    parts = _groups(value)
     sizes, last = F.transform(parts, lambda g: F.length(g)), F.length(F.element_at(parts, F.lit(-1)))
     date = value.rlike(r"^(?:(?:1[5-9]|20)[0-9]{2}[ ./-](?:0?[1-9]|1[0-2])[ ./-](?:0?[1-9]|[12][0-9]|3[01])|(?:0?[1-9]|[12][0-9]|3[01])[ ./-](?:0?[1-9]|[12][0-9]|3[01])[ ./-](?:1[5-9]|20)[0-9]{2})(?![0-9])")
     number = value.rlike(r"^[0-9]{1,3}(?:\.[0-9]{3})+$") | value.rlike("^[0-9]{1,2}(?: [0-9]{3})+$") | value.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$")
-    marked = value.rlike(r"^(?:\+|00)|[(]")
+    years = F.forall(parts, lambda g: g.rlike("^(?:1[5-9]|20)[0-9]{2}$"))
     dialled = value.rlike("^0[1-9]") | (F.size(parts).between(3, 4) & (last == 4) & F.exists(sizes, lambda n: n != 4))
-    phone = _valid(F.lit("phone"), value) & ~date & ~number & (marked | (context == 4) | (dialled & (context != 5)))
+    unlike = F.size(F.array_distinct(F.filter(F.split(F.regexp_replace(value, "[0-9 ()]", ""), ""), lambda c: c != ""))) > 1
     return (
-        F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", _valid(F.lit("card"), value)).otherwise(phone)
+        F.when(date, 1).when(number, 2).when(years, 3).when(value.rlike(r"^(?:\+|00)|[(]"), 4).when(unlike, 6).when(dialled, 5).otherwise(0)
     )
 
 
+def _cases(base: DataFrame) -> DataFrame:
+    """Labelled cases made of the base matches that pass: nid, kind, value, before, after, own (whether it is personal data).
+
+    Positives are the match in other forms: an email with '(at)' and '(dot)', an ip with other marks, a card with other
+    separators, a phone without '+'. Negatives are look-alikes at the same place: names at digits, numbers that no ip has,
+    rows of numbers and times, cards of which one digit is changed, dates, years and grouped numbers.
+    """
+    value, digits = F.col("value"), F.regexp_replace("value", "[^0-9]", "")
+    local, host, parts = F.substring_index("value", "@", 1), F.substring_index("value", "@", -1), _groups(value)
+    seed = F.pmod(F.xxhash64("nid", "value"), F.lit(1_000_000)).cast("int")
+    n = lambda low, high, step: (F.lit(low) + F.pmod(seed * F.lit(step) + F.lit(step), F.lit(high - low + 1))).cast("string")
+    two = lambda low, high, step: F.lpad(n(low, high, step), 2, "0")
+    by = lambda mark, d=digits: F.regexp_replace(d, "(.{4})(?=.)", f"$1{mark}")
+    bad = F.concat(F.left(digits, F.length(digits) - 1), F.pmod(F.right(digits, F.lit(1)).cast("int") + 1 + F.pmod(seed, F.lit(9)), F.lit(10)).cast("string"))
+    rest = F.substring("value", 2, 1000)
+    inland = F.regexp_replace(F.concat(F.lit("0"), n(2, 9, 3), F.right(digits, F.lit(9))), "^(...)(....)(.*)$", "$1 $2 $3")
+    row = lambda start, step, mark, k=4: F.concat_ws(mark, *[(F.lit(start) + F.pmod(seed, F.lit(60)) + step * i).cast("string") for i in range(k)])
+    own = {
+        "email": [F.concat(local, F.lit(a), F.replace(host, F.lit("."), F.lit(d))) for a, d in ((" (at) ", " (dot) "), ("[at]", "[dot]"), (" (at) ", "."))],
+        "ip": [F.concat_ws(mark, parts) for mark in (", ", ":", " . ")],
+        "card": [by("."), by("/"), by("_")],
+        "phone": [rest, F.concat(F.lit("00"), rest), inland],
+    }
+    not_own = {
+        "email": [F.concat(local, F.lit(" (at) "), n(0, 20, 7), F.lit("."), n(0, 30, 11)), F.concat(local, F.lit("[at]"), n(0, 20, 5), F.lit("[dot]"), n(0, 9, 3))],
+        "ip": [F.concat_ws(", ", n(256, 999, 7), n(0, 255, 5), n(256, 999, 3), n(0, 255, 11)), row(1, 1, ", "), F.concat_ws(":", two(0, 23, 7), two(0, 59, 5), two(0, 59, 3), n(0, 999, 11)), row(100, 10, ", ")],
+        "card": [by(".", bad), by(" ", bad), by("/", bad)],
+        "phone": [
+            F.concat_ws("-", n(1950, 2030, 7), two(1, 12, 5), two(1, 28, 3)), F.concat_ws(".", two(1, 28, 7), two(1, 12, 3), n(1950, 2030, 11)), row(1990, 1, " ", 3),
+            F.concat_ws(".", n(1, 99, 7), n(100, 999, 3), n(100, 999, 11)), F.concat_ws(" ", n(1, 99, 7), n(100, 999, 3), n(100, 999, 5)),
+        ],
+    }
+    made = F.lit(None)
+    for kind in KINDS:
+        longer = F.concat(F.lit(", 160"), F.col("after"))  # the fourth look-alike of an ip is part of a longer row
+        cases = [F.struct(v.alias("value"), F.lit(True).alias("own"), F.col("after").alias("after")) for v in own[kind]]
+        cases += [F.struct(v.alias("value"), F.lit(False).alias("own"), (longer if kind == "ip" and i == 3 else F.col("after")).alias("after")) for i, v in enumerate(not_own[kind])]
+        made = F.when(F.col("kind") == kind, F.array(*cases)).otherwise(made)
+    return base.select("nid", "kind", "before", F.explode(made).alias("c")).select("nid", "kind", "c.value", "before", "c.after", "c.own")
+
+
 def _matches(body: Column, pattern: str, base: bool, kind: str) -> Column:
     """All matches in order: text, length of the piece before it, and what lies on either side.
 
@@ -124,51 +163,54 @@ def candidates(rows: DataFrame) -> DataFrame:
 
 
 def _features(found: DataFrame) -> DataFrame:
-    """Small integers that describe a candidate's format and context; its checks and the marks of base patterns are not among them."""
+    """Small integers that describe the format and context of a candidate (kind, value, before, after)."""
     value, before, after = F.col("value"), F.col("before"), F.lower(F.col("after"))
-    digits = F.length(F.regexp_replace(value, "[^0-9]", ""))
+    digits, number = F.length(F.regexp_replace(value, "[^0-9]", "")), F.col("kind") != "email"
     code = F.lit(0)
-    for number, kind in enumerate(KINDS):
-        code = F.when(F.col("kind") == kind, number).otherwise(code)
+    for at, kind in enumerate(KINDS):
+        code = F.when(F.col("kind") == kind, at).otherwise(code)
     side = lambda c: F.when(c == "", 0).when(c.rlike(r"[\x20\x09-\x0D]"), 1).when(c.rlike(r"\w"), 2).otherwise(3)
     near = F.concat_ws(" ", F.lower(before), after)
     context = F.lit(0)
-    for number, said in sorted(SPEAKS.items(), reverse=True):
-        context = F.when(near.rlike(r"(?<!\w)(?:" + "|".join(said) + r")(?!\w)"), number).otherwise(context)
+    for at, said in sorted(SPEAKS.items(), reverse=True):
+        context = F.when(near.rlike(r"(?<!\w)(?:" + "|".join(said) + r")(?!\w)"), at).otherwise(context)
+    row = before.rlike("[0-9] ?[.,:] ?$") | F.col("after").rlike("^ ?[.,:] ?[0-9]")
     return found.withColumns({
         "f_kind": code, "f_digits": F.when(digits < 8, digits.cast("int") / 4).when(digits < 20, digits - 6).otherwise(14).cast("int"),
         "f_size": F.when(F.length(value) < 12, 0).when(F.length(value) < 16, 1).when(F.length(value) < 20, 2).when(F.length(value) < 40, 3).otherwise(4),
-        "f_groups": F.least(F.size(_groups(value)), F.lit(7)), "f_round": (digits == F.length(value)).cast("int"),
+        "f_groups": F.least(F.size(_groups(value)), F.lit(7)), "f_wide": F.least(F.size(F.filter(_groups(value), lambda g: F.length(g) == 3)), F.lit(4)),
+        "f_shape": F.when(number, _shape(value)).otherwise(0), "f_check": _check(F.col("kind"), value).cast("int"), "f_row": row.cast("int"),
         "f_left": side(F.right(before, F.lit(1))), "f_right": side(F.left(after, F.lit(1))), "f_context": context,
     })
 
 
-def train(found: DataFrame, precision: float = 0.9, least: int = 20) -> tuple[tuple, dict[str, float]]:
-    """Trees and a threshold for each kind, from all loose candidates (nid, kind, sound, f_*).
+def train(cases: DataFrame, precision: float = 0.9, least: int = 10) -> tuple[tuple, dict[str, float], dict[str, tuple[int, float, float]]]:
+    """Trees, a threshold for each kind, and its held-back positives, precision and recall, from labelled cases (nid, own, f_*).
 
-    A candidate is positive if the base rules accept it once its marks are put aside (``_sound``): the trees learn from
-    format and context how likely that is. Candidates are counted by feature vector in Spark; only the counts reach
-    the driver, at most one row for each combination of small integers, whatever the size of the corpus. Three quarters of the documents fit the trees,
-    the rest calibrates: a kind's threshold is the least score from which on at least ``precision`` of the held-back
-    candidates are positive, infinite if fewer than ``least`` are left.
+    Cases are counted by feature vector in Spark; only the counts reach the driver, at most one row for each combination of
+    small integers, whatever the size of the corpus. Three quarters of the documents fit the trees, the rest calibrates: a
+    kind's threshold is the least score from which on at least ``precision`` of the held-back cases are positive, and half of
+    those with that very score; it is infinite if fewer than ``least`` are left.
     """
     names = [f"f_{f}" for f in FEATURES]
-    cells = found.groupBy((F.pmod(F.xxhash64("nid"), F.lit(4)) == 0).alias("back"), *names).agg(F.count("*").alias("n"), F.sum(F.col("sound").cast("int")).alias("s"))
+    cells = cases.groupBy((F.pmod(F.xxhash64(F.lit("back"), "nid"), F.lit(4)) == 0).alias("back"), *names).agg(F.count("*").alias("n"), F.sum(F.col("own").cast("int")).alias("s"))
     rows = sorted(tuple(r) for r in cells.collect())
     table = np.array([r[1:] for r in rows], np.float64).reshape(len(rows), len(names) + 2)
     back = np.array([r[0] for r in rows], bool)
     x, n, s = table[:, : len(names)], table[:, -2], table[:, -1]
     model = boost(x[~back], n[~back], s[~back])
-    thresholds = {}
+    thresholds, report = {}, {}
     for code, kind in enumerate(KINDS):
         mine = back & (x[:, 0] == code)
         score = score_cells(model, x[mine])
         order = np.argsort(-score, kind="stable")
         count, right = np.cumsum(n[mine][order]), np.cumsum(s[mine][order])
         last = np.append(np.diff(score[order]) != 0, True) if len(order) else np.zeros(0, bool)
-        good = np.flatnonzero(last & (count >= least) & (right >= precision * count))
-        thresholds[kind] = float(score[order][good[-1]]) - 1e-9 if len(good) else float("inf")
-    return model, thresholds
+        score, count, right = score[order][last], count[last], right[last]
+        good = np.flatnonzero((count >= least) & (right >= precision * count) & (2 * np.diff(right, prepend=0) >= np.diff(count, prepend=0)))
+        thresholds[kind] = float(score[good[-1]]) - 1e-9 if len(good) else float("inf")
+        report[kind] = (int(right[-1]) if len(right) else 0, *((float(right[good[-1]] / count[good[-1]]), float(right[good[-1]] / right[-1])) if len(good) else (0.0, 0.0)))
+    return model, thresholds, report
 
 
 def _spans(found: DataFrame) -> DataFrame:
@@ -183,30 +225,40 @@ def _spans(found: DataFrame) -> DataFrame:
     )
 
 
+def _learned(found: DataFrame, precision: float) -> tuple[DataFrame, DataFrame, dict]:
+    """From a written table of candidates: base matches that pass, loose ones that are selected, and ``train``'s report."""
+    base = found.filter("base").filter(_valid(F.col("kind"), F.col("value")))
+    loose, names = found.filter("not base"), [f"f_{f}" for f in FEATURES]
+    small = [F.col(c).cast("int").alias(c) for c in names]
+    loose = staged(_features(loose).select("nid", "h", "base", "kind", "start", "end", *small), "loose")
+    # What can't be personal data by its own numbers is a negative too; the rest of the corpus' candidates have no label.
+    failing = loose.filter("f_check = 0").select("nid", F.lit(False).alias("own"), *names)
+    model, thresholds, report = train(_features(_cases(base)).select("nid", "own", *small).unionByName(failing), precision)
+    least = F.lit(float("inf"))
+    for kind in KINDS:
+        least = F.when(F.col("kind") == kind, F.lit(thresholds[kind])).otherwise(least)
+    chosen = loose.withColumn("score", score_column(model, names)).filter((F.col("score") >= least) & (F.col("f_check") == 1))
+    place = ("nid", "h", "base", "kind", "start", "end")
+    return base.select(*place), chosen.select(*place), report
+
+
 def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", precision: float = 0.9) -> DataFrame:
     """Personal data of each whole text: identifier, n_email, n_ip, n_card, n_phone (base matches), ``base_spans`` and
     ``spans`` (arrays of kind, start and end in code points, by kind as listed, then start).
 
-    Base matches always stay. Added are loose candidates that overlap no base match and that the base rules accept once
-    their marks are put aside (see ``_sound``), however common or rare they are, and those whose score reaches their kind's
-    threshold. See ``train`` for what is learned, from all documents. Null text is empty; rows without candidates have
-    empty arrays; repeated rows are found once and each returned; a null identifier stays null; an empty table gives an
-    empty result; other columns are ignored. Places come from running sums over a document's own candidates; texts are
-    never shuffled.
+    Base matches always stay. Added are the loose candidates whose score reaches their kind's threshold, whose numbers can
+    be of their kind (``_check``), and which overlap no base match; of overlapping ones the first stays, then the longer.
+    There are no labels of personal data, so trees and thresholds are learned from cases made of all base matches of the
+    corpus (``_cases``) and from all candidates that can't be personal data. With fewer than 10 held-back cases of a kind
+    nothing of it is added.
+
+    Null text is empty; rows without candidates have empty arrays; repeated rows are found once and each returned; a null
+    identifier stays null; an empty table gives an empty result; other columns are ignored. Places come from running sums
+    over a document's own candidates; texts are never shuffled.
     """
     rows = docs.select(ident(id_col).alias("nid"), F.coalesce(F.col(text_col), F.lit("")).alias("body")).withColumn("h", F.xxhash64("body"))
     found = staged(candidates(rows), "candidates")
-    base = found.filter("base").filter(_valid(F.col("kind"), F.col("value"))).select("nid", "h", "base", "kind", "start", "end")
-    loose = _features(found.filter("not base"))
-    sound = _sound(F.col("kind"), F.col("value"), F.col("before"), F.col("after"), F.col("f_context"))
-    loose = loose.withColumn("sound", sound)
-    names = [f"f_{f}" for f in FEATURES]
-    loose = staged(loose.select("nid", "h", "base", "kind", "start", "end", "sound", *[F.col(c).cast("int").alias(c) for c in names]), "loose")
-    model, thresholds = train(loose, precision)
-    least = F.lit(float("inf"))
-    for kind in KINDS:
-        least = F.when(F.col("kind") == kind, F.lit(thresholds[kind])).otherwise(least)
-    chosen = loose.withColumn("score", score_column(model, names)).filter(F.col("sound") | (F.col("score") >= least)).select("nid", "h", "base", "kind", "start", "end")
+    base, chosen, _ = _learned(found, precision)
     number = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
     span = F.struct(number.alias("order"), "start", "end", "kind", "base")
     per_doc = _spans(base.unionByName(chosen)).groupBy("nid", "h").agg(F.array_sort(F.collect_list(span)).alias("all"))
@@ -226,4 +278,7 @@ def joined(spans: str) -> Column:
 def op10_personal_data(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = find_personal(docs)
-    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(joined("base_spans"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(joined("base_spans"), 256).alias("base_sha256"), joined("spans").alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
+    )

@@ -60,13 +60,16 @@ def test_repeated_rows_null_ids_and_an_empty_table(spark):
     assert find_personal(docs.limit(0)).count() == 0
 
 
-def test_the_trees_add_what_looks_like_the_base(spark):
+def test_what_the_trees_add_follows_what_they_learned(spark):
     r = random.Random(8)
-    texts = ["please call tel %s %03d %03d %04d today" % ("+1" if i % 20 else "1", r.randint(200, 999), r.randint(100, 999), r.randint(0, 9999)) for i in range(2000)]
+    phone = lambda i: "please call tel %s %03d %03d %04d today" % ("+1" if i % 20 else "1", r.randint(200, 999), r.randint(100, 999), r.randint(0, 9999))
+    texts = [phone(i) for i in range(2000)]
     docs = spark.createDataFrame([(i, t, "v", 0) for i, t in enumerate(texts)], SCHEMA)
     rows = find_personal(docs, precision=0.8).collect()
-    assert sum(x["n_phone"] for x in rows) == 1900
-    assert all(len(x["spans"]) <= 1 for x in rows)
+    assert sum(x["n_phone"] for x in rows) == 1900 and all(len(x["spans"]) == 1 for x in rows)
+    # Without base matches there is nothing to learn from, and nothing is added.
+    rows = find_personal(docs.filter("not text like '%+1%'")).collect()
+    assert len(rows) == 100 and not any(x["spans"] for x in rows)
 
 
 def luhn_card(r):
