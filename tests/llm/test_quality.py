@@ -1,6 +1,7 @@
 import random
 import re
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 
@@ -28,21 +29,44 @@ def test_statistics_equal_brute_force(spark):
         assert (x["n_words"], x["word_chars"], x["n_symbols"], x["n_dup_lines"], x["n_repeat_words"]) == brute(texts[x["nid"]])
 
 
-def test_estimates_equal_plain_concentration_steps(spark):
+def covariance(core):
+    cov = np.cov(core.T, bias=True) * quality.CONSISTENCY
+    return cov + np.diag(np.maximum(np.square(quality.FLOORS) - np.diag(cov), 0))
+
+
+def test_estimates_have_the_least_determinant_of_all_subsets(spark):
+    r = np.random.default_rng(5)
+    turn = np.array([[1, 0, 0, 0], [0.9, 1, 0, 0], [0, 2, 1.5, 0], [0.3, 0, 0, 2]])
+    groups = {}
+    for k in range(6):
+        n = 12 + k % 3
+        x = r.normal(0, 1, (n, 4)) @ turn.T * 3
+        x[:3] += r.normal(0, 60, 4) + (np.array([40, -40, 40, -40]) if k % 2 else 0)
+        groups[f"g{k}"] = x
+    df = spark.createDataFrame([(g, *map(float, v)) for g, x in groups.items() for v in x], "g string, x1 double, x2 double, x3 double, x4 double")
+    got = {row["g"]: row for row in robust_estimates(df).collect()}
+    for g, x in groups.items():
+        h = int(np.ceil(len(x) * quality.SHARE))
+        best = min(combinations(range(len(x)), h), key=lambda c: np.linalg.det(covariance(x[list(c)])))
+        core = x[list(best)]
+        low = np.array([[got[g][f"l{i}{j}"] if j <= i else 0 for j in range(1, 5)] for i in range(1, 5)])
+        assert np.allclose([got[g][f"m{i}"] for i in range(1, 5)], core.mean(0), atol=1e-6), g
+        assert np.allclose(low @ low.T, covariance(core), atol=1e-6), g
+
+
+def test_estimates_of_a_large_group_settle(spark):
     r = np.random.default_rng(1)
     x = np.concatenate([r.normal(0, 1, (400, 4)) @ np.diag([1, 0.5, 2, 1]), r.normal(30, 1, (80, 4))])
     df = spark.createDataFrame([("a", *map(float, v)) for v in x], "g string, x1 double, x2 double, x3 double, x4 double")
     got = robust_estimates(df).first()
-    mean, cov = np.median(x, 0), np.diag((1.4826 * np.median(np.abs(x - np.median(x, 0)), 0)) ** 2)
-    floor = np.diag(np.square(quality.FLOORS))
-    cov = cov + floor
-    for _ in range(quality.STEPS):
+    mean, cov = np.median(x, 0), np.eye(4)
+    for _ in range(50):
         d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
-        core = x[d <= np.sort(d)[int(np.ceil(len(x) * quality.SHARE)) - 1] * 1.02]
-        mean, cov = core.mean(0), np.cov(core.T, bias=True) * quality.CONSISTENCY + floor
-    assert np.allclose([got[f"m{i}"] for i in range(1, 5)], mean, atol=0.1)
+        core = x[d <= np.sort(d)[int(np.ceil(len(x) * quality.SHARE)) - 1]]
+        mean, cov = core.mean(0), covariance(core)
     low = np.array([[got[f"l{i}{j}"] if j <= i else 0 for j in range(1, 5)] for i in range(1, 5)])
-    assert np.allclose(low @ low.T, cov, rtol=0.1, atol=0.1) and abs(mean).max() < 1
+    assert np.allclose([got[f"m{i}"] for i in range(1, 5)], mean, atol=0.1) and np.allclose(low @ low.T, cov, rtol=0.1, atol=0.1)
+    assert np.linalg.det(low @ low.T) <= 1.05 * np.linalg.det(cov)
 
 
 def test_verdicts(spark):
