@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 
 #: Families of languages. A language that is not here is a family of its own.
@@ -142,11 +143,18 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def hash_limit(wanted: int, rows: int) -> int:
+    """A limit below which about twice the wanted number of rows have their hash of 60 bits; all of them if they are few."""
+    return min(1 << 60, -(-(2 * wanted + 64) * (1 << 60) // rows))
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 2000) -> dict | None:
-    """Fit the classifiers on about ``sample`` documents, an equal number of each language, chosen by a hash of the identifier.
+    """Fit the classifiers on at most ``sample`` documents, an equal number of each language.
 
-    Only rows with a language, an identifier, a letter and not ``held_out`` are learned from. The sample is the only data
-    that reaches the driver: a bounded number of vectors of 4096 bins. None if there is nothing to learn from.
+    Of a language's rows those with the least hashes of identifier and text are taken, equal rows once; a share of the
+    hashes that holds twice as many is looked at for them. Only rows with a language, an identifier, a letter and not
+    ``held_out`` are learned from. The sample is the only data that reaches the driver: at most so many vectors of 4096
+    bins. None if there is nothing to learn from.
     """
     known = docs.select(F.col(id_col).alias("i"), F.col(lang_col).cast("string").alias("l"), F.col(text_col).alias("t"), held_out(id_col).alias("out"))
     known = known.filter("l is not null and i is not null and not out").filter(F.col("t").rlike(r"\p{L}"))
@@ -156,8 +164,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     each = max(1, sample // len(counts))
     share = F.lit(0)
     for lang in sorted(counts):
-        share = F.when(F.col("l") == lang, F.lit(min(1_000_000, -(-each * 1_000_000 // counts[lang])))).otherwise(share)
-    chosen = known.filter(F.pmod(F.xxhash64(F.lit("language"), "i"), F.lit(1_000_000)) < share).select("i", "l", "t")
+        share = F.when(F.col("l") == lang, F.lit(hash_limit(each, counts[lang]))).otherwise(share)
+    hashed = known.withColumn("h", F.shiftrightunsigned(F.xxhash64(F.lit("language"), "i", "t"), 4))
+    few = hashed.filter(F.col("h") < share).dropDuplicates(["l", "h"])
+    rank = F.row_number().over(Window.partitionBy("l").orderBy("h"))
+    chosen = few.withColumn("rank", rank).filter(F.col("rank") <= each).select("i", "l", "t")
     schema = pa.schema([("i", pa.int64()), ("l", pa.string()), ("x", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +188,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 def identify(docs: DataFrame, model: dict | None, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` with ``lang_pred`` and ``lang_score``; columns of these names are replaced.
 
-    ``und`` with score 0 if the text is null or has no letter, or if there is no model. A row's result depends on its whole
+    ``und`` with score 0 if the text is null or has no letter, or if there is no model. Of families with equal probability the
+    first by name wins, of languages with equal votes and probabilities the last by name. Repeated rows get the same
+    result each; an empty table gives an empty result. A row's result depends on its whole
     text alone: no shuffle, and a batch's texts are handled half a megabyte at a time (longer texts one by one). The model of
     a few weights for each bin is part of the task.
     """
@@ -203,9 +216,10 @@ def identify(docs: DataFrame, model: dict | None, text_col: str = "text") -> Dat
 
 
 def in_a_language(docs: DataFrame, least: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` whose language is known with a score of ``least`` or more."""
-    found = identify(docs, train(docs))
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= least)).select(*docs.columns)
+    """The rows of ``docs`` whose language is known with a score of ``least`` or more, with all columns as they were."""
+    own = {c: f"_own_{c}" for c in ("lang_pred", "lang_score") if c in docs.columns}
+    found = identify(docs.withColumnsRenamed(own), train(docs))
+    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= least)).select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def op2_language(spark, sf_dir):

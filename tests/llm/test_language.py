@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from rosterline.llm.language import UNKNOWN, decide, family_of, fit, gram_counts, held_out, identify, in_a_language, train
+from rosterline.llm.language import UNKNOWN, decide, family_of, fit, gram_counts, hash_limit, held_out, identify, in_a_language, train
 
 SCHEMA = "doc_id long, text string, lang string, lang_pred string, source int"
 WORDS = {
@@ -52,3 +52,25 @@ def test_one_versus_one_votes():
     x = np.stack([centers[lang] + r.normal(0, 1e-5, 4096).astype(np.float32) for lang in centers for _ in range(30)])
     model = fit(x, [lang for lang in centers for _ in range(30)])
     assert len(model["pairs"]) == 3 and all(decide(model, centers[lang])[0] == lang for lang in centers)
+
+
+def test_the_sample_is_bounded_whatever_the_corpus(spark, monkeypatch):
+    from rosterline.llm import language
+
+    for rows in (10, 1000, 10**6, 10**9, 10**11, 10**13):
+        assert hash_limit(500, rows) / 2**60 * rows <= 2 * 500 + 65
+    assert hash_limit(500, 700) == 1 << 60
+    seen = []
+    monkeypatch.setattr(language, "fit", lambda x, langs: seen.append(len(langs)))
+    many = corpus(900) + [(7, "the of and with", "en", "?", 1)] * 900 + [(7, f"the of and w{i}", "en", "?", 1) for i in range(300)]
+    docs = spark.createDataFrame(many, SCHEMA)
+    train(docs, sample=100)
+    train(docs, sample=10**6)
+    assert seen[0] == 100 and 500 < seen[1] <= 1500
+    clash = in_a_language(docs.limit(0))
+    assert clash.columns == docs.columns and clash.count() == 0
+
+
+def test_own_columns_stay(spark):
+    docs = spark.createDataFrame(corpus(300), SCHEMA)
+    assert {r["lang_pred"] for r in in_a_language(docs).collect()} == {"?"}
