@@ -170,10 +170,11 @@ def mix_sources(
 
 
 def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The rows of ``docs`` that the mix takes, each as often as it takes them."""
-    mixed = mix_sources(docs, id_col, text_col, source_col).filter("mix_taken > 0")
+    """The rows of ``docs`` that the mix takes, each as often as it takes them, with all columns as they were."""
+    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(source_col).alias("s"), F.struct("*").alias("row"))
+    mixed = mix_sources(rows, "i", "t", "s").filter("mix_taken > 0")
     times = F.explode(F.sequence(F.lit(1), (F.col("mix_taken") / F.col("mix_size")).cast("int")))
-    return mixed.select(*docs.columns, times.alias("_mix_time")).drop("_mix_time")
+    return mixed.select("row", times.alias("time")).select("row.*")
 
 
 def op7_mixing(spark, sf_dir):

@@ -78,3 +78,9 @@ def test_a_rest_of_long_documents_is_fitted():
     lengths, counts = np.array([3 * 70001, 3 * 90001, 3 * 100003, 3 * 110017]), np.array([1, 1, 1, 1])
     budget = 3 * (70001 + 100003)
     assert max(int(np.dot(lengths, fit_budget(lengths, counts, budget, seed=s))) for s in range(20)) == budget
+
+
+def test_long_documents_are_taken_if_they_fit():
+    assert fit_budget(np.array([66000, 70000]), np.array([3, 3]), 70500).tolist() == [0, 1]
+    take = fit_budget(np.array([70000, 200000, 3_000_000]), np.array([4, 1, 1]), 3_270_000)
+    assert 3_200_000 <= int(np.dot(take, [70000, 200000, 3_000_000])) <= 3_270_000
