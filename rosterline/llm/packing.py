@@ -152,7 +152,7 @@ def pack_sequences(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
     rows = docs.select(ident(id_col).alias("nid"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
     total = rows.agg(F.sum(F.octet_length("body").cast("long"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("nid", F.length("body")), F.lit(shards)))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("nid", "body"), F.lit(shards)))
     schema = _SCHEMA + (", ids array<int>" if with_ids else "")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
