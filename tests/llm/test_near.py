@@ -3,7 +3,7 @@ import random
 import numpy as np
 
 from rosterline.llm.components import components
-from rosterline.llm.near import aligned, near_duplicates, order_sketches, shingles
+from rosterline.llm.near import aligned, near_duplicates, one_of_each, order_sketches, prefix, shingles
 
 SCHEMA = "doc_id long, text string, class_id string, words int"
 
@@ -76,6 +76,24 @@ def test_classes_equal_brute_force(spark):
         assert all(got[i]["class_size"] == want.count(want[i]) for i in range(len(texts)))
 
 
+def test_short_texts_and_shared_identifiers(spark):
+    r = random.Random(4)
+    texts = []
+    for _ in range(120):  # 8 and 9 words, 4 and 5 shingles: one word more is a similarity of 0.8
+        base = ["v%d" % r.randrange(10**6) for _ in range(8)]
+        texts += [" ".join(base), " ".join([*base, "more"])]
+    docs = spark.createDataFrame([(i, t, "c", 1) for i, t in enumerate(texts)], SCHEMA)
+    got = {x["doc_id"]: x["class_id"] for x in near_duplicates(docs).collect()}
+    assert all(got[i] == got[i + 1] == i for i in range(0, len(texts), 2))
+    long = [" ".join("u%d" % r.randrange(10**6) for _ in range(60)) for _ in range(3)]
+    rows = [(5, long[0]), (5, long[1]), (8, long[0] + " end"), (9, long[1] + " end"), (None, long[2]), (3, long[2] + " end")]
+    docs = spark.createDataFrame([(i, t, "c", 1) for i, t in rows], SCHEMA)
+    got = sorted((x["doc_id"] or -1, x["class_id"], x["class_size"]) for x in near_duplicates(docs).collect())
+    assert got == [(-1, 3, 2), (3, 3, 2), (5, 5, 2), (5, 5, 2), (8, 5, 2), (9, 5, 2)]
+    left = sorted((x["doc_id"], x["text"]) for x in one_of_each(docs).collect())
+    assert left == sorted([(5, long[0]), (5, long[1]), (3, long[2] + " end")])
+
+
 def test_nulls_repeated_rows_and_an_empty_table(spark):
     docs = spark.createDataFrame([(5, "x y z a b c", None, None)] * 2 + [(None, "p q r s t u", None, None), (6, None, None, None)], SCHEMA)
     rows = near_duplicates(docs).collect()
@@ -108,3 +126,16 @@ def test_components(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 140)] + [(139, 200), (7, 7)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(1, 31)}, **{i: 100 for i in [*range(101, 140), 200]}}
+
+
+def test_similar_texts_share_a_shingle_of_their_prefixes():
+    r = np.random.default_rng(3)
+    for _ in range(300):
+        n, extra = int(r.integers(1, 60)), 0
+        a = r.integers(0, 2**63, n).astype(np.uint64)
+        b = a[r.permutation(n)[int(r.integers(0, n // 5 + 1)) :]]
+        extra = int(len(b) - 0.8 * n) if len(b) >= 0.8 * n else 0
+        b = np.concatenate([b, r.integers(0, 2**63, max(0, extra)).astype(np.uint64)])
+        same = len(set(a.tolist()) & set(b.tolist()))
+        if same >= 0.8 * (len(a) + len(b) - same):
+            assert set(prefix(a).tolist()) & set(prefix(b).tolist())

@@ -34,3 +34,21 @@ def test_stages(spark, tmp_path):
     assert mixed and mixed <= near and packed == mixed
     run = corpus_pipeline.run(spark, str(tmp_path))
     assert run.agg(F.sum("length")).first()[0] == out.agg(F.sum("length")).first()[0]
+
+
+def test_clashing_columns_and_empty_tables_go_through_all_stages(spark, tmp_path):
+    extra = ("kept", "row", "lang_pred", "lang_score", "mix_size", "mix_taken", "nid", "body", "h", "_node", "shard", "words", "time", "i", "t", "s")
+    text = " ".join("the of and that with this from have not which".split() * 4)
+    rows = [(i, f"{text} number {i}x.\nsecond line of {i} here", "en", f"s{i % 2}", 9) for i in range(30)] + [(None, None, None, None, None), (40, "", "en", "s1", 0), (41, "x " * 30000, "en", "s1", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA).select("*", *[F.concat(F.lit(c), F.col("doc_id")).alias(c) for c in extra])
+    for name, start in (("full", docs), ("empty", docs.limit(0))):
+        out = start
+        for stage, function in corpus_pipeline.STAGES:
+            out = function(spark, out, str(tmp_path))
+            if stage != "packing":
+                assert out.columns == docs.columns
+            out.write.parquet(str(tmp_path / name / stage))
+            out = spark.read.schema(out.schema).parquet(str(tmp_path / name / stage))
+            if stage != "packing":
+                assert all(r[c] == f"{c}{r['doc_id']}" for r in out.collect() for c in extra)
+        assert (out.count() > 0) == (name == "full")
