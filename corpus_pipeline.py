@@ -18,30 +18,44 @@ from rosterline.llm.packing import pack_sequences, vocabulary_path
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that is learned from the input; texts without a letter and undecided ones go."""
+    """Documents in a language that is learned from the input; texts without a letter and undecided ones go.
+
+    Null texts go. Repeated rows are judged alike; an empty table stays empty; other columns stay, whatever their names.
+    """
     return in_a_language(docs)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that other documents hold too; n_chars follows the text."""
-    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    kept = line_dedup(docs, carry=rest)
+    """All documents, without lines that other documents hold too; n_chars follows the text.
+
+    Null texts are empty ones then. A line stays in the largest identifier; rows with one identifier are one document and
+    all stay. An empty table stays empty; other columns stay, whatever their names.
+    """
+    kept = line_dedup(docs.select("doc_id", "text", F.struct("*").alias("row")), carry=("row",))
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
-    return kept.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    return kept.select(*[(new[c] if c in new else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates."""
+    """One document of each class of near duplicates, the one with the least identifier.
+
+    Texts without words are one class. A row with a null identifier stays only if its whole class has none; of repeated
+    rows one stays. An empty table stays empty; other columns stay, whatever their names.
+    """
     return one_of_each(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix of sources takes, repeated as it repeats them."""
+    """The documents that the mix of sources takes, repeated as it repeats them.
+
+    Texts without words are never taken; a null source is a source; repeated rows count each; which of the documents of a
+    length are taken depends on a seeded hash. An empty table stays empty; other columns stay, whatever their names.
+    """
     return mixture(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences."""
+    """Pieces of token sequences: see ``pack_sequences`` for null texts, repeated rows and empty tables. Columns of documents go."""
     return pack_sequences(docs, vocabulary_path())
 
 
