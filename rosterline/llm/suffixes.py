@@ -277,7 +277,7 @@ def _window_rows(length: int):
     return run
 
 
-_KEPT = pa.schema([("nid", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
+_KEPT = pa.schema([("nid", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary()), ("n_passages", pa.int64())])
 
 
 def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,7 +295,7 @@ def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 removed = int(gone.sum())
                 n_spans = int(np.count_nonzero(np.diff(gone, prepend=False) & gone))
                 kept = np.frombuffer(body, np.uint8)[~gone].tobytes()
-            rows.append((batch.column(0)[i].as_py(), len(body), removed, n_spans, kept))
+            rows.append((batch.column(0)[i].as_py(), len(body), removed, n_spans, kept, batch.column(1)[i].as_py()))
         if rows:
             yield _batch(_KEPT, *zip(*rows))
 
@@ -318,24 +318,9 @@ def _keep_counted(left: DataFrame, counted: DataFrame, keys: list[str]) -> DataF
     return direct.unionByName(left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest.select(*keys, *other), keys))
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, max_bucket: int = 40_000) -> DataFrame:
-    """Remove each byte that a string of ``length`` bytes covers which also starts anywhere else, in the same text or another.
-
-    Returns for each row: identifier, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and ``kept`` (binary:
-    the bytes left). All copies lose their bytes; strings are judged on the input. Null text is empty; matches never cross
-    rows; repeated rows repeat each other; a null identifier stays null; an empty table gives an empty result; other
-    columns are ignored.
-
-    Rows are told apart by 128 bits of hash over identifier and text, as are contexts and windows. Owners are found once
-    and written; they are counted by gram with partial sums before the shuffle. A gram whose owners all have the same
-    context (the bytes of their windows) needs no sorting: its windows are repeated as a whole. Only distinct contexts of
-    one gram are sorted, in a task that holds one bucket at a time. Buckets of more than ``max_bucket`` distinct contexts
-    are solved by counting their windows by hash, which is exact as well and spreads them over all tasks. Grams and
-    contexts that hold over one owner in 10,000, of which there are at most 10,000, are joined by broadcast, so that no
-    task gets the owners of a hot one.
-    """
-    rows = docs.select(ident(id_col).alias("nid"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    rows = rows.select("nid", F.xxhash64("nid", "body").alias("k1"), F.xxhash64("body", "nid").alias("k2"), F.col("body").cast("binary").alias("body"))
+def _repeats(rows: DataFrame, length: int, max_bucket: int) -> DataFrame:
+    """Rows (k1, k2, spans) of all bytes of rows (k1, k2, body) that are covered by a string of ``length`` bytes which starts
+    elsewhere too; spans (lo, hi) may overlap."""
     found = staged(rows.filter(F.octet_length("body") >= length).select("k1", "k2", "body").mapInArrow(_owner_rows(length), _ddl(_OWNERS)), "owners")
     grams = found.groupBy("key").agg(F.count("*").alias("n"), (F.min("ctx") == F.max("ctx")).alias("pure")).filter("n > 1")
     grams = staged(grams, "grams")
@@ -363,13 +348,101 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .select("k1", "k2", (F.col("pos") - F.col("most")).alias("lo"), (F.col("pos") - F.col("least") + length).alias("hi"))
     )
     spans = alike.unionByName(copied).unionByName(sorted_).unionByName(counted)
-    spans = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    kept = rows.join(spans, ["k1", "k2"], "left").select("nid", "k1", "body", "spans").mapInArrow(
-        _kept_rows, "nid long, n_bytes long, n_removed long, n_spans long, kept binary"
+    spans = staged(spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "spans")
+    release(marked, contexts, many, bodies, hot)
+    return spans
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows (nid, k1, k2, body): k1 and k2 tell rows of other identifiers or texts apart."""
+    rows = docs.select(ident(id_col).alias("nid"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
+    return rows.select("nid", F.xxhash64("nid", "body").alias("k1"), F.xxhash64("body", "nid").alias("k2"), F.col("body").cast("binary").alias("body"))
+
+
+_SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_BASE = 0xD1342543DE82EF95
+
+
+def word_codes(data: np.ndarray) -> bytes:
+    """Four bytes for each word of a text given as UTF-8: a polynomial hash, from running sums over the whole text."""
+    if not len(data):
+        return b""
+    space = np.concatenate([[True], _SPACES[data], [True]])
+    start, end = np.flatnonzero(space[:-1] & ~space[1:]), np.flatnonzero(~space[:-1] & space[1:])
+    power = np.full(len(data) + 1, np.uint64(_BASE))
+    power[0] = 1
+    power = np.cumprod(power, dtype=np.uint64)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1], dtype=np.uint64)])
+    back = np.full(len(data) + 1, np.uint64(pow(_BASE, -1, 2**64)))
+    back[0] = 1
+    h = (sums[end] - sums[start]) * np.cumprod(back, dtype=np.uint64)[start]
+    h ^= h >> np.uint64(29)
+    h *= _ODD[0]
+    return (h >> np.uint64(32)).astype("<u4").tobytes()
+
+
+_CODES = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("body", pa.binary())])
+
+
+def _code_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, ends = _views(batch, 2)
+        codes = [word_codes(data[a:b]) for a, b in zip(np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(codes, pa.binary())], schema=_CODES)
+
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 51, max_bucket: int = 40_000) -> DataFrame:
+    """Rows (k1, k2, ``n_passages``) of the texts with maximal runs of words that are covered by passages of ``words`` words
+    which occur elsewhere too, whatever white space is between them; texts without any have no row.
+
+    Words are runs of other characters than ``[\\x20\\x09-\\x0D]``. Texts become four bytes for each word, and the strings of
+    that many words that repeat are found as in ``suffix_dedup``, whose remarks on edges hold here too.
+    """
+    rows = _keyed(docs, id_col, text_col)
+    long = rows.filter(F.octet_length("body") >= 2 * words - 1).select("k1", "k2", "body")
+    coded = staged(long.mapInArrow(_code_rows, _ddl(_CODES)), "codes")
+    spans = _repeats(coded, 4 * words, max_bucket)
+    release(coded)
+    ordered = F.array_sort("spans")
+    # A span opens a new run if it starts behind the end of all before it.
+    runs = F.aggregate(
+        ordered, F.struct(F.lit(0).alias("n"), F.lit(-1).alias("end")),
+        lambda run, s: F.struct((run.n + F.when(s.lo > run.end, 1).otherwise(0)).alias("n"), F.greatest(run.end, s.hi).alias("end")),
+    )
+    return spans.select("k1", "k2", runs.n.cast("long").alias("n_passages"))
+
+
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, max_bucket: int = 40_000, passage_words: int | None = None) -> DataFrame:
+    """Remove each byte that a string of ``length`` bytes covers which also starts anywhere else, in the same text or another.
+
+    Returns for each row: identifier, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and ``kept`` (binary:
+    the bytes left). All copies lose their bytes; strings are judged on the input. Null text is empty; matches never cross
+    rows; repeated rows repeat each other; a null identifier stays null; an empty table gives an empty result; other
+    columns are ignored. With ``passage_words`` there is also ``n_passages``, of runs that ``repeated_passages`` finds: they
+    are only counted, as they may be shorter than ``length`` bytes.
+
+    Rows are told apart by 128 bits of hash over identifier and text, as are contexts and windows. Owners are found once
+    and written; they are counted by gram with partial sums before the shuffle. A gram whose owners all have the same
+    context (the bytes of their windows) needs no sorting: its windows are repeated as a whole. Only distinct contexts of
+    one gram are sorted, in a task that holds one bucket at a time. Buckets of more than ``max_bucket`` distinct contexts
+    are solved by counting their windows by hash, which is exact as well and spreads them over all tasks. Grams and
+    contexts that hold over one owner in 10,000, of which there are at most 10,000, are joined by broadcast, so that no
+    task gets the owners of a hot one.
+    """
+    rows = _keyed(docs, id_col, text_col)
+    found = _repeats(rows, length, max_bucket)
+    if passage_words is None:
+        found = found.withColumn("n_passages", F.lit(0).cast("long"))
+    else:
+        found = found.join(repeated_passages(docs, id_col, text_col, passage_words, max_bucket), ["k1", "k2"], "full")
+    kept = rows.join(found, ["k1", "k2"], "left").select("nid", F.coalesce("n_passages", F.lit(0)).alias("n_passages"), "body", "spans").mapInArrow(
+        _kept_rows, "nid long, n_bytes long, n_removed long, n_spans long, kept binary, n_passages long"
     )
-    return kept.withColumnRenamed("nid", id_col).withColumn(id_col, unident(id_col))
+    kept = kept.withColumnRenamed("nid", id_col).withColumn(id_col, unident(id_col))
+    return kept.drop("n_passages") if passage_words is None else kept
 
 
 def op1_suffix_dedup(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return suffix_dedup(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    found = suffix_dedup(docs, passage_words=51)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_passages")

@@ -1,12 +1,13 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rosterline.llm.suffixes import common_prefix, deep_shallow, owners, suffix_dedup
+from rosterline.llm.suffixes import common_prefix, deep_shallow, owners, suffix_dedup, word_codes
 
 SCHEMA = "doc_id long, text string, source string, kept string, nid int"
 
@@ -99,3 +100,38 @@ def test_owners_do_not_depend_on_steps(monkeypatch):
     whole = owners(data, ends, 100)
     monkeypatch.setattr(suffixes, "_STEP", 97)
     assert all((a == b).all() for a, b in zip(whole, owners(data, ends, 100)))
+
+
+def brute_passages(texts, words):
+    """Runs of words covered by windows of so many words that occur elsewhere too."""
+    split = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
+    count = Counter(tuple(w[i : i + words]) for w in split for i in range(len(w) - words + 1))
+    out = []
+    for w in split:
+        gone = np.zeros(len(w), bool)
+        for i in range(len(w) - words + 1):
+            if count[tuple(w[i : i + words])] > 1:
+                gone[i : i + words] = True
+        out.append(int(np.count_nonzero(np.diff(gone, prepend=False) & gone)))
+    return out
+
+
+@pytest.mark.parametrize("max_bucket", [40_000, 3])
+def test_passages_equal_brute_force(spark, max_bucket):
+    r = random.Random(6)
+    some = lambda n: [r.choice(["é", "a", "bb"]) + str(r.randrange(4000)) for _ in range(n)]
+    shared, other, texts = some(60), some(70), [None, "", "a b c"]
+    for i in range(60):
+        n = r.randint(12, 60)
+        at = r.randint(0, 60 - n)
+        texts.append(r.choice([" ", "\n", " \t"]).join(some(r.randint(0, 40)) + shared[at : at + n] + some(r.randint(0, 40)) + (other[i % 9 :] if i % 2 else [])))
+    texts += [" ".join(["same"] * 100), " ".join(shared + shared), texts[9]]
+    docs = spark.createDataFrame([(i, t, "s", "x", 1) for i, t in enumerate(texts)], SCHEMA)
+    got = {x["doc_id"]: x["n_passages"] for x in suffix_dedup(docs, passage_words=20, max_bucket=max_bucket).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_passages(texts, 20)
+
+
+def test_word_codes_depend_on_words_alone():
+    codes = lambda t: np.frombuffer(word_codes(np.frombuffer(t.encode(), np.uint8)), "<u4").tolist()
+    assert codes(" \tab é  ab\n") == [*codes("ab"), *codes("é"), *codes("ab")] and codes("") == codes(" \n") == []
+    assert len({c for i in range(20000) for c in codes(f"w{i}")}) == 20000
