@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import parse
 from ..functions.names import normalize_name
-from ..operators import match, merge, quality, reconcile
+from ..operators import counts, match, merge, quality, reconcile
 from ..operators.sizes import broadcast_if_small
 from ..sources.tables import table
 from .expressions import TABLES
@@ -22,7 +21,7 @@ def places(spark, d):
 @query("provider_filter", "SELECT c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'ASIA' AND c_mktsegment = 'BUILDING' AND contains(lower(c_name || ' ' || n_name), '#0000')")
 def _(spark, d):
     hit = parse.search_hit(" #0000 ", F.col("c_name"), F.col("n_name"))
-    return places(spark, d).filter((F.col("r_name") == "ASIA") & (F.col("c_mktsegment") == "BUILDING") & hit).select("c_custkey")
+    return counts.select_providers(places(spark, d), {"r_name": "ASIA", "c_mktsegment": "BUILDING"}, hit).select("c_custkey")
 
 
 @query("validate_rows", """SELECT c_custkey, array_to_string(list_filter([CASE WHEN c_acctbal < 0 THEN 'balance: range' END, CASE WHEN NOT regexp_matches(c_name, '0$') THEN 'name: pattern' END, CASE WHEN c_mktsegment NOT IN ('BUILDING', 'MACHINERY') THEN 'segment: value' END], lambda x: x IS NOT NULL), ';') AS errors

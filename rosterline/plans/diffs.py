@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ..operators import diff, status
+from ..operators import counts, diff, status
 from ..sources.tables import monthly_observations, roster_observations, snapshots, table
 from .registry import query
 
@@ -94,7 +93,7 @@ def _(spark, d):
 
 @query("active_by_program", BASE + f", {LAST} SELECT program_id, count(*) AS providers, count(*) FILTER (WHERE st = 'active') AS active FROM last GROUP BY program_id")
 def _(spark, d):
-    return _current(spark, d).groupBy("program_id").agg(F.count("*").alias("providers"), F.count_if(F.col("current_status") == "active").alias("active"))
+    return counts.counts_by_value(_current(spark, d), ["program_id"], "current_status", {"active": "active"}, "providers")
 
 
 @query("consecutive_dedup", "SELECT event_id FROM (SELECT event_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS b FROM events) WHERE b IS NULL OR b <> event_type")
@@ -191,13 +190,12 @@ def _(spark, d):
 
 @query("event_type_counts", BASE + "SELECT program_id, event_type, count(*) AS n FROM ev GROUP BY ALL")
 def _(spark, d):
-    return chain(spark, d).groupBy("program_id", "event_type").agg(F.count("*").alias("n"))
+    return counts.counts_of(chain(spark, d), ["program_id", "event_type"])
 
 
 @query("events_by_month", BASE + "SELECT program_id, date_trunc('month', snap_date)::DATE AS month, count(*) FILTER (WHERE event_type = 'authorized') AS entries, count(*) FILTER (WHERE event_type = 'disappeared_from_roster') AS exits FROM ev GROUP BY ALL")
 def _(spark, d):
-    e = chain(spark, d)
-    return e.groupBy("program_id", F.trunc("snap_date", "month").alias("month")).agg(F.count_if(F.col("event_type") == "authorized").alias("entries"), F.count_if(F.col("event_type") == "disappeared_from_roster").alias("exits"))
+    return counts.entries_and_exits(chain(spark, d), ["program_id", F.trunc("snap_date", "month").alias("month")])
 
 
 @query("entry_exit_rate", BASE + """, s AS (SELECT program_id, snap_date, sum(CASE event_type WHEN 'authorized' THEN 1 WHEN 'disappeared_from_roster' THEN -1 ELSE 0 END) AS c,
@@ -206,40 +204,38 @@ r AS (SELECT *, sum(c) OVER (PARTITION BY program_id ORDER BY snap_date) AS size
 SELECT program_id, round(sum(e) / avg(size), 6) AS entry_rate, round(sum(x) / avg(size), 6) AS exit_rate FROM r GROUP BY program_id""")
 def _(spark, d):
     e = log(spark, d)
-    size = status.net_roster(e).groupBy("program_id").agg(F.avg("size").alias("s"))
-    n = e.groupBy("program_id").agg(F.count_if(F.col("event_type") == "authorized").alias("e"), F.count_if(F.col("event_type") == "disappeared_from_roster").alias("x"))
-    return n.join(size, "program_id").select("program_id", F.round(F.col("e") / F.col("s"), 6).alias("entry_rate"), F.round(F.col("x") / F.col("s"), 6).alias("exit_rate"))
+    return counts.entry_exit_rates(e, status.net_roster(e))
 
 
 @query("snapshot_depth", f"WITH {OBS}, {SNAPS} SELECT program_id, count(*) AS n_snapshots, min(snap_date) AS earliest FROM snaps GROUP BY 1")
 def _(spark, d):
-    return snapshots(roster_observations(spark, d)).groupBy("program_id").agg(F.count("*").alias("n_snapshots"), F.min("snap_date").alias("earliest"))
+    return counts.snapshot_depth(snapshots(roster_observations(spark, d)))
 
 
 @query("seen_range", f"""WITH {OBS}, {SNAPS}, r AS (SELECT program_id, provider_id, min(seq) AS a, max(seq) AS b FROM obs JOIN snaps USING (program_id, snap_date) GROUP BY ALL)
 SELECT r.program_id, provider_id, x.snap_date AS first_seen, y.snap_date AS last_seen FROM r LEFT JOIN snaps x ON x.program_id = r.program_id AND x.seq = a LEFT JOIN snaps y ON y.program_id = r.program_id AND y.seq = b""")
 def _(spark, d):
     obs = roster_observations(spark, d)
-    s = snapshots(obs)
-    r = obs.join(s, ["program_id", "snap_date"]).groupBy("program_id", "provider_id").agg(F.min("seq").alias("a"), F.max("seq").alias("b"))
-    first = s.select("program_id", F.col("seq").alias("a"), F.col("snap_date").alias("first_seen"))
-    last = s.select("program_id", F.col("seq").alias("b"), F.col("snap_date").alias("last_seen"))
-    return r.join(first, ["program_id", "a"], "left").join(last, ["program_id", "b"], "left").select("program_id", "provider_id", "first_seen", "last_seen")
+    return counts.seen_range(obs, snapshots(obs))
 
 
-@query("event_sample", BASE + "SELECT event_id, provider_id, snap_date FROM ev WHERE event_type = 'authorized' ORDER BY snap_date, event_id LIMIT 20")
+@query("event_sample", BASE + """, e AS (SELECT * FROM ev WHERE event_type = 'authorized' ORDER BY snap_date, event_id LIMIT 20)
+SELECT e.event_id, e.provider_id, e.snap_date, o.status AS shown, s.seq AS snapshot_seq FROM e LEFT JOIN seen o ON o.program_id = e.program_id AND o.provider_id = e.provider_id AND o.seq = e.seq LEFT JOIN snaps s ON s.snapshot_id = e.snapshot_id AND s.program_id = e.program_id""")
 def _(spark, d):
-    return chain(spark, d).filter("event_type = 'authorized'").select("event_id", "provider_id", "snap_date").orderBy("snap_date", "event_id").limit(20)
+    obs = roster_observations(spark, d)
+    snaps = snapshots(obs)
+    shown = obs.join(snaps, ["program_id", "snap_date"]).groupBy("program_id", "provider_id").agg(F.map_from_entries(F.collect_list(F.struct("snap_date", "status"))).alias("shown"))
+    e = counts.event_sample(chain(spark, d), shown, snaps.select("program_id", "snapshot_id", F.col("seq").alias("snapshot_seq")), time="snap_date")
+    return e.select("event_id", "provider_id", "snap_date", F.try_element_at("shown", "snap_date").alias("shown"), "snapshot_seq")
 
 
 @query("date_range", "SELECT event_type, min(ts) AS first_ts, max(ts) AS last_ts FROM events GROUP BY 1")
 def _(spark, d):
-    return table(spark, d, "events").groupBy("event_type").agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    return counts.time_range(table(spark, d, "events"), ["event_type"], "ts", "first_ts", "last_ts")
 
 
 @query("first_seen_dedup", """SELECT user_id, event_type, ts FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY CASE event_type WHEN 'purchase' THEN 0 WHEN 'click' THEN 1 ELSE 2 END, ts, event_id) = 1""")
 def _(spark, d):
-    order = F.when(F.col("event_type") == "purchase", 0).when(F.col("event_type") == "click", 1).otherwise(2)
-    w = Window.partitionBy("user_id").orderBy(order, "ts", "event_id")
-    return table(spark, d, "events").withColumn("r", F.row_number().over(w)).filter("r = 1").select("user_id", "event_type", "ts").orderBy(F.desc_nulls_last("ts"))
+    rank = F.when(F.col("event_type") == "purchase", 0).when(F.col("event_type") == "click", 1).otherwise(2)
+    return counts.preferred_rows(table(spark, d, "events"), ["user_id"], rank, ["ts", "event_id"]).select("user_id", "event_type", "ts")
\ No newline at end of file

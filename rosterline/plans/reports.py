@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import reconcile
+from ..operators import counts, reconcile
 from ..sources.tables import table
 from . import jobs
 from .registry import query
@@ -12,40 +12,38 @@ from .registry import query
 
 @query("count_per_program", "SELECT n_nationkey, count(s_suppkey) AS n FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1")
 def _(spark, d):
-    counts = table(spark, d, "supplier").groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(F.count("*").alias("n"))
-    return table(spark, d, "nation").select("n_nationkey").join(counts, "n_nationkey", "left").fillna(0, ["n"])
+    suppliers = table(spark, d, "supplier").withColumnRenamed("s_nationkey", "n_nationkey")
+    return counts.zero_filled(table(spark, d, "nation").select("n_nationkey"), suppliers, "n_nationkey")
 
 
 @query("active_counts", "SELECT o_custkey, count(*) AS total, count(*) FILTER (WHERE o_orderstatus = 'O') AS active, count(*) FILTER (WHERE o_orderstatus = 'F') AS exited FROM orders GROUP BY 1")
 def _(spark, d):
-    return table(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("total"), F.count_if(F.col("o_orderstatus") == "O").alias("active"), F.count_if(F.col("o_orderstatus") == "F").alias("exited"))
+    return counts.counts_by_value(table(spark, d, "orders"), ["o_custkey"], "o_orderstatus", {"O": "active", "F": "exited"}, "total")
 
 
 @query("status_pivot", "SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'F') AS F, count(*) FILTER (WHERE o_orderstatus = 'O') AS O, count(*) FILTER (WHERE o_orderstatus = 'P') AS P FROM orders GROUP BY 1")
 def _(spark, d):
-    return table(spark, d, "orders").groupBy("o_orderpriority").pivot("o_orderstatus", ["F", "O", "P"]).count().fillna(0)
+    return counts.counts_by_value(table(spark, d, "orders"), ["o_orderpriority"], "o_orderstatus", {v: v for v in "FOP"})
 
 
 @query("global_counts", "SELECT (SELECT count(*) FROM customer) AS providers, (SELECT count(DISTINCT c_nationkey) FROM customer) AS programs, (SELECT count(*) FROM orders) AS events, (SELECT count(DISTINCT n_regionkey) FROM nation) AS jurisdictions")
 def _(spark, d):
-    one = lambda name, *aggs: table(spark, d, name).agg(*aggs)
-    providers = one("customer", F.count("*").alias("providers"), F.count_distinct("c_nationkey").alias("programs"))
-    return providers.crossJoin(one("orders", F.count("*").alias("events"))).crossJoin(one("nation", F.count_distinct("n_regionkey").alias("jurisdictions")))
+    return counts.totals({
+        "provider": (table(spark, d, "customer"), {"providers": F.count("*"), "programs": F.count_distinct("c_nationkey")}),
+        "event": (table(spark, d, "orders"), {"events": F.count("*")}), "program": (table(spark, d, "nation"), {"jurisdictions": F.count_distinct("n_regionkey")}),
+    })
 
 
 @query("jurisdiction_rollup", """WITH p AS (SELECT n_nationkey, n_name, n_regionkey, count(s_suppkey) AS n FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY ALL)
 SELECT n_regionkey, string_agg(n_name, ',' ORDER BY n_name) AS programs, CAST(sum(n) AS BIGINT) AS providers, bool_and(n = 0) AS all_zero, CAST(max(sum(n)) OVER () AS BIGINT) AS max_providers FROM p GROUP BY 1""")
 def _(spark, d):
-    counts = table(spark, d, "supplier").groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(F.count("*").alias("n"))
-    p = table(spark, d, "nation").join(counts, "n_nationkey", "left").fillna(0, ["n"])
-    r = p.groupBy("n_regionkey").agg(F.array_join(F.array_sort(F.collect_list("n_name")), ",").alias("programs"), F.sum("n").alias("providers"), F.bool_and(F.col("n") == 0).alias("all_zero"))
-    return r.join(F.broadcast(r.agg(F.max("providers").alias("max_providers"))))
+    p = counts.zero_filled(table(spark, d, "nation"), table(spark, d, "supplier").withColumnRenamed("s_nationkey", "n_nationkey"), "n_nationkey")
+    return counts.place_rollup(p, "n_regionkey", "n_name", "n").withColumn("programs", F.array_join("programs", ","))
 
 
 @query("share_of_max", "SELECT c_nationkey, count(*) AS n, round(count(*) / greatest(max(count(*)) OVER (), 1), 6) AS share FROM customer GROUP BY 1")
 def _(spark, d):
-    n = table(spark, d, "customer").groupBy("c_nationkey").agg(F.count("*").alias("n"))
-    return n.join(F.broadcast(n.agg(F.max("n").alias("m")))).select("c_nationkey", "n", F.round(F.col("n") / F.greatest("m", F.lit(1)), 6).alias("share"))
+    return counts.share_of_most(counts.counts_of(table(spark, d, "customer"), ["c_nationkey"]), "n")
 
 
 @query("coverage_report", """WITH s AS (SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 1 ELSE 100 END AS stated FROM nation), n AS (SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY 1)
@@ -68,30 +66,28 @@ def _(spark, d):
 @query("fill_rate", "SELECT p_brand, round(avg(CASE WHEN contains(p_name, 'ring') THEN 1.0 ELSE 0.0 END), 6) AS rate FROM part GROUP BY 1")
 def _(spark, d):
     filled = F.size(F.filter(F.split("p_name", " "), lambda w: w == "ring")) > 0
-    return table(spark, d, "part").groupBy("p_brand").agg(F.round(F.avg(F.when(filled, 1.0).otherwise(0.0)), 6).alias("rate"))
+    return counts.fill_rate(table(spark, d, "part"), ["p_brand"], filled)
 
 
 @query("element_freq", "SELECT w AS word, count(*) AS n FROM (SELECT unnest(string_split(p_name, ' ')) AS w FROM part) GROUP BY 1")
 def _(spark, d):
-    return table(spark, d, "part").select(F.explode(F.split("p_name", " ")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return counts.element_counts(table(spark, d, "part"), F.split("p_name", " "), "word")
 
 
 @query("label_counter", "SELECT o_orderpriority AS label, count(*) AS n FROM orders GROUP BY 1 ORDER BY n DESC, label")
 def _(spark, d):
-    return table(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("label")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label")
+    return counts.label_counts(table(spark, d, "orders"), F.col("o_orderpriority"))
 
 
 @query("zero_fill_counts", "SELECT k.seg AS segment, count(c_custkey) AS n FROM (SELECT unnest(['BUILDING', 'MACHINERY', 'SPACE']) AS seg) k LEFT JOIN customer ON c_mktsegment = k.seg GROUP BY 1")
 def _(spark, d):
     kinds = spark.sql("SELECT explode(array('BUILDING', 'MACHINERY', 'SPACE')) AS segment")
-    counts = table(spark, d, "customer").groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count("*").alias("n"))
-    return kinds.join(counts, "segment", "left").fillna(0, ["n"])
+    return counts.zero_filled(kinds, table(spark, d, "customer").withColumnRenamed("c_mktsegment", "segment"), "segment")
 
 
 @query("table_profile", "SELECT 'customer' AS table_name, (SELECT count(*) FROM customer) AS before, (SELECT count(*) FROM customer WHERE c_acctbal > 0) AS after UNION ALL SELECT 'supplier', (SELECT count(*) FROM supplier), (SELECT count(*) FROM supplier WHERE s_acctbal > 0)")
 def _(spark, d):
-    one = lambda name, ok: table(spark, d, name).agg(F.count("*").alias("before"), F.count_if(F.col(ok) > 0).alias("after")).select(F.lit(name).alias("table_name"), "before", "after")
-    return one("customer", "c_acctbal").unionByName(one("supplier", "s_acctbal"))
+    return counts.before_and_after({"customer": (table(spark, d, "customer"), F.col("c_acctbal") > 0), "supplier": (table(spark, d, "supplier"), F.col("s_acctbal") > 0)})
 
 
 @query("ledger_state", "SELECT count(*) FILTER (WHERE quality = 1) AS resolved, count(*) FILTER (WHERE quality <> 1) AS unresolved, count(DISTINCT doc_id) AS items FROM labels")
@@ -101,7 +97,7 @@ def _(spark, d):
 
 @query("ledger_dispositions", "SELECT quality, toxic, count(*) AS n FROM labels GROUP BY ALL")
 def _(spark, d):
-    return table(spark, d, "labels").groupBy("quality", "toxic").agg(F.count("*").alias("n"))
+    return counts.counts_of(table(spark, d, "labels"), ["quality", "toxic"])
 
 
 @query("label_crosstab", "SELECT o_orderstatus AS label, CASE o_orderstatus WHEN 'O' THEN 'active' WHEN 'F' THEN 'exited' ELSE 'unknown' END AS mapped, count(*) AS n FROM orders GROUP BY ALL")
@@ -109,13 +105,12 @@ def _(spark, d):
     from ..functions.parse import label_status
 
     o = table(spark, d, "orders").select(F.col("o_orderstatus").alias("label"), label_status(F.col("o_orderstatus"), {"o": "active", "f": "exited"}).alias("mapped"))
-    return o.groupBy("label", "mapped").agg(F.count("*").alias("n"))
+    return counts.counts_of(o, ["label", "mapped"])
 
 
 @query("rollup_totals", "SELECT coalesce(o_orderstatus, 'Total') AS status, count(*) AS n, count(DISTINCT o_custkey) AS customers FROM orders GROUP BY ROLLUP (o_orderstatus)")
 def _(spark, d):
-    r = table(spark, d, "orders").rollup("o_orderstatus").agg(F.count("*").alias("n"), F.count_distinct("o_custkey").alias("customers"))
-    return r.select(F.coalesce("o_orderstatus", F.lit("Total")).alias("status"), "n", "customers")
+    return counts.rollup_totals(table(spark, d, "orders"), "o_orderstatus", {"n": F.count("*"), "customers": F.count_distinct("o_custkey")}, "status")
 
 
 @query("top_evidence", "SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_totalprice DESC, o_orderkey) AS evidence FROM (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) <= 5) GROUP BY 1")
