@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import geo, names, parse, signals
 from ..sources import files, nested, pages
+from ..sources.scratch import new_path
 from ..sources.tables import table
 from .registry import query
 
@@ -318,9 +320,13 @@ def _(spark, d):
     return out.withColumn("is_new", F.col("is_new") & (F.col("doc_id") % 10 != 0)).select("doc_id", "sha256", "snapshot_id", "storage_path", "is_new")
 
 
-@query("export_sorted", "SELECT o_orderkey, o_custkey FROM orders")
+@query("export_sorted", "SELECT o_orderkey, o_custkey, true AS in_order FROM orders")
 def _(spark, d):
-    return table(spark, d, "orders").select("o_orderkey", "o_custkey").orderBy("o_orderkey")
+    folder = new_path(spark, "release")
+    files.export_tables({"orders": table(spark, d, "orders").select("o_orderkey", "o_custkey")}, {"orders": ["o_orderkey"]}, folder)
+    written = spark.read.parquet(f"{folder}/orders.parquet").select("*", "_metadata.file_name", "_metadata.row_index")
+    before = F.lag("o_orderkey").over(Window.partitionBy("file_name").orderBy("row_index"))
+    return written.select("o_orderkey", "o_custkey", F.coalesce(before <= F.col("o_orderkey"), F.lit(True)).alias("in_order"))
 
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
