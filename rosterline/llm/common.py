@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import new_path, remove
+
 #: The white space of the contracts: [\x20\x09-\x0D].
 SPACE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 #: A null identifier takes part in joins and orders as this value.
 NULL_ID = -(2**63)
 
-_roots: dict[int, str] = {}
-
 
 def ident(col: str | Column) -> Column:
     """The identifier with null replaced, so that it can be a join key."""
@@ -43,38 +39,10 @@ def n_words(col: Column) -> Column:
     return F.coalesce(F.regexp_count(col, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A folder that the driver and all executors share, one for each application.
-
-    It lies in spark.checkpoint.dir. Where that is unset, a temporary folder is used if the master is local, as in tests;
-    on a cluster that is an error, since executors would not see each other's files.
-    """
-    key = spark.sparkContext.applicationId
-    if key not in _roots:
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            if not spark.sparkContext.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-            base = "file://" + tempfile.mkdtemp(prefix="spark-stage-")
-        _roots[key] = f"{base.rstrip('/')}/stage-{uuid.uuid4().hex}"
-        atexit.register(_remove, spark, _roots[key])
-    return _roots[key]
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    """Best effort: at exit the session may be gone."""
-    try:
-        jvm = spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-    except Exception:
-        pass
-
-
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it again: this cuts the lineage, and lost executors cost nothing."""
     spark = df.sparkSession
-    path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
@@ -84,4 +52,4 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def release(*tables: DataFrame) -> None:
     """Remove tables that ``staged`` returned and that nothing will read again."""
     for table in tables:
-        _remove(table.sparkSession, table._staged_at)
+        remove(table.sparkSession, table._staged_at)
