@@ -120,7 +120,7 @@ class Page:
             add(page[at : found.start()])
             at = found.end()
             if not found["tag"]:
-                at = after("-->" if found["comment"] else "]]>" if found["data"] else ">", at)
+                at = after("-->", at - 2) if found["comment"] else after("]]>" if found["data"] else ">", at)
                 continue
             rest = _ATTRIBUTES.match(page, at)
             if not rest:

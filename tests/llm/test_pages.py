@@ -23,6 +23,7 @@ def test_broken_markup():
     assert main_text("<div><p>open <b>never closed<div>inner</div></i></section> tail", [])[0] == "open never closed\ninner\ntail"
     assert main_text("<p>a<!-- <p>b --><script>x<p>y", [])[0] == "a"
     assert main_text("<article><p>cut off in a ta<span cla", [])[0].startswith("cut off")
+    assert main_text("<p>a<!-->b<!-- c --><![CDATA[x>y]]>d</p>", [])[0] == "abd"
     assert best_path(Page("<nav>only menu</nav>")) is None
     assert main_text("<div>" * 3000 + "deep" + "</div>" * 3000, [])[0] == "deep"
 
