@@ -76,6 +76,22 @@ def _bundle(spark, d):
     return jobs.bundle(programs, providers, events, programs.limit(0))
 
 
+INVENTORY = """SELECT s_nationkey AS jurisdiction, CASE s_suppkey % 4 WHEN 1 THEN 'MACHINERY' WHEN 2 THEN NULL ELSE 'BUILDING' END AS model_type,
+CASE WHEN s_suppkey % 3 = 0 THEN 'Proposed' ELSE 'Implemented' END AS status_bucket FROM supplier"""
+KNOWN = "SELECT 'theirs_not_ours BUILDING' AS item, n_nationkey AS jurisdiction, 'documented' AS classification, true AS resolved, 'person' AS detected_by FROM nation WHERE n_regionkey < 2"
+
+
+@query("completeness_job", f"""WITH ours AS (SELECT DISTINCT c_nationkey AS jurisdiction, c_mktsegment AS model_type FROM customer WHERE c_acctbal > 9000),
+theirs AS (SELECT DISTINCT jurisdiction, model_type FROM ({INVENTORY}) WHERE model_type IS NOT NULL AND status_bucket = 'Implemented'),
+gaps AS (SELECT 'theirs_not_ours ' || model_type AS item, jurisdiction FROM (SELECT * FROM theirs EXCEPT SELECT * FROM ours)
+  UNION ALL SELECT 'ours_not_theirs ' || model_type, jurisdiction FROM (SELECT * FROM ours EXCEPT SELECT * FROM theirs) WHERE model_type IN (SELECT model_type FROM theirs)),
+ledger AS ({KNOWN})
+SELECT * FROM ledger UNION ALL SELECT item, jurisdiction, 'unresolved', false, 'frame_reconcile' FROM gaps WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.item = gaps.item AND l.jurisdiction = gaps.jurisdiction)""")
+def _(spark, d):
+    ours = table(spark, d, "customer").filter("c_acctbal > 9000").select(F.col("c_nationkey").alias("jurisdiction"), F.col("c_mktsegment").alias("model_type"))
+    return jobs.completeness(ours, spark.sql(INVENTORY.replace("FROM supplier", "FROM {supplier}"), supplier=table(spark, d, "supplier")), spark.sql(KNOWN.replace("FROM nation", "FROM {nation}"), nation=table(spark, d, "nation")), ("Implemented",))[0]
+
+
 BILL_TITLE = "CASE p_partkey % 5 WHEN 0 THEN 'An act to establish a pilot' WHEN 1 THEN 'Repeal of the program' WHEN 2 THEN 'Establish or repeal' WHEN 3 THEN 'Budget of the pilot program' ELSE 'Roads' END"
 BILL_ACTION = "CASE p_partkey % 3 WHEN 0 THEN 'Signed by Governor' WHEN 1 THEN 'Died in committee' ELSE 'Introduced' END"
 
