@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .divergence import OP12_SQL, op12_divergence
 from .language import op2_language
 from .lines import OP4_SQL, op4_line_dedup
 from .mixing import op7_mixing
@@ -24,5 +25,6 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_near_dedup": op9_near_dedup,
     "op10_personal_data": op10_personal_data,
+    "op12_divergence": op12_divergence,
 }
-ORACLE_SQL = {"op4_line_dedup": OP4_SQL}
+ORACLE_SQL = {"op4_line_dedup": OP4_SQL, "op12_divergence": OP12_SQL}
