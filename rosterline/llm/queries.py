@@ -12,6 +12,7 @@ from .packing import op3_packing
 from .pages import op8_html_extraction
 from .personal import op10_personal_data
 from .quality import op6_quality_outliers
+from .resample import OP13_SQL, op13_resample
 from .suffixes import op1_suffix_dedup
 
 QUERIES = {
@@ -26,5 +27,6 @@ QUERIES = {
     "op9_near_dedup": op9_near_dedup,
     "op10_personal_data": op10_personal_data,
     "op12_divergence": op12_divergence,
+    "op13_resample": op13_resample,
 }
-ORACLE_SQL = {"op4_line_dedup": OP4_SQL, "op12_divergence": OP12_SQL}
+ORACLE_SQL = {"op4_line_dedup": OP4_SQL, "op12_divergence": OP12_SQL, "op13_resample": OP13_SQL}
