@@ -13,6 +13,7 @@ from .pages import op8_html_extraction
 from .personal import op10_personal_data
 from .quality import op6_quality_outliers
 from .resample import OP13_SQL, op13_resample
+from .simhash import op11_simhash
 from .suffixes import op1_suffix_dedup
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_near_dedup": op9_near_dedup,
     "op10_personal_data": op10_personal_data,
+    "op11_simhash": op11_simhash,
     "op12_divergence": op12_divergence,
     "op13_resample": op13_resample,
 }
