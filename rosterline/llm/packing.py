@@ -29,7 +29,7 @@ class Encoder:
     """Ids of a byte-level vocabulary as little-endian bytes.
 
     No word of the vocabulary reaches over a space from the left, so a text is cut before its spaces; a part is cut at single
-    line ends and before the marks that end a word. Each part is encoded once and then looked up; the parts held are
+    line ends, if no line of it begins with white space of any kind, and before the marks that end a word. Each part is encoded once and then looked up; the parts held are
     bounded. ``path`` is the vocabulary as ranks.
     """
 
@@ -63,7 +63,7 @@ class _Parts(dict):
     def __missing__(self, part: str) -> bytes:
         core = part.rstrip(_MARKS)
         lines = part.split("\n")
-        if len(lines) > 1 and all(lines) and not part[0].isspace():
+        if len(lines) > 1 and all(lines) and not any(line[0].isspace() for line in lines):
             ids = self[lines[0]] + b"".join(self.encoder.line + self.encoder.plain[line] for line in lines[1:])
         elif core and len(core) < len(part) and core[-1].isalpha():
             ids = self[core] + self.encoder.plain[part[len(core) :]]

@@ -21,8 +21,8 @@ def plain():
 
 def test_ids_equal_the_tokenizers(plain):
     r, encoder = random.Random(1), Encoder(vocabulary_path(), most=50)
-    bits = [" ", "\n", "\t", "a", "Bc", "é", "1", "²", "'s", ".", "#,", "  ", "\x1c", "　", "漢", "<|endoftext|>", " \n", "word", "́"]
-    for _ in range(4000):
+    bits = [" ", "\n", "\t", "a", "Bc", "é", "1", "²", "'s", ".", "#,", "  ", "\x1c", "　", "漢", "<|endoftext|>", " \n", "word", "́", "\xa0", "\x85", "\u2028", "\u2003", "\ufeff", "\u200b", "\r", "\r\n", "\x0b", "\x0c", "\n\xa0"]
+    for _ in range(100_000):
         text = "".join(r.choices(bits, k=r.randint(0, 16)))
         assert np.frombuffer(encoder.ids(text), "<u4").tolist() == plain(text), repr(text)
 
