@@ -35,12 +35,13 @@ def direction(title: Column, abstract: Column | None = None) -> Column:
 
 
 def enacted(action: Column, classes: Column | None = None) -> Column:
-    said = any_in(F.lower(action), ENACTED)
+    """Without an action nothing is said of it."""
+    said = any_in(F.lower(F.coalesce(action, F.lit(""))), ENACTED)
     return said if classes is None else said | F.coalesce(F.arrays_overlap(classes, F.array(*map(F.lit, ENACTED_CLASSES))), F.lit(False))
 
 
 def failed(action: Column) -> Column:
-    return any_in(F.lower(action), FAILED)
+    return any_in(F.lower(F.coalesce(action, F.lit(""))), FAILED)
 
 
 def relevance(identifier: Column, title: Column, is_enacted: Column, queries: Column, known: Column) -> Column:

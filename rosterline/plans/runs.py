@@ -96,7 +96,8 @@ BILL_TITLE = "CASE p_partkey % 5 WHEN 0 THEN 'An act to establish a pilot' WHEN
 BILL_ACTION = "CASE p_partkey % 3 WHEN 0 THEN 'Signed by Governor' WHEN 1 THEN 'Died in committee' ELSE 'Introduced' END"
 
 
-@query("resolve_status_job", f"""WITH b AS (SELECT p_partkey AS id, p_brand AS program_id, lower({BILL_TITLE}) AS t, p_partkey % 3 = 0 AS enacted, p_partkey % 3 = 1 AS failed, p_partkey % 50 = 0 AS known FROM part),
+@query("resolve_status_job", f"""WITH b AS (SELECT p_partkey AS id, p_brand AS program_id, lower({BILL_TITLE}) AS t, p_partkey % 3 = 0 AS enacted, p_partkey % 3 = 1 AS failed,
+  EXISTS (SELECT 1 FROM part k WHERE k.p_brand = b.p_brand AND k.p_partkey % 50 = 0 AND contains('hb' || b.p_partkey, 'hb' || k.p_partkey)) AS known FROM part b),
 s AS (SELECT *, CASE WHEN t LIKE '%establish%' AND t LIKE '%repeal%' THEN 'neutral' WHEN t LIKE '%repeal%' THEN 'negative' WHEN t LIKE '%establish%' OR t LIKE '%pilot%' THEN 'positive' ELSE 'unknown' END AS way,
   least(1e0, CASE WHEN known THEN 5e-1 ELSE 0e0 END + (CASE WHEN t LIKE '%pilot%' THEN 1 ELSE 0 END + CASE WHEN t LIKE '%program%' THEN 1 ELSE 0 END) * 15e-2 + CASE WHEN enacted THEN 2e-1 ELSE 0e0 END) AS score
   FROM b WHERE t LIKE '%pilot%' OR t LIKE '%program%' OR known),

@@ -1,4 +1,4 @@
-"""Every query of the library against the SQL that gives the same rows, on the smallest tables."""
+"""Every query of the library against the SQL that gives the same rows, on small tables."""
 
 import math
 import os
@@ -7,7 +7,7 @@ import pytest
 
 from rosterline.plans.queries import QUERIES, SQL
 
-DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
+DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
