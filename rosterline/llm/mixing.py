@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import ident, n_words, staged
+from .common import ident, n_words, numbered, staged
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_REPEATS = 3
@@ -129,8 +129,9 @@ def mix_sources(
 
     The driver holds a row for each source. A task holds the lengths of one source, with their counts: their number grows
     at most with the square root of its size. Documents of one source and length are ranked in 1024 parts of their hash,
-    so that a length that a third of all documents have is spread. Ties of the hash are broken by identifier and text, so
-    reruns agree. Null text has size 0 and is never taken, as other texts without words; a null source is a source;
+    so that a length that a third of all documents have is spread; equal rows are numbered and hashed with their numbers, so
+    that they are too. Ties of the hash are broken by identifier and number, so reruns agree; which of several equal rows is
+    taken is open. Null text has size 0 and is never taken, as other texts without words; a null source is a source;
     repeated rows count each. An empty table gives an empty result. Columns of the names above are replaced.
     """
     spark = docs.sparkSession
@@ -139,8 +140,11 @@ def mix_sources(
     h = F.xxhash64(F.lit(seed), ident(id_col), F.coalesce(F.col(text_col), F.lit("")))
     sized = docs.select(
         *own, n_words(F.col(text_col)).alias("mix_size"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_mix_s"),
-        F.col(source_col).isNull().alias("_mix_null"), h.alias("_mix_h"), F.pmod(h, F.lit(_BUCKETS)).alias("_mix_b"),
+        F.col(source_col).isNull().alias("_mix_null"), ident(id_col).alias("_mix_id"), h.alias("_mix_h"),
     )
+    sized = numbered(sized, ["_mix_s", "_mix_null", "mix_size", "_mix_id", "_mix_h"], "_mix_copy")
+    sized = sized.withColumn("_mix_h", F.when(F.col("_mix_copy") > 0, F.xxhash64("_mix_h", "_mix_copy")).otherwise(F.col("_mix_h")))
+    sized = sized.withColumn("_mix_b", F.pmod("_mix_h", F.lit(_BUCKETS)))
     keys = ["_mix_s", "_mix_null", "mix_size"]
     parts = staged(sized.groupBy(*keys, "_mix_b").agg(F.count("*").alias("n")), "lengths")
     lengths = parts.groupBy(*keys).agg(F.sum("n").alias("n"))
@@ -163,7 +167,7 @@ def mix_sources(
     plan = lengths.join(goal, ["_mix_s", "_mix_null"]).groupBy("_mix_s", "_mix_null").applyInPandas(fit, planned)
     so_far = F.sum("n").over(Window.partitionBy(*keys).orderBy("_mix_b").rowsBetween(Window.unboundedPreceding, -1))
     parts = parts.withColumn("_mix_before", F.coalesce(so_far, F.lit(0))).drop("n").join(plan, keys)
-    rank = F.row_number().over(Window.partitionBy(*keys, "_mix_b").orderBy("_mix_h", ident(id_col)))
+    rank = F.row_number().over(Window.partitionBy(*keys, "_mix_b").orderBy("_mix_h", "_mix_id", "_mix_copy"))
     placed = sized.withColumn("_mix_rank", rank).join(parts, [*keys, "_mix_b"])
     times = F.col("_mix_rounds") + F.when(F.col("_mix_before") + F.col("_mix_rank") <= F.col("_mix_extra"), 1).otherwise(0)
     return placed.select(*own, "mix_size", "mix_source_size", "mix_target", (F.col("mix_size") * times).alias("mix_taken"))

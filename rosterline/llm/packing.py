@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ident, unident
+from .common import ident, numbered, unident
 
 SEQUENCE = 2048
 END_ID = 1
@@ -142,7 +142,7 @@ def pack_sequences(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
 
     A document is its ids and an end id; it is cut freely and each id lies in one piece. ``with_ids`` adds the ids of each
     piece (array of int). Documents are dealt by a hash to shards of about ``shard_bytes`` of text, as many as the
-    corpus needs, and a shard is packed by itself; it leaves less than one sequence of padding, so padding is below one
+    corpus needs, equal rows by their number too, so that no shard gets them all, and a shard is packed by itself; it leaves less than one sequence of padding, so padding is below one
     part in a thousand at any size. A shard is the only thing held in a task's memory.
 
     Null text is the end id alone. Rows that share an identifier are packed each for itself; a null identifier stays
@@ -152,7 +152,8 @@ def pack_sequences(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
     rows = docs.select(ident(id_col).alias("nid"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
     total = rows.agg(F.sum(F.octet_length("body").cast("long"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("nid", "body"), F.lit(shards)))
+    rows = rows.withColumns({"h": F.xxhash64("body"), "h2": F.xxhash64(F.lit("again"), "body")})
+    rows = numbered(rows, ["nid", "h", "h2"], "copy").select("nid", "body", F.pmod(F.xxhash64("nid", "h", "copy"), F.lit(shards)).alias("shard"))
     schema = _SCHEMA + (", ids array<int>" if with_ids else "")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
