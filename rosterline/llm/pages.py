@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,10 +25,17 @@ RAW = {"script", "style", "textarea", "title", "xmp", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr", "param"}
 #: What a start tag closes: paragraphs end at any block, items and cells at the next one.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
-HINTS_AWAY = re.compile(
-    r"(?:^|[-_])(?:ad|ads|advert\w*|banner|breadcrumb\w*|comments?|respond|reply|replies|cookie\w*|consent|copyright|footer|header|masthead|menu|modal|nav\w*"
-    r"|newsletter|notice|pager|pagination|popup|promo\w*|related|recommend\w*|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[-_])"
+_WORDS_AWAY = (
+    r"ad|ads|advert\w*|banner|breadcrumb\w*|comments?|respond|reply|replies|cookie\w*|consent|copyright|footer|header|masthead|menu|modal|nav\w*"
+    r"|newsletter|notice|pager|pagination|popup|promo\w*|related|recommend\w*|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget"
 )
+HINTS_AWAY = re.compile(rf"(?:^|[-_])(?:{_WORDS_AWAY})(?:$|[-_])")
+#: A name of such words alone, numbers, and words for a place in a page. Inside an article only these count by themselves.
+HINTS_WHOLE = re.compile(rf"(?:(?:{_WORDS_AWAY}|\d+|area|articles|bar|block|box|buttons|container|form|icons|inner|items|left|links|list|posts|right|site|slot|top|unit|wrap|wrapper)(?:[-_]+|$))+")
+#: The head of an article or of a part of it.
+HINTS_HEAD = re.compile(r"(?:article|chapter|entry|post|section|story)[-_]header$")
+#: Elements whose names count; those of headings, paragraphs, items and cells say how they look.
+NAMED = CONTAINERS - {"article", "main", "body", "td", "blockquote"} | {"tr", "tbody", "span"}
 #: Words that begin the name of a page's layout ("with-sidebar", "no-menu"), which says nothing about the element itself;
 #: and names of what readers add, which may be longer than the article.
 LAYOUT = re.compile(r"(?:with|without|no|not|has|have|hide|show|is|wide|fixed|sticky|full)[-_]")
@@ -48,13 +56,16 @@ _HEADING = frozenset(f"h{k}" for k in range(1, 7))
 class Element:
     """A block element: its place in the page's tree of paths, and what its tag and names say of it."""
 
-    __slots__ = ("tag", "path", "parent", "away", "cut", "main", "article", "titled", "hinted", "readers", "holder", "heads")
+    __slots__ = ("tag", "path", "parent", "away", "cut", "main", "article", "titled", "hinted", "doubtful", "readers", "holder", "heads", "inside")
 
     def __init__(self, tag: str, names: str, parent: "Element | None", path: int):
         self.tag, self.parent, self.path, self.titled = tag, parent, path, False
         low = names.lower()
-        hints = [n for n in low.split() if HINTS_AWAY.search(n) and not LAYOUT.match(n)] if tag not in ("body", "html", "main", "article") else []
-        self.hinted, self.readers = bool(hints), any(HINTS_READERS.search(n) for n in hints)
+        hints = [n for n in low.split() if HINTS_AWAY.search(n) and not LAYOUT.match(n) and not HINTS_HEAD.match(n)] if names and tag in NAMED else []
+        # Inside an article a name such as "share-price" only counts if links make up most of the text.
+        self.inside = bool(parent and (parent.inside or parent.article or parent.tag in ("article", "main")))
+        self.doubtful = bool(hints) and self.inside and not any(HINTS_WHOLE.fullmatch(n) for n in hints)
+        self.hinted, self.readers = bool(hints) and not self.doubtful, any(HINTS_READERS.search(n) for n in hints)
         self.cut = bool(parent and parent.cut) or tag in AWAY
         self.away = bool(parent and parent.away) or tag in AWAY or self.hinted
         self.main = tag in ("article", "main") or bool(names and HINTS_MAIN.search(low))
@@ -164,6 +175,8 @@ class Page:
                 opened[tag] = opened.get(tag, 0) + 1
                 self.elements.append(stack[-1])
         flush()
+        if any(x.doubtful for x in self.elements):
+            self._decide()
         if any(x.hinted for x in self.elements):
             self._reconsider()
 
@@ -184,6 +197,17 @@ class Page:
                 out[holder] = out.get(holder, 0) + w
         return out
 
+    def _decide(self) -> None:
+        """Doubtful names count where at least half of the text inside is links."""
+        lengths, links = {}, {}
+        for text, linked, holder in self.blocks:
+            lengths[holder] = lengths.get(holder, 0) + len(text)
+            links[holder] = links.get(holder, 0) + min(linked, len(text))
+        lengths, links = self.up(lengths), self.up(links)
+        for at in self.elements:
+            at.hinted = at.hinted or (at.doubtful and 2 * links.get(at, 0) >= lengths.get(at, 0) > 0)
+            at.away = bool(at.parent and at.parent.away) or at.tag in AWAY or at.hinted
+
     def _reconsider(self) -> None:
         """Take back hints of names that can't be right: on an element, other than of readers' texts, with most of a page's
         text without links; around the largest article or main element, if it has more text than all that is not away; and
@@ -227,16 +251,21 @@ def best_path(page: Page) -> str | None:
     """The path of the containers that score most: their own text without links, and half of what lies in containers inside.
 
     Text away from the main part (menus, headers, forms, adverts, comments) counts for nothing. Of equal scores the shorter
-    path wins, then the greater one.
+    path wins, then the one with the least checksum; lengths and checksums are carried from the path above, so that only
+    the best path is written out.
     """
     sums = page.up(page.worth(lambda at: not at.away), lambda at: 0.5 if at.tag in CONTAINERS else 1.0)
     scores: dict[int, float] = {}
     for at in page.elements:
         if at.tag in CONTAINERS and sums.get(at):
             scores[at.path] = scores.get(at.path, 0.0) + sums[at] * (1.5 if at.main else 1.0)
-    most = max(scores.values(), default=0.0)
-    names = [page.name(number) for number, score in scores.items() if score == most]
-    return max(names, key=lambda name: (-len(name), name), default=None)
+    if not scores:
+        return None
+    length, check = [len(page.steps[0][1])], [zlib.crc32(page.steps[0][1].encode(errors="replace"))]
+    for above, step in page.steps[1:]:
+        length.append(length[above] + 1 + len(step))
+        check.append(zlib.crc32(b"/" + step.encode(errors="replace"), check[above]))
+    return page.name(min(scores, key=lambda number: (-scores[number], length[number], check[number])))
 
 
 def _outermost(page: Page, direct: set[Element]) -> dict[Element, Element]:
@@ -284,7 +313,8 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     """The main text of each page: identifier, url, ``text``, ``path`` (of the container it came from).
 
     Each page's containers are scored and its best one is a vote for its path of tags and classes, with digits
-    generalised. Votes are counted by host with partial sums; paths with ``least_share`` of a host's votes win, most votes
+    generalised. Names that speak of menus and the like count on containers only, and inside an article only where they
+    consist of such words or most of the text is links. Votes are counted by host with partial sums; paths with ``least_share`` of a host's votes win, most votes
     first, equal ones in the order of their paths. Each page is then read again by its host's winning paths, and by its own best path if it has none of them, each
     with what its article holds beside them (see ``main_text``).
 
