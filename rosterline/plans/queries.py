@@ -1,6 +1,6 @@
 """All queries of the library, and their SQL."""
 
-from . import checks, diffs, expressions, reports, runs  # noqa: F401
+from . import checks, diffs, expressions, histories, reports, runs  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
