@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..sources.schemas import Table
+from .sizes import broadcast_if_small
 
 
 def rule_errors(rules: dict[str, Column]) -> Column:
@@ -126,9 +127,59 @@ def set_coverage(documented: DataFrame, known: DataFrame, key: str) -> DataFrame
     return a.subtract(b).withColumn("problem", F.lit("unknown")).unionByName(b.subtract(a).withColumn("problem", F.lit("undocumented")))
 
 
-def release_drift(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows that only one of two builds has, with the side; row counts matter."""
-    return a.exceptAll(b).withColumn("side", F.lit("only_first")).unionByName(b.exceptAll(a).withColumn("side", F.lit("only_second")))
+LEAVES, FAN = 65_536, 256
+
+
+def release_fingerprint(df: DataFrame, keys: Sequence[str] | None = None, leaves: int = LEAVES) -> DataFrame:
+    """(leaf, n, s1, s2, s3, s4): how many rows have a key in each leaf, and sums of two 64-bit hashes of them, as 32-bit halves.
+
+    Equal multisets of rows have equal fingerprints; repeated rows count. Nulls are told apart from other values by
+    position. It is one aggregate with partial sums, at most ``leaves`` rows, and can be kept beside a release, so that a
+    later one is compared without reading the old rows.
+    """
+    seen = [F.col(c) for c in df.columns]
+    nulls = [F.col(c).isNull() for c in df.columns]
+    one, two = F.xxhash64(*seen, *nulls), F.xxhash64(F.lit("again"), *nulls, *seen)
+    low, high = lambda h: h.bitwiseAND(F.lit(0xFFFFFFFF)), lambda h: F.shiftright(h, 32)
+    rows = df.select(_leaf(df, keys, leaves).alias("leaf"), one.alias("one"), two.alias("two"))
+    return rows.groupBy("leaf").agg(
+        F.count("*").alias("n"), F.sum(low(F.col("one"))).alias("s1"), F.sum(high(F.col("one"))).alias("s2"), F.sum(low(F.col("two"))).alias("s3"), F.sum(high(F.col("two"))).alias("s4"),
+    )
+
+
+def _leaf(df: DataFrame, keys: Sequence[str] | None, leaves: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(c) for c in keys or df.columns]), F.lit(leaves)).cast("int")
+
+
+def _differ(a: DataFrame, b: DataFrame, by: str) -> DataFrame:
+    sums = ["n", "s1", "s2", "s3", "s4"]
+    both = a.select(by, *[F.col(c).alias(f"a_{c}") for c in sums]).join(b.select(by, *[F.col(c).alias(f"b_{c}") for c in sums]), by, "full_outer")
+    same = [F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}")) for c in sums]
+    return both.filter(~reduce(lambda x, y: x & y, same)).select(by)
+
+
+def unequal_leaves(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The leaves in which two fingerprints differ, found from the top: sums of 256 leaves first, leaves only below those that differ."""
+    top = F.floor(F.col("leaf") / FAN).alias("top")
+    up = lambda f: f.groupBy(top).agg(*[F.sum(c).alias(c) for c in ("n", "s1", "s2", "s3", "s4")])
+    open_ = _differ(up(a), up(b), "top")
+    under = lambda f: f.withColumn("top", top).join(broadcast_if_small(open_), "top", "left_semi").drop("top")
+    return _differ(under(a), under(b), "leaf")
+
+
+def release_drift(a: DataFrame, b: DataFrame, keys: Sequence[str] | None = None, leaves: int = LEAVES) -> DataFrame:
+    """Rows that only one of two builds has, with the side; row counts matter.
+
+    Fingerprints of both are compared first; only rows in leaves that differ are shuffled and counted, those of ``a`` with
+    a plus, those of ``b`` with a minus. With ``keys`` a row that changed is in one leaf on both sides. Both must have the
+    same columns; values that hash alike and differ by type only are cast to the first's.
+    """
+    b = b.select(*[F.col(f.name).cast(f.dataType) for f in a.schema])
+    open_ = broadcast_if_small(unequal_leaves(release_fingerprint(a, keys, leaves), release_fingerprint(b, keys, leaves)))
+    part = lambda df, sign: df.withColumn("leaf", _leaf(df, keys, leaves)).join(open_, "leaf", "left_semi").drop("leaf").withColumn("_sign", F.lit(sign))
+    net = part(a, 1).unionByName(part(b, -1)).groupBy(*a.columns).agg(F.sum("_sign").alias("_net")).filter("_net <> 0")
+    side = F.when(F.col("_net") > 0, "only_first").otherwise("only_second")
+    return net.withColumn("side", side).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.abs("_net")))).drop("_net", "_copy")
 
 
 def blob_integrity(manifest: DataFrame, blobs: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-BROADCAST_BYTES = 64 << 20
+BROADCAST_BYTES = 16 << 20  # of the estimate, which comes from compressed files: in memory a table is several times that
 
 
 def broadcast_if_small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:

@@ -16,14 +16,34 @@ def recompute_status(entities: DataFrame, events: DataFrame, key: str = "provide
 
 
 def status_asof(events: DataFrame, dates: DataFrame, program: str = "program_id", key: str = "provider_id") -> DataFrame:
-    """(date, program, status, n): how many providers had which status on each date.
+    """(as_of, program, status, n): how many providers had which status at the end of each date; combinations without any are left out.
 
-    Each event holds until the provider's next one, so a date meets one interval of a provider; dates are few and bounded
-    by the caller.
+    Each event holds until the provider's next one. It adds one to its program and status at its own date and takes one away
+    at the next event's, so counts change at change points only. Change points are moved to the first wanted date from
+    theirs on, added up there, and a running sum gives the count from each to the next. So an interval is two rows
+    however many dates it covers, and the only rows by date are those of the result.
+
+    Dates are put in order once, with the different dates of events, in one task: there are as many as days. Repeated dates
+    count once, null ones are left out.
     """
     by = Window.partitionBy(program, key).orderBy("event_date", "event_id")
-    held = events.withColumn("_to", F.lead("event_date").over(by)).filter("_to is null or _to > event_date")
-    return held.join(broadcast_if_small(dates), (F.col("event_date") <= F.col("as_of")) & (F.col("_to").isNull() | (F.col("_to") > F.col("as_of")))).groupBy("as_of", program, F.col("new_status").alias("status")).agg(F.count("*").alias("n"))
+    held = events.select(program, F.col("new_status").alias("status"), "event_date", F.lead("event_date").over(by).alias("_to"))
+    ends = F.array(F.struct(F.col("event_date").alias("day"), F.lit(1).alias("step")), F.struct(F.col("_to").alias("day"), F.lit(-1).alias("step")))
+    steps = held.filter("_to is null or _to > event_date").select(program, "status", F.explode(ends).alias("_e")).filter("_e.day is not null")
+    days = steps.groupBy(program, "status", F.col("_e.day").alias("day")).agg(F.sum("_e.step").alias("step"))
+
+    wanted = dates.filter("as_of is not null").select("as_of").distinct().select("as_of", F.row_number().over(Window.orderBy("as_of")).alias("_at"))
+    every = days.select("day").distinct().select("day", F.lit(None).cast("int").alias("_at")).unionByName(wanted.select(F.col("as_of").alias("day"), "_at"))
+    ahead = Window.orderBy("day", F.col("_at").isNotNull()).rowsBetween(0, Window.unboundedFollowing)
+    first = every.select("day", F.col("_at").alias("_own"), F.min("_at").over(ahead).alias("_at"), F.max("_at").over(Window.partitionBy()).alias("_last"))
+    first = first.filter("_own is null and _at is not null").drop("_own")
+
+    points = days.join(broadcast_if_small(first), "day").groupBy(program, "status", "_at", "_last").agg(F.sum("step").alias("step"))
+    along = Window.partitionBy(program, "status").orderBy("_at")
+    size = F.sum("step").over(along.rowsBetween(Window.unboundedPreceding, 0))
+    runs = points.select(program, "status", "_at", "_last", size.alias("n"), F.lead("_at").over(along).alias("_next")).filter("n > 0")
+    spread = runs.select(program, "status", "n", F.explode(F.sequence("_at", F.coalesce(F.col("_next") - 1, "_last"))).alias("_at"))
+    return spread.join(broadcast_if_small(wanted), "_at").select("as_of", program, "status", "n")
 
 
 def net_roster(events: DataFrame, program: str = "program_id", day: str = "event_date") -> DataFrame:
@@ -65,16 +85,31 @@ def event_history(events: DataFrame, key: str, *fields: str) -> DataFrame:
     return events.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("history"))
 
 
+_IDS = 32_768  # ids of a bitmap
+
+
 def sequence_gaps(df: DataFrame, col: str) -> DataFrame:
-    """(gap_start, gap_end) of ids that a rising sequence leaves out.
+    """(gap_start, gap_end) of whole numbers that a rising sequence leaves out, between its least and its greatest id.
 
-    Ids are looked at in ranges of 1,000,000, each with the last id of the range before it; no single task sees them all.
+    Ids become bits of one bitmap for each range of 32,768, built before they are shuffled: a task sends at most 4 kB for
+    each range that it has seen, however many ids, and repeated ids set the same bit. Gaps inside a range are read from
+    its bitmap, gaps between ranges from their first and last ids: ranges are put in order in groups of 32,768, and groups
+    by their edges, which are one row for each 2^30 ids. Null ids are left out; negative ones are ids.
     """
-    ids = df.select(F.col(col).alias("id")).distinct().withColumn("part", F.floor(F.col("id") / 1_000_000))
-    edge = ids.groupBy("part").agg(F.max("id").alias("last"))
-    before = edge.select("part", F.lag("last").over(Window.orderBy("part")).alias("_edge"))
-    lagged = ids.withColumn("_lag", F.lag("id").over(Window.partitionBy("part").orderBy("id"))).join(before, "part")
-    return lagged.withColumn("_b", F.coalesce("_lag", "_edge")).filter("id - _b > 1").select((F.col("_b") + 1).alias("gap_start"), (F.col("id") - 1).alias("gap_end"))
+    at = F.col(col).cast("long")
+    bits = df.filter(at.isNotNull()).select(F.floor(at / _IDS).alias("part"), F.pmod(at, F.lit(_IDS)).alias("bit"))
+    maps = bits.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("map"))
+    set_bytes = f"filter(transform(sequence(0, {_IDS // 8 - 1}), k -> struct(8 * k as k, cast(conv(hex(substring(map, k + 1, 1)), 16, 10) as int) as b)), x -> x.b <> 0)"
+    ids = f"flatten(transform({set_bytes}, x -> transform(filter(array(0, 1, 2, 3, 4, 5, 6, 7), j -> getbit(x.b, j) = 1), j -> part * {_IDS} + x.k + j)))"
+    found = maps.select("part", F.expr(ids).alias("ids"))
+    inside = F.expr("filter(zip_with(slice(ids, 1, size(ids) - 1), slice(ids, 2, size(ids) - 1), (a, b) -> struct(a + 1 as gap_start, b - 1 as gap_end)), g -> g.gap_start <= g.gap_end)")
+    parts = found.select("part", F.floor(F.col("part") / _IDS).alias("group"), F.element_at("ids", 1).alias("first"), F.element_at("ids", -1).alias("last"), inside.alias("gaps"))
+    groups = parts.groupBy("group").agg(F.max("last").alias("end"))
+    groups = groups.select("group", F.lag("end").over(Window.orderBy("group")).alias("_before"))
+    within = Window.partitionBy("group").orderBy("part")
+    edged = parts.withColumn("_lag", F.lag("last").over(within)).join(broadcast_if_small(groups), "group").withColumn("_b", F.coalesce("_lag", "_before"))
+    between = F.when(F.col("first") - F.col("_b") > 1, F.array(F.struct((F.col("_b") + 1).alias("gap_start"), (F.col("first") - 1).alias("gap_end"))))
+    return edged.select(F.explode(F.concat("gaps", F.coalesce(between, F.slice("gaps", 1, 0)))).alias("g")).select("g.*")
 
 
 def stratified_sample(df: DataFrame, strata: list[str], key: str, least: int = 15, share: float = 0.1, seed: str = "0") -> DataFrame:

@@ -6,9 +6,9 @@ import re
 
 from pyspark.sql import functions as F
 
-from ..operators import diff, revise, status
-from ..sources.tables import roster_observations, snapshots
-from .diffs import BASE, CHAIN, SNAPS
+from ..operators import diff, quality, revise, status
+from ..sources.tables import roster_observations, snapshots, table
+from .diffs import BASE, CHAIN, SNAPS, log
 from .registry import query
 
 EVENT_SQL = "program_id, provider_id, event_type, new_status, detail, snapshot_id, snap_date, event_id"
@@ -36,8 +36,8 @@ def _(spark, d):
 
 @query("late_captures_applied", BASE + f"SELECT {EVENT_SQL} FROM ev")
 def _(spark, d):
-    log, r = _revised(spark, d)
-    return revise.apply_revision(log.drop("seq"), r)
+    before, r = _revised(spark, d)
+    return revise.apply_revision(before.drop("seq"), r)
 
 
 @query("late_captures_order", BASE + f"SELECT program_id, snap_date, snapshot_id, seq FROM snaps")
@@ -47,10 +47,35 @@ def _(spark, d):
 
 @query("late_captures_status", BASE + "SELECT program_id, provider_id, max_by(new_status, (snap_date, event_id)) AS current_status FROM ev GROUP BY ALL")
 def _(spark, d):
-    log, r = _revised(spark, d)
+    before, r = _revised(spark, d)
     dated = lambda df: df.withColumnRenamed("snap_date", "event_date")
-    entities = status.recompute_status(log.select(F.struct("program_id", "provider_id").alias("key")).distinct().withColumn("current_status", F.lit("unknown")), dated(log).withColumn("key", F.struct("program_id", "provider_id")), "key")
-    after = dated(revise.apply_revision(log.drop("seq"), r))
+    entities = status.recompute_status(before.select(F.struct("program_id", "provider_id").alias("key")).distinct().withColumn("current_status", F.lit("unknown")), dated(before).withColumn("key", F.struct("program_id", "provider_id")), "key")
+    after = dated(revise.apply_revision(before.drop("seq"), r))
     fresh = after.select("program_id", "provider_id").distinct().withColumn("key", F.struct("program_id", "provider_id"))
     known = fresh.join(entities, "key", "left").select("program_id", "provider_id", F.coalesce("current_status", F.lit("unknown")).alias("current_status"))
     return revise.revised_status(known, after, r)
+
+
+@query("status_asof_daily", BASE + """, dates AS (SELECT unnest(range(DATE '2023-12-20', DATE '2024-03-01', INTERVAL 6 HOUR)) AS as_of),
+s AS (SELECT as_of, program_id, provider_id, max_by(new_status, (snap_date, event_id)) AS status FROM ev JOIN dates ON snap_date <= as_of GROUP BY ALL)
+SELECT as_of, program_id, status, count(*) AS n FROM s GROUP BY ALL""")
+def _(spark, d):
+    dates = spark.sql("SELECT explode(sequence(TIMESTAMP_NTZ '2023-12-20 00:00:00', TIMESTAMP_NTZ '2024-02-29 18:00:00', INTERVAL 6 HOUR)) AS as_of")
+    return status.status_asof(log(spark, d).withColumn("event_date", F.col("event_date").cast("timestamp_ntz")), dates)
+
+
+@query("sequence_gaps_sparse", "SELECT b + 1 AS gap_start, id - 1 AS gap_end FROM (SELECT id, lag(id) OVER (ORDER BY id) AS b FROM (SELECT DISTINCT (o_orderkey - 700) * (o_orderkey % 7 + 1) * 1009 AS id FROM orders)) WHERE id - b > 1")
+def _(spark, d):
+    return status.sequence_gaps(table(spark, d, "orders").select(((F.col("o_orderkey") - 700) * (F.col("o_orderkey") % 7 + 1) * 1009).alias("id")), "id")
+
+
+DRIFT = "o_orderkey % 500 = 3"
+
+
+@query("release_drift_rows", f"""WITH a AS (SELECT o_orderkey, o_custkey, o_orderstatus FROM orders UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 900 = 1),
+b AS (SELECT o_orderkey, o_custkey, CASE WHEN {DRIFT} THEN NULL ELSE o_orderstatus END AS o_orderstatus FROM orders WHERE o_orderkey % 700 <> 2)
+SELECT 'only_first' AS side, * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL SELECT 'only_second', * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""")
+def _(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    b = o.filter("o_orderkey % 700 <> 2").withColumn("o_orderstatus", F.expr(f"CASE WHEN {DRIFT} THEN NULL ELSE o_orderstatus END"))
+    return quality.release_drift(o.unionByName(o.filter("o_orderkey % 900 = 1")), b, ["o_orderkey"])
