@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -40,11 +41,11 @@ def neighbours(kept: DataFrame, late: DataFrame, time: str = "snap_date") -> Dat
     )
 
 
-def revise(log: DataFrame, observations: DataFrame, kept: DataFrame, late_observations: DataFrame, late: DataFrame, time: str = "snap_date") -> Revision:
+def revise(log: DataFrame, observations: DataFrame, kept: DataFrame, late_observations: DataFrame, late: DataFrame, time: str = "snap_date", names: Callable[[DataFrame], DataFrame] = with_event_id) -> Revision:
     """The revision of ``log``, the events of the chain of ``kept`` captures, by ``late`` ones.
 
     observations and late_observations: program_id, provider_id, time, status. kept and late: program_id, time,
-    snapshot_id. log: the columns of ``EVENT``, the time and event_id.
+    snapshot_id. log: the columns of ``EVENT``, the time and event_id, as ``names`` gives it.
 
     A late capture L between P and N adds the events from P to L and replaces those from P to N by those from L to N; all
     others stay. So only rosters of the late captures and of their neighbours are read: each observation goes to the pair
@@ -72,9 +73,9 @@ def revise(log: DataFrame, observations: DataFrame, kept: DataFrame, late_observ
         "program_id", "provider_id", time, "event_type", F.when(F.col("new").isNull(), "exited").otherwise(F.col("new.status")).alias("new_status"),
         F.when(F.col("event_type") == "status_change", F.concat_ws(" → ", "old.status", "new.status")).alias("detail"),
     )
-    names = broadcast_if_small(open_.select("program_id", time, "snapshot_id"))
-    after = with_event_id(changed.join(names, ["program_id", time])).select(*EVENT, time, "event_id")
-    before = log.join(broadcast_if_small(open_.filter("not was_late").select("snapshot_id")), "snapshot_id", "left_semi").select(*EVENT, time, "event_id")
+    places = broadcast_if_small(open_.select("program_id", time, "snapshot_id"))
+    after = names(changed.join(places, ["program_id", time])).select(*EVENT, time, "event_id")
+    before = log.join(broadcast_if_small(open_.filter("not was_late").select("program_id", time)), ["program_id", time], "left_semi").select(*EVENT, time, "event_id")
     # Signed: an event that is in both with the same contents cancels out.
     signed = after.withColumn("_sign", F.lit(1)).unionByName(before.withColumn("_sign", F.lit(-1)))
     net = signed.groupBy(*EVENT, time, "event_id").agg(F.sum("_sign").alias("_net"))
@@ -82,6 +83,19 @@ def revise(log: DataFrame, observations: DataFrame, kept: DataFrame, late_observ
     return Revision(part(-1), part(1), chain.select("program_id", time, "snapshot_id", "seq"))
 
 
+def rosters_at(log: DataFrame, captures: DataFrame, time: str = "snap_date") -> DataFrame:
+    """Observations (program_id, provider_id, time, status) of the rosters at some captures, from the log alone.
+
+    An event holds until the provider's next one; each capture takes the events that hold at it, other than exits. For a log
+    without gaps: every change of a roster has its event.
+    """
+    by = Window.partitionBy("program_id", "provider_id").orderBy(time, F.when(F.col("event_type") == "disappeared_from_roster", 0).otherwise(1))
+    held = log.select("program_id", "provider_id", "event_type", F.col("new_status").alias("status"), F.col(time).alias("_from"), F.lead(time).over(by).alias("_to"))
+    at = broadcast_if_small(captures.select("program_id", time).distinct())
+    covers = (F.col("_from") <= F.col(time)) & (F.col("_to").isNull() | (F.col("_to") > F.col(time)))
+    return held.filter("event_type <> 'disappeared_from_roster'").join(at, "program_id").filter(covers).select("program_id", "provider_id", time, "status")
+
+
 def apply_revision(log: DataFrame, revision: Revision) -> DataFrame:
     """The log after a revision. Applied again it changes nothing: what is retracted is gone, what is put in is there."""
     gone = revision.retractions.select("event_id").unionByName(revision.insertions.select("event_id"))

@@ -1,8 +1,11 @@
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
+from rosterline.sources.versions import latest, parts_of
 from rosterline.streaming import incremental as inc
+from rosterline.streaming import keyed
 
 
 def rows(*items):
@@ -27,8 +30,97 @@ def test_stream_of_rosters(spark, tmp_path):
     assert got == [("A", 1, "authorized"), ("A", 3, "status_change"), ("B", 1, "authorized"), ("B", 2, "disappeared_from_roster"), ("C", 3, "authorized")]
     assert ev.select("event_id").distinct().count() == 5
     assert [r["provider_id"] for r in spark.read.parquet(f"{out}/late").collect()] == ["Z"]
-    last = spark.read.parquet(f"{out}/roster").filter("v = 2").collect()
-    assert sorted(r["provider_id"] for r in last) == ["A", "C"]
+    got = {r["provider_id"]: (r["in_roster"], r["current_status"], r["first_seen"].day, r["retrieved_at"].day) for r in inc.current_entities(spark, out).collect()}
+    assert got == {"A": (True, "suspended", 1, 3), "B": (False, "exited", 1, 1), "C": (True, "active", 3, 3)}
+    assert spark.read.parquet(f"{out}/captures").count() == 3
+
+
+def made(seed, days=10, programs="pqr"):
+    """Rosters by day in which providers leave, come back and change, and contents that come again (A, B, A)."""
+    r, out = random.Random(seed), []
+    for d in range(1, days + 1):
+        for p in programs:
+            out += [(p, f"{p}{i}", r.choice(["active", "active", "suspended", None]), f"s{p}{d}", dt.datetime(2024, 1, d)) for i in range(8) if r.random() < 0.7 or i == 0]
+    return out
+
+
+def events_of(df):
+    return sorted(str(tuple(x)) for x in df.select("event_id", "program_id", "provider_id", "event_type", "new_status", "detail", "snapshot_id", "retrieved_at").collect())
+
+
+def whole_log(spark, observations):
+    obs = spark.createDataFrame(observations, inc.ROSTER)
+    return inc.batch_events(obs, spark.createDataFrame([], inc.ROSTER))[0]
+
+
+def test_ten_batches_equal_one_chain_and_a_rerun_changes_nothing(spark, tmp_path):
+    all_rows = made(1)
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    for d in range(1, 11):
+        spark.createDataFrame([x for x in all_rows if x[4].day == d], inc.ROSTER).coalesce(1).write.mode("append").parquet(str(src))
+    stream = spark.readStream.schema(inc.ROSTER).option("maxFilesPerTrigger", 1).parquet(str(src))
+    inc.ingest(stream, out).trigger(availableNow=True).start().awaitTermination()
+    assert events_of(spark.read.parquet(f"{out}/events")) == events_of(whole_log(spark, all_rows))
+    version, entities = latest(spark, f"{out}/entities"), sorted(map(str, inc.current_entities(spark, out).collect()))
+    assert version.mark == 9
+    # The engine forgets that the last batch was committed and runs it again.
+    for name in ("9", ".9.crc"):
+        (tmp_path / "out" / "progress" / "commits" / name).unlink(missing_ok=True)
+    inc.ingest(spark.readStream.schema(inc.ROSTER).option("maxFilesPerTrigger", 1).parquet(str(src)), out).trigger(availableNow=True).start().awaitTermination()
+    assert latest(spark, f"{out}/entities") == version and sorted(map(str, inc.current_entities(spark, out).collect())) == entities
+    assert events_of(spark.read.parquet(f"{out}/events")) == events_of(whole_log(spark, all_rows))
+
+
+def test_only_programs_of_a_batch_are_written(spark, tmp_path):
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    seen = []
+    for d, programs in ((1, "pq"), (2, "q")):
+        spark.createDataFrame([x for x in made(2, 2) if x[4].day == d and x[0] in programs], inc.ROSTER).coalesce(1).write.mode("append").parquet(str(src))
+        inc.ingest(spark.readStream.schema(inc.ROSTER).parquet(str(src)), out).trigger(availableNow=True).start().awaitTermination()
+        seen.append(latest(spark, f"{out}/entities").parts)
+    p, q = parts_of(["p", "q"])
+    assert seen[0][p] == seen[1][p] and seen[0][q] != seen[1][q]
+
+
+def test_late_captures_come_back_into_the_log(spark, tmp_path):
+    all_rows = made(3)
+    late = lambda x: x[4].day % 3 == 0 and x[0] != "r"
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    for part in ([x for x in all_rows if not late(x)], [x for x in all_rows if late(x)]):
+        spark.createDataFrame(part, inc.ROSTER).coalesce(1).write.mode("append").parquet(str(src))
+        inc.ingest(spark.readStream.schema(inc.ROSTER).parquet(str(src)), out).trigger(availableNow=True).start().awaitTermination()
+    assert events_of(spark.read.parquet(f"{out}/events")) == events_of(whole_log(spark, [x for x in all_rows if not late(x)]))
+    assert events_of(inc.current_log(spark, out)) == events_of(whole_log(spark, all_rows))
+
+
+def captures_of(rows):
+    out = {}
+    for p, i, s, name, at in rows:
+        out.setdefault((p, name, at), []).append((i, s))
+    return [(*k, v) for k, v in out.items()]
+
+
+def test_keyed_state_equals_the_chain(spark, tmp_path):
+    all_rows = made(4)
+    src, out, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "progress")
+    src.mkdir()
+    batches = [[c for c in captures_of(all_rows) if c[2].day == d] for d in range(1, 11)]
+    batches[4] += [("p", "late", dt.datetime(2024, 1, 2), [("new", "active")]), ("empty", "e1", dt.datetime(2024, 1, 5), [("x", "active"), ("x", "suspended"), (None, "active")])]
+    batches[5] += batches[4][:1] + [("empty", "e2", dt.datetime(2024, 1, 6), []), ("empty", "e1", dt.datetime(2024, 1, 7), [("x", "suspended")])]
+    batches[7] += [("empty", "e1", dt.datetime(2024, 1, 8), [("x", "ignored, since the bytes are the same")])]
+    for batch in batches:
+        spark.createDataFrame(batch, keyed.CAPTURE).coalesce(1).write.mode("append").parquet(str(src))
+        with keyed.keyed_state(spark):
+            events = keyed.roster_events(spark.readStream.schema(keyed.CAPTURE).parquet(str(src)), 3)
+            events.writeStream.format("parquet").option("checkpointLocation", progress).trigger(availableNow=True).start(out).awaitTermination()
+    got = spark.read.parquet(out)
+    assert events_of(got.filter("program_id <> 'empty' and event_type <> 'late_capture'")) == events_of(whole_log(spark, all_rows))
+    assert [(x["program_id"], x["snapshot_id"]) for x in got.filter("event_type = 'late_capture'").collect()] == [("p", "late")]
+    odd = [(x["event_type"], x["new_status"], x["retrieved_at"].day) for x in got.filter("program_id = 'empty'").orderBy("retrieved_at").collect()]
+    assert odd == [("authorized", "suspended", 5), ("disappeared_from_roster", "exited", 6), ("authorized", "suspended", 7)]
 
 
 def test_batch_equals_one_run(spark):
@@ -63,7 +155,7 @@ def test_a_lost_version_stops_the_stream(spark, tmp_path):
     for day in (1, 2):
         spark.createDataFrame(rows((day, "A", "active")), inc.ROSTER).coalesce(1).write.mode("append").parquet(str(src))
         if day == 2:
-            shutil.rmtree(f"{out}/roster/v=0")
+            shutil.rmtree(f"{out}/entities")
             with pytest.raises(PySparkException):
                 inc.ingest(stream, out).trigger(availableNow=True).start().awaitTermination()
         else:
