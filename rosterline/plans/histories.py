@@ -6,8 +6,10 @@ import re
 
 from pyspark.sql import functions as F
 
-from ..operators import diff, quality, revise, status
+from ..functions.names import normalize_name
+from ..operators import diff, match, quality, revise, status
 from ..sources.tables import roster_observations, snapshots, table
+from .checks import MATCH_SQL
 from .diffs import BASE, CHAIN, SNAPS, log
 from .registry import query
 
@@ -79,3 +81,31 @@ def _(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     b = o.filter("o_orderkey % 700 <> 2").withColumn("o_orderstatus", F.expr(f"CASE WHEN {DRIFT} THEN NULL ELSE o_orderstatus END"))
     return quality.release_drift(o.unionByName(o.filter("o_orderkey % 900 = 1")), b, ["o_orderkey"])
+
+
+GREEDY = """m AS (
+  SELECT DISTINCT area, 0 AS step, CAST([] AS BIGINT[]) AS used_a, CAST([] AS BIGINT[]) AS used_b, CAST(NULL AS STRUCT(s DOUBLE, a BIGINT, b BIGINT)) AS x FROM pairs_in
+  UNION ALL
+  SELECT area, step + 1, list_append(used_a, x.a), list_append(used_b, x.b), x FROM (
+    SELECT m.area, m.step, m.used_a, m.used_b, min({'s': -p.similarity, 'a': p.a, 'b': p.b}) AS x FROM m JOIN pairs_in p ON p.area = m.area
+    WHERE NOT list_contains(m.used_a, p.a) AND NOT list_contains(m.used_b, p.b) GROUP BY m.area, m.step, m.used_a, m.used_b))"""
+
+
+@query("renames", BASE.replace("WITH ", "WITH RECURSIVE ", 1) + f""", n AS (SELECT c_custkey AS provider_id, c_mktsegment || ' ' || CAST(c_custkey % 20 AS VARCHAR) AS name FROM customer),
+pairs_in AS (SELECT g.program_id || '|' || CAST(g.seq AS VARCHAR) AS area, g.provider_id AS a, c.provider_id AS b, CAST(1 AS DOUBLE) AS similarity FROM ev g JOIN n gn ON gn.provider_id = g.provider_id
+  JOIN ev c ON c.program_id = g.program_id AND c.seq = g.seq JOIN n cn ON cn.provider_id = c.provider_id
+  WHERE g.event_type = 'disappeared_from_roster' AND c.event_type = 'authorized' AND gn.name = cn.name AND g.provider_id <> c.provider_id), {GREEDY}
+SELECT area AS place, x.a AS gone, x.b AS come, -x.s AS similarity FROM m WHERE step > 0""")
+def _(spark, d):
+    names = table(spark, d, "customer").select(F.col("c_custkey").alias("provider_id"), F.concat_ws(" ", "c_mktsegment", (F.col("c_custkey") % 20).cast("string")).alias("name"))
+    return match.renames(log(spark, d), names, 0.9)
+
+
+@query("entity_match_one_to_one", f"""WITH RECURSIVE {MATCH_SQL}, pairs_in AS (
+  SELECT a.area, a, b, round(len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t))), 6) AS similarity FROM a JOIN b USING (area)
+  WHERE len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t))) >= 0.5), {GREEDY}
+SELECT area AS p_brand, x.a AS a, x.b AS b, -x.s AS similarity FROM m WHERE step > 0""")
+def _(spark, d):
+    p = table(spark, d, "part").withColumn("name", normalize_name(F.col("p_name")))
+    scored = match.entity_match(p.filter("p_partkey % 2 = 0").withColumnRenamed("p_partkey", "a"), p.filter("p_partkey % 2 = 1").withColumnRenamed("p_partkey", "b"), "a", "b", "name", "p_brand", 0.5)
+    return match.one_to_one(scored, "a", "b", "similarity", "p_brand")
