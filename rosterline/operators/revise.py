@@ -106,6 +106,5 @@ def revised_status(entities: DataFrame, log: DataFrame, revision: Revision, keys
     """entities with the current status of those that a revision touches, from their events in the revised ``log``; others stay."""
     touched = revision.retractions.select(*keys).unionByName(revision.insertions.select(*keys)).distinct()
     marked = entities.join(touched.withColumn("_touched", F.lit(True)), list(keys), "left")
-    own = log.join(touched, list(keys), "left_semi").withColumn("_key", F.struct(*keys))
-    fresh = recompute_status(marked.filter("_touched").withColumn("_key", F.struct(*keys)), own, "_key").drop("_key")
+    fresh = recompute_status(marked.filter("_touched"), log.join(touched, list(keys), "left_semi"), keys)
     return marked.filter("_touched is null").unionByName(fresh).drop("_touched")

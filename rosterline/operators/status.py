@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -9,9 +11,10 @@ from pyspark.sql.window import Window
 from .sizes import broadcast_if_small
 
 
-def recompute_status(entities: DataFrame, events: DataFrame, key: str = "provider_id", status: str = "current_status") -> DataFrame:
-    """entities with the status of their last event by (date, event id); without events they keep theirs."""
-    last = events.groupBy(key).agg(F.max_by("new_status", F.struct("event_date", "event_id")).alias("_last"))
+def recompute_status(entities: DataFrame, events: DataFrame, key: str | Sequence[str] = "provider_id", status: str = "current_status") -> DataFrame:
+    """entities with the status of their last event by (date, event id); without events they keep theirs. ``key`` may be several columns."""
+    key = [key] if isinstance(key, str) else list(key)
+    last = events.groupBy(*key).agg(F.max_by("new_status", F.struct("event_date", "event_id")).alias("_last"))
     return entities.join(last, key, "left").withColumn(status, F.coalesce("_last", status)).drop("_last")
 
 

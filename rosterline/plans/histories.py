@@ -51,10 +51,10 @@ def _(spark, d):
 def _(spark, d):
     before, r = _revised(spark, d)
     dated = lambda df: df.withColumnRenamed("snap_date", "event_date")
-    entities = status.recompute_status(before.select(F.struct("program_id", "provider_id").alias("key")).distinct().withColumn("current_status", F.lit("unknown")), dated(before).withColumn("key", F.struct("program_id", "provider_id")), "key")
+    keys = ["program_id", "provider_id"]
+    entities = status.recompute_status(before.select(*keys).distinct().withColumn("current_status", F.lit("unknown")), dated(before), keys)
     after = dated(revise.apply_revision(before.drop("seq"), r))
-    fresh = after.select("program_id", "provider_id").distinct().withColumn("key", F.struct("program_id", "provider_id"))
-    known = fresh.join(entities, "key", "left").select("program_id", "provider_id", F.coalesce("current_status", F.lit("unknown")).alias("current_status"))
+    known = after.select(*keys).distinct().join(entities, keys, "left").withColumn("current_status", F.coalesce("current_status", F.lit("unknown")))
     return revise.revised_status(known, after, r)
 
 

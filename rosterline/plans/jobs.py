@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import signals
 from ..operators import diff, merge, quality, reconcile, status
 from ..operators.sizes import broadcast_if_small
-from ..sources import files
+from ..sources import files, pages
+from ..sources.scratch import new_path
 
 
 @dataclass
@@ -45,12 +47,51 @@ def rebuild(manifest: DataFrame, observations: DataFrame, sources: DataFrame, pr
     providers = seen.groupBy("program_id", "provider_id").agg(
         F.min_by("snapshot_id", order).alias("first_seen_snapshot_id"), F.max_by("snapshot_id", order).alias("last_seen_snapshot_id"), F.max_by("status", order).alias("current_status")
     )
-    providers = status.recompute_status(providers, events)
+    providers = status.recompute_status(providers, events, ["program_id", "provider_id"])
     aliases = providers.select("provider_id", F.lit("").alias("alias_name")).limit(0)
     errors = quality.provenance_audit(providers, events, kept, programs, aliases)
     return Rebuild(events, providers, kept, errors)
 
 
+@dataclass
+class FileRebuild:
+    rebuilt: Rebuild
+    observations: DataFrame
+    dispositions: DataFrame
+
+
+def rebuild_from_files(
+    spark: SparkSession, manifest_path: str, blob_root: str, parsers: Mapping[str, Callable[[bytes], list[dict]]], sources: DataFrame, programs: DataFrame, partial: Sequence[str] = (),
+) -> FileRebuild:
+    """The event log, entities and audit from a manifest file and the raw captures that it registers; nothing is fetched.
+
+    Each blob's bytes are hashed and parsed in one pass beside its manifest row; the parser of a program gives dicts with
+    provider_id and status. The rows are written once, and two things are read from them: observations, numbered as the
+    parser gave them, and the disposition of each capture (program_id, retrieved_at, snapshot_id, n_rows, error, is_partial): ``ingested``,
+    ``missing``, ``hash_mismatch``, ``empty`` or ``parse_error``. Captures that aren't ingested have no place in the chain, so
+    nobody leaves a roster because a file is broken.
+
+    Blobs go to the manifest by path: the manifest is sent to them where it is small, and bytes that several captures share
+    are read for each.
+    """
+    manifest = files.read_manifest(spark, manifest_path).withColumn("capture", F.concat_ws("|", "program_id", F.col("retrieved_at").cast("string"), "snapshot_id"))
+    blobs = files.read_blobs(spark, blob_root).select(F.col("path").alias("storage_path"), "content", F.col("sha256").alias("_have"))
+    held = blobs.join(broadcast_if_small(manifest.select("storage_path", "program_id", "capture", "content_sha256")), "storage_path")
+    wrong = F.when(F.col("_have") != F.col("content_sha256"), "hash_mismatch")
+    parsed = pages.parse_captures(held.withColumn("problem", wrong), parsers, "provider_id string, status string", key="capture", partial=partial, problem="problem")
+    path = new_path(spark, "parsed")
+    parsed.write.parquet(path)
+    parsed = spark.read.schema(parsed.schema).parquet(path)
+
+    own = parsed.groupBy("capture").agg(F.count("row_no").alias("n_rows"), F.max("error").alias("error"), F.bool_or("is_partial").alias("is_partial"))
+    label = F.when(F.col("n_rows").isNull(), "missing").when(F.col("error") == "hash_mismatch", "hash_mismatch").when(F.col("error") == "no rows", "empty").when(F.col("error").isNotNull(), "parse_error").otherwise("ingested")
+    marked = manifest.join(own, "capture", "left").withColumn("disposition", label)
+    rows = parsed.filter("error is null").join(marked.filter("disposition = 'ingested'").select("capture", "retrieved_at"), "capture").select("program_id", "retrieved_at", "provider_id", "row_no", "status", "is_partial")
+    kept = marked.filter("disposition = 'ingested'").select("program_id", "snapshot_id", "source_url", "retrieved_at", "content_sha256")
+    shown = marked.select("program_id", "retrieved_at", "snapshot_id", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "error", F.coalesce("is_partial", F.lit(False)).alias("is_partial"), "disposition")
+    return FileRebuild(rebuild(kept, rows, sources, programs), rows, shown)
+
+
 def publish(out: Rebuild, folder: str) -> dict[str, int]:
     """Write a rebuild as a release, each table in the order of its key; an audit that is not empty stops it."""
     if not out.errors.isEmpty():

@@ -9,17 +9,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .markup import html_blocks, html_tables
+
 
 def plain_text(c: Column) -> Column:
     """Markup off, white space single, trimmed."""
     return F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]*>", " "), r"\s+", " "))
 
 
-def extract_html_rows(df: DataFrame, id_col: str, html_col: str, row: str = r"(?s)<tr[^>]*>(.*?)</tr>", cell: str = r"(?s)<td[^>]*>(.*?)</td>", least_cells: int = 1) -> DataFrame:
-    """(id, row_no, cells): rows of a page's tables as arrays of plain cells; header rows and short ones are dropped."""
-    rows = df.select(id_col, F.posexplode(F.regexp_extract_all(html_col, F.lit(row), F.lit(1))).alias("row_no", "r"))
-    cells = F.transform(F.regexp_extract_all("r", F.lit(cell), F.lit(1)), plain_text)
-    return rows.select(id_col, "row_no", cells.alias("cells")).filter(F.size("cells") >= least_cells)
+def extract_html_rows(df: DataFrame, id_col: str, html_col: str, least_cells: int = 1, table: int | None = None) -> DataFrame:
+    """(id, row_no, cells): rows of a page's tables, or of one of them by number, as arrays of plain cells; header rows and short ones are dropped."""
+    rows = html_tables(df, id_col, html_col).filter(~F.col("is_header") & (F.size("cells") >= least_cells))
+    return (rows if table is None else rows.filter(F.col("table_no") == table)).select(id_col, "row_no", "cells")
 
 
 def named_rows(rows: DataFrame, name: Column, test_accounts: Sequence[str] = ()) -> DataFrame:
@@ -52,8 +53,7 @@ def carry_forward(df: DataFrame, doc: str, order: str, values: Mapping[str, Colu
 
 def heading_inventory(df: DataFrame, doc: str, html_col: str) -> DataFrame:
     """(doc, pos, model_type, bucket, region, item): items of a page under its h2, h3 and h4; region is Domestic until one is named."""
-    tags = df.select(doc, F.posexplode(F.regexp_extract_all(html_col, F.lit(r"(?s)(<(?:h[234]|li)[^>]*>.*?</(?:h[234]|li)>)"), F.lit(1))).alias("pos", "t"))
-    tags = tags.select(doc, "pos", F.lower(F.regexp_extract("t", r"^<(h[234]|li)", 1)).alias("tag"), plain_text(F.col("t")).alias("text"))
+    tags = html_blocks(df, doc, html_col).filter(F.col("tag").isin("h2", "h3", "h4", "li"))
     of = lambda tag: F.when(F.col("tag") == tag, F.col("text"))
     out = carry_forward(tags, doc, "pos", {"model_type": of("h2"), "bucket": of("h3"), "region": of("h4")}, F.col("tag") == "h2")
     return out.filter("tag = 'li' and model_type is not null").select(doc, "pos", "model_type", "bucket", F.coalesce("region", F.lit("Domestic")).alias("region"), F.col("text").alias("item"))
@@ -61,13 +61,15 @@ def heading_inventory(df: DataFrame, doc: str, html_col: str) -> DataFrame:
 
 def parse_captures(
     captures: DataFrame, parsers: Mapping[str, Callable[[bytes], list[dict]]], fields: str, program: str = "program_id", key: str = "capture_id", content: str = "content", partial: Sequence[str] = (),
+    problem: str | None = None,
 ) -> DataFrame:
     """Rows (program, key, row_no, fields..., error, is_partial) by the user's function for each program.
 
     Programs in ``partial`` have functions that see only the first page of a roster; their rows say so.
 
     A capture whose function fails gives one row with the error, one without rows gives one with 'no rows'; other captures
-    go on. Captures are parsed where they are: no shuffle.
+    go on. Where the column ``problem`` says what is wrong with a capture, such as bytes that are not the registered ones,
+    it isn't parsed and that is its error. Captures are parsed where they are: no shuffle.
     """
     names = [f.split()[0] for f in fields.split(", ")]
     schema = f"{program} string, {key} string, row_no int, {fields}, error string"
@@ -76,7 +78,10 @@ def parse_captures(
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for p, k, data in zip(frame[program], frame[key], frame[content]):
+            for p, k, data, wrong in zip(frame[program], frame[key], frame[content], frame["_problem"]):
+                if wrong is not None:
+                    out.append((p, str(k), None, *[None] * len(names), wrong))
+                    continue
                 try:
                     rows = parsers[p](bytes(data))
                     out += [(p, str(k), i, *[r.get(n) for n in names], None) for i, r in enumerate(rows)] or [(p, str(k), None, *[None] * len(names), "no rows")]
@@ -84,5 +89,6 @@ def parse_captures(
                     out.append((p, str(k), None, *[None] * len(names), f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(out, columns=columns)
 
-    rows = captures.select(program, F.col(key).cast("string").alias(key), content).mapInPandas(run, schema)
+    wrong = F.col(problem) if problem else F.lit(None).cast("string")
+    rows = captures.select(program, F.col(key).cast("string").alias(key), content, wrong.alias("_problem")).mapInPandas(run, schema)
     return rows.withColumn("is_partial", F.col(program).isin(list(partial)))

@@ -72,8 +72,7 @@ def merged_entities(entities: DataFrame, batch: DataFrame, events: DataFrame) ->
     merged = merge_first_seen(entities, incoming, _KEYS, ["first_snapshot_id", "first_seen"], order=["retrieved_at", "snapshot_id"])
     last = fresh.groupBy("program_id").agg(F.max("retrieved_at").alias("_last"))
     placed = merged.join(last, "program_id", "left").withColumn("in_roster", F.when(F.col("_last").isNotNull(), F.col("retrieved_at") == F.col("_last")).otherwise(F.col("in_roster"))).drop("_last")
-    key = F.to_json(F.struct(*_KEYS))
-    known = recompute_status(placed.withColumn("_key", key), events.withColumn("_key", key).withColumn("event_date", F.col("retrieved_at")), "_key")
+    known = recompute_status(placed, events.withColumn("event_date", F.col("retrieved_at")), _KEYS)
     return known.select(*[c.split()[0] for c in ENTITIES.split(", ")])
 
 
