@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators import package
 from ..sources import markup, pages
+from ..sources.schemas import TABLES
 from ..sources.scratch import new_path
 from ..sources.tables import roster_observations, snapshots, table
 from . import jobs
@@ -117,3 +119,45 @@ def _(spark, d):
 @query("rebuild_audit", "SELECT 'program_without_snapshot' AS check, 'none' AS key, 'no snapshot' AS message WHERE false")
 def _(spark, d):
     return _from_files(spark, d).rebuilt.errors
+
+
+_STAMPED = "CASE WHEN {key} % 7 = 0 THEN 'ftp://x' ELSE 'https://x' END AS source_url, CASE WHEN {key} % 11 <> 3 THEN TIMESTAMP '2024-01-01 00:00:00' END AS retrieved_at, '1' AS scraper_version"
+PACKAGE = {
+    "program": ("nation", f"concat('p', n_nationkey) AS program_id, CASE WHEN n_nationkey % 5 = 0 THEN lower(substr(n_name, 1, 2)) ELSE substr(n_name, 1, 2) END AS jurisdiction, {_STAMPED.format(key='n_nationkey')}"),
+    "provider": ("customer", f"concat('c', c_custkey - CASE WHEN c_custkey % 50 = 49 THEN 1 ELSE 0 END) AS provider_id, concat('p', CASE WHEN c_custkey % 30 = 0 THEN 99 ELSE c_nationkey END) AS program_id, CASE WHEN c_custkey % 40 = 1 THEN ' ' ELSE c_name END AS legal_name, CASE WHEN c_custkey % 60 = 2 THEN 'robot' ELSE 'entity' END AS provider_type, CASE WHEN c_acctbal < 0 THEN 'gone' ELSE 'active' END AS current_status, {_STAMPED.format(key='c_custkey')}"),
+    "crosswalk": ("orders", "concat('c', o_custkey) AS provider_id, o_orderkey AS cl_docket_id, o_totalprice / 400000 AS match_score, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE 'name' END AS match_method"),
+}
+_PACKAGE_SQL = ", ".join(f"{name} AS (SELECT {columns} FROM {source})" for name, (source, columns) in PACKAGE.items())
+
+
+@query("package_checks", f"""WITH {_PACKAGE_SQL}, found AS (
+SELECT 'program' AS table_name, 'program_name: missing' AS check, 1 AS n UNION ALL SELECT 'program', 'jurisdiction: pattern', count(*) FROM program WHERE NOT regexp_matches(jurisdiction, '^[A-Z]{{2}}$')
+UNION ALL SELECT 'program', 'source_url: pattern', count(*) FROM program WHERE source_url LIKE 'ftp%' UNION ALL SELECT 'program', 'retrieved_at: required', count(*) FROM program WHERE retrieved_at IS NULL
+UNION ALL SELECT 'provider', 'source_url: pattern', count(*) FROM provider WHERE source_url LIKE 'ftp%' UNION ALL SELECT 'provider', 'retrieved_at: required', count(*) FROM provider WHERE retrieved_at IS NULL
+UNION ALL SELECT 'provider', 'legal_name: required', count(*) FROM provider WHERE trim(legal_name) = '' UNION ALL SELECT 'provider', 'provider_type: value', count(*) FROM provider WHERE provider_type = 'robot'
+UNION ALL SELECT 'provider', 'current_status: value', count(*) FROM provider WHERE current_status = 'gone' UNION ALL SELECT 'provider', 'key: repeated', count(*) - count(DISTINCT provider_id) FROM provider
+UNION ALL SELECT 'provider', 'program_id: no parent', count(*) FROM provider WHERE program_id NOT IN (SELECT program_id FROM program)
+UNION ALL SELECT 'crosswalk', 'match_score: range', count(*) FROM crosswalk WHERE match_score > 1 UNION ALL SELECT 'crosswalk', 'match_method: required', count(*) FROM crosswalk WHERE match_method IS NULL
+UNION ALL SELECT 'crosswalk', 'provider_id: no parent', count(*) FROM crosswalk WHERE provider_id NOT IN (SELECT provider_id FROM provider))
+SELECT * FROM found WHERE n > 0""")
+def _(spark, d):
+    return package.check_package({name: table(spark, d, source).selectExpr(*_split(columns)) for name, (source, columns) in PACKAGE.items()}, TABLES)
+
+
+def _split(columns: str) -> list[str]:
+    """The expressions of a list: commas in brackets don't divide them."""
+    out, depth = [""], 0
+    for c in columns:
+        depth += (c == "(") - (c == ")")
+        if c == "," and not depth:
+            out.append("")
+        else:
+            out[-1] += c
+    return out
+
+
+@query("package_columns", " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{c}' AS column, count(*) AS n_rows, count(*) - count({c}) AS n_nulls FROM {t}" for t, c in (("nation", "n_name"), ("region", "r_name"), ("documents", "text"), ("documents", "lang"), ("labels", "toxic"))))
+def _(spark, d):
+    described = package.describe({t: table(spark, d, t) for t in ("nation", "region", "documents", "labels")}, TABLES)
+    rows = described.select("table_name", F.explode("n_nulls").alias("column", "n_nulls"), "n_rows")
+    return rows.filter(F.col("column").isin("n_name", "r_name", "text", "lang", "toxic"))
