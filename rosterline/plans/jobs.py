@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import signals
+from ..functions import geo, signals
 from ..operators import diff, merge, quality, reconcile, status
 from ..operators.sizes import broadcast_if_small
-from ..sources import files, pages
+from ..sources import files, nested, pages
 from ..sources.scratch import new_path
 
 
@@ -177,7 +177,7 @@ def completeness(ours: DataFrame, inventory: DataFrame, ledger: DataFrame, imple
 
 def resolve_status(programs: DataFrame, bills: DataFrame, configs: DataFrame) -> DataFrame:
     """A signal for each program from its best bill: proposed status and sunset date, confidence, evidence of up to five
-    bills, the address that speaks for it.
+    bills, the address that speaks for it, and the reason in words.
 
     configs: program_id, state, queries, known_bills, pending_rules, override, override_sunset, override_url. bills:
     bill_id, identifier, title, abstract, state, latest_action, action_date, classes, url. An override wins over any bill,
@@ -192,15 +192,22 @@ def resolve_status(programs: DataFrame, bills: DataFrame, configs: DataFrame) ->
     pairs = pairs.withColumn("score", signals.relevance(F.col("identifier"), F.col("title"), F.col("is_enacted"), F.col("queries"), F.col("known_bills")))
     top = top_ranked(pairs, "program_id", [F.desc("score"), F.desc_nulls_last("action_date"), F.asc("bill_id")], 5)
     evidence = top.groupBy("program_id").agg(F.array_sort(F.collect_list(F.struct("rank", "bill_id"))).alias("e")).select("program_id", F.transform("e", lambda x: x.bill_id).alias("evidence"))
-    best = top.filter("rank = 1").select("program_id", "score", "way", "is_enacted", "has_failed", "url")
+    best = top.filter("rank = 1").select("program_id", "score", "way", "is_enacted", "has_failed", "url", "identifier")
     out = programs.join(configs.select("program_id", "pending_rules", "override", "override_sunset", "override_url"), "program_id").join(best, "program_id", "left").join(evidence, "program_id", "left")
     given = F.col("override").isNotNull()
     proposed = F.coalesce("override", signals.proposed_status(F.col("score"), F.col("way"), F.col("is_enacted"), F.col("has_failed"), F.col("pending_rules")))
     confidence = F.when(given, 1.0).otherwise(F.coalesce(signals.proposal_confidence(F.col("score"), F.col("way"), F.col("is_enacted")), F.lit(0.0)))
     out = out.withColumn("proposed_status", F.when(given | F.col("score").isNotNull(), proposed)).withColumn("confidence", confidence)
     sunset = F.when(given, F.col("override_sunset"))
+    way, passed = F.col("way"), F.col("is_enacted")
+    why = (
+        F.when(given, "set by an order, not by a bill").when(F.col("score").isNull(), "no bill found").when(F.col("score") < signals.LOW, "best bill of little relevance")
+        .when((way == "negative") & passed, "ending bill enacted").when((way == "positive") & passed, F.when(F.col("pending_rules"), "founding bill enacted, its rules pending").otherwise("founding bill enacted"))
+        .when((way == "positive") & ~F.col("has_failed"), "founding bill pending").when(way == "negative", "ending bill pending").otherwise("direction unclear")
+    )
+    reason = F.concat_ws(": ", why, F.when(given, F.col("override_url")).otherwise(F.col("identifier")))
     return out.select(
-        "program_id", "program_status", "proposed_status", sunset.alias("proposed_sunset"), "confidence", "evidence", F.when(given, F.col("override_url")).otherwise(F.col("url")).alias("source_url"),
+        "program_id", "program_status", "proposed_status", reason.alias("reason"), sunset.alias("proposed_sunset"), "confidence", "evidence", F.when(given, F.col("override_url")).otherwise(F.col("url")).alias("source_url"),
         signals.is_change(F.col("program_status"), F.col("proposed_status"), sunset).alias("is_change"),
     )
 
@@ -217,18 +224,35 @@ class Bundle:
     places: DataFrame
     roster_sizes: DataFrame
     undocumented: DataFrame
+    map: DataFrame | None = None
+
+
+def map_paths(shapes: DataFrame, names: DataFrame, col: str = "geojson", skip: Sequence[str] = ()) -> DataFrame:
+    """(jurisdiction, path) of map JSON, projected and fitted to the viewport; names: shape, jurisdiction. Shapes without a jurisdiction
+    are an error of the names and raise when the map is read."""
+    points = nested.explode_geojson(shapes, col, skip).join(broadcast_if_small(names), "shape", "left")
+    known = F.coalesce("jurisdiction", F.raise_error(F.concat(F.lit("no jurisdiction for "), "shape")).cast("string"))
+    x, y = geo.albers(F.col("lon"), F.col("lat"))
+    ring = F.concat_ws("|", "shape", F.format_string("%09d", "ring"))
+    return geo.ring_paths(geo.fit_viewport(points.select(known.alias("jurisdiction"), ring.alias("ring"), "pos", x.alias("x"), y.alias("y"))), "jurisdiction")
 
 
-def bundle(programs: DataFrame, providers: DataFrame, events: DataFrame, documented_zero: DataFrame, folder: str | None = None) -> Bundle:
+def bundle(
+    programs: DataFrame, providers: DataFrame, events: DataFrame, documented_zero: DataFrame, folder: str | None = None, shapes: DataFrame | None = None, names: DataFrame | None = None, skip: Sequence[str] = (),
+) -> Bundle:
     """The analyst's tables: programs with counts, totals, programs and providers by jurisdiction, running roster sizes,
-    undocumented zeros. With ``folder`` they are written as JSON files, roster sizes inside their programs."""
+    undocumented zeros, and with ``shapes`` the map (see ``map_paths``). With ``folder`` they are written as JSON files, roster
+    sizes inside their programs; a program without providers that is not documented stops that."""
     counts = providers.groupBy("program_id").agg(F.count("*").alias("providers"), F.count_if(F.col("current_status") == "active").alias("active"))
     rows = programs.join(counts, "program_id", "left").fillna(0, ["providers", "active"]).withColumn("has_providers", F.col("providers") > 0)
     totals = rows.agg(F.count("*").alias("programs"), F.count_distinct("jurisdiction").alias("jurisdictions"), F.coalesce(F.sum("providers"), F.lit(0)).alias("providers"), F.coalesce(F.sum("active"), F.lit(0)).alias("active"))
     places = rows.groupBy("jurisdiction").agg(
         F.array_sort(F.collect_list("program_id")).alias("program_ids"), F.sum("providers").alias("providers"), F.bool_and(F.col("providers") == 0).alias("all_zero")
     )
-    out = Bundle(rows, totals, places, status.net_roster(events), quality.undocumented_zero(programs, providers, documented_zero))
+    out = Bundle(rows, totals, places, status.net_roster(events), quality.undocumented_zero(programs, providers, documented_zero), map_paths(shapes, names, skip=skip) if shapes is not None else None)
     if folder is not None:
-        files.write_bundle({"programs": rows, "totals": totals, "places": places, "roster_sizes": out.roster_sizes}, folder, {"roster_sizes": ("programs", "program_id")})
+        if not out.undocumented.isEmpty():
+            raise ValueError("programs without providers are not documented")
+        tables = {"programs": rows, "totals": totals, "places": places, "roster_sizes": out.roster_sizes} | ({"map": out.map} if out.map is not None else {})
+        files.write_bundle(tables, folder, {"roster_sizes": ("programs", "program_id")})
     return out

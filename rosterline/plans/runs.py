@@ -96,7 +96,7 @@ BILL_TITLE = "CASE p_partkey % 5 WHEN 0 THEN 'An act to establish a pilot' WHEN
 BILL_ACTION = "CASE p_partkey % 3 WHEN 0 THEN 'Signed by Governor' WHEN 1 THEN 'Died in committee' ELSE 'Introduced' END"
 
 
-@query("resolve_status_job", f"""WITH b AS (SELECT p_partkey AS id, p_brand AS program_id, lower({BILL_TITLE}) AS t, p_partkey % 3 = 0 AS enacted, p_partkey % 3 = 1 AS failed,
+STATUS_SQL = f"""WITH b AS (SELECT p_partkey AS id, p_brand AS program_id, lower({BILL_TITLE}) AS t, p_partkey % 3 = 0 AS enacted, p_partkey % 3 = 1 AS failed,
   EXISTS (SELECT 1 FROM part k WHERE k.p_brand = b.p_brand AND k.p_partkey % 50 = 0 AND contains('hb' || b.p_partkey, 'hb' || k.p_partkey)) AS known FROM part b),
 s AS (SELECT *, CASE WHEN t LIKE '%establish%' AND t LIKE '%repeal%' THEN 'neutral' WHEN t LIKE '%repeal%' THEN 'negative' WHEN t LIKE '%establish%' OR t LIKE '%pilot%' THEN 'positive' ELSE 'unknown' END AS way,
   least(1e0, CASE WHEN known THEN 5e-1 ELSE 0e0 END + (CASE WHEN t LIKE '%pilot%' THEN 1 ELSE 0 END + CASE WHEN t LIKE '%program%' THEN 1 ELSE 0 END) * 15e-2 + CASE WHEN enacted THEN 2e-1 ELSE 0e0 END) AS score
@@ -104,11 +104,19 @@ s AS (SELECT *, CASE WHEN t LIKE '%establish%' AND t LIKE '%repeal%' THEN 'neutr
 r AS (SELECT *, row_number() OVER (PARTITION BY program_id ORDER BY round(score, 6) DESC, id) AS k FROM s),
 top AS (SELECT * FROM r WHERE k = 1), e AS (SELECT program_id, string_agg(CAST(id AS VARCHAR), ',' ORDER BY k) AS evidence FROM r WHERE k <= 5 GROUP BY 1),
 o AS (SELECT program_id, program_id LIKE '%5' AS given, e.evidence, top.*  EXCLUDE (program_id) FROM (SELECT DISTINCT p_brand AS program_id FROM part) LEFT JOIN top USING (program_id) LEFT JOIN e USING (program_id)),
-p AS (SELECT *, CASE WHEN given THEN 'sunset' WHEN score < 0.3 THEN NULL WHEN way = 'negative' AND enacted THEN 'sunset' WHEN way = 'positive' AND enacted THEN 'active' WHEN way = 'positive' AND NOT failed THEN 'proposed' END AS proposed FROM o)
+p AS (SELECT *, CASE WHEN given THEN 'sunset' WHEN score < 0.3 THEN NULL WHEN way = 'negative' AND enacted THEN 'sunset' WHEN way = 'positive' AND enacted THEN 'active' WHEN way = 'positive' AND NOT failed THEN 'proposed' END AS proposed FROM o)"""
+
+
+@query("resolve_status_job", f"""{STATUS_SQL}
 SELECT program_id, proposed AS proposed_status, CASE WHEN given THEN DATE '2021-07-31' END AS proposed_sunset,
   round(CASE WHEN given THEN 1e0 WHEN score >= 0.3 AND way = 'negative' AND NOT enacted THEN score * 4e-1 ELSE coalesce(score, 0e0) END, 6) AS confidence, evidence,
   CASE WHEN given THEN 'rule' ELSE 'bill/' || id END AS source_url, given OR coalesce(proposed <> 'active', false) AS is_change FROM p""")
 def _(spark, d):
+    out = _signals(spark, d)
+    return out.select("program_id", "proposed_status", "proposed_sunset", F.round("confidence", 6).alias("confidence"), F.array_join(F.transform("evidence", lambda x: x.cast("string")), ",").alias("evidence"), "source_url", "is_change")
+
+
+def _signals(spark, d):
     part = table(spark, d, "part")
     bills = part.select(
         F.col("p_partkey").alias("bill_id"), F.concat(F.lit("HB "), "p_partkey").alias("identifier"), F.expr(BILL_TITLE).alias("title"), F.lit(None).cast("string").alias("abstract"), F.col("p_brand").alias("state"),
@@ -120,8 +128,15 @@ def _(spark, d):
         F.when(given, "sunset").alias("override"), F.when(given, F.to_date(F.lit("2021-07-31"))).alias("override_sunset"), F.when(given, "rule").alias("override_url"),
     )
     programs = configs.select("program_id", F.lit("active").alias("program_status"))
-    out = jobs.resolve_status(programs, bills, configs)
-    return out.select("program_id", "proposed_status", "proposed_sunset", F.round("confidence", 6).alias("confidence"), F.array_join(F.transform("evidence", lambda x: x.cast("string")), ",").alias("evidence"), "source_url", "is_change")
+    return jobs.resolve_status(programs, bills, configs)
+
+
+@query("status_reasons", f"""{STATUS_SQL}
+SELECT program_id, CASE WHEN given THEN 'set by an order, not by a bill: rule' WHEN score IS NULL THEN 'no bill found'
+  ELSE CASE WHEN score < 0.3 THEN 'best bill of little relevance' WHEN way = 'negative' AND enacted THEN 'ending bill enacted' WHEN way = 'positive' AND enacted THEN 'founding bill enacted'
+  WHEN way = 'positive' AND NOT failed THEN 'founding bill pending' WHEN way = 'negative' THEN 'ending bill pending' ELSE 'direction unclear' END || ': HB ' || id END AS reason FROM p""")
+def _(spark, d):
+    return _signals(spark, d).select("program_id", "reason")
 
 
 @query("bills_exploded", """SELECT CAST(o_orderkey AS VARCHAR) AS bill_id, o_clerk AS identifier, 'UT' AS state, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE o_orderstatus END AS latest_action,

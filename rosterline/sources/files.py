@@ -29,8 +29,9 @@ def read_blobs(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The gap ledger, typed; of rows with one key the last in the file stays."""
-    rows = spark.read.csv(path, header=True, schema=LEDGER).withColumn("_n", F.monotonically_increasing_id())
+    """The gap ledger, typed; of rows with one key the last stays: of several files the last by name, in a file the last row."""
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+    rows = spark.read.csv(path, header=True, schema=LEDGER).withColumn("_n", place)
     last = F.row_number().over(Window.partitionBy(*LEDGER_KEY).orderBy(F.desc("_n")))
     rows = rows.withColumn("_r", last).filter("_r = 1").drop("_r", "_n")
     return rows.withColumn("resolved", F.lower("resolved") == "true").withColumn("detected_at", F.try_to_date("detected_at", "yyyy-MM-dd")).orderBy(*LEDGER_KEY)
