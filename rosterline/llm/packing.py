@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ident, numbered, unident
+from .common import ident, staged, unident
 
 SEQUENCE = 2048
 END_ID = 1
@@ -134,6 +134,22 @@ def pack(lengths: list[int], capacity: int = SEQUENCE) -> list[tuple[int, int, i
     return out
 
 
+def _with_copies(rows: DataFrame, keys: list[str], step: int = 1000) -> DataFrame:
+    """rows with ``copy``, their number among rows equal in ``keys``, which tell texts apart.
+
+    Equal rows are counted and one text of each is moved; the copies are made again, ``step`` at a time in tasks of their own,
+    so neither a shuffle nor a task holds all copies of a row.
+    """
+    often = staged(rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys), "often")
+    alone = rows.join(often, keys, "left_anti").select(*keys, "body", F.lit(0).cast("long").alias("copy"))
+    if often.isEmpty():
+        return alone
+    one = rows.join(often, keys, "left_semi").groupBy(*keys).agg(F.any_value("body").alias("body"), F.count("*").alias("n"))
+    parts = one.select(*keys, "body", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(step).cast("long"))).alias("at")).repartition(*keys, "at")
+    copies = parts.select(*keys, "body", F.explode(F.sequence("at", F.least(F.col("n"), F.col("at") + step) - 1)).alias("copy"))
+    return alone.unionByName(copies)
+
+
 _SCHEMA = "nid long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_cost double"
 
 
@@ -153,7 +169,7 @@ def pack_sequences(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
     total = rows.agg(F.sum(F.octet_length("body").cast("long"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
     rows = rows.withColumns({"h": F.xxhash64("body"), "h2": F.xxhash64(F.lit("again"), "body")})
-    rows = numbered(rows, ["nid", "h", "h2"], "copy").select("nid", "body", F.pmod(F.xxhash64("nid", "h", "copy"), F.lit(shards)).alias("shard"))
+    rows = _with_copies(rows, ["nid", "h", "h2"]).select("nid", "body", F.pmod(F.xxhash64("nid", "h", "copy"), F.lit(shards)).alias("shard"))
     schema = _SCHEMA + (", ids array<int>" if with_ids else "")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
