@@ -189,7 +189,7 @@ def identify(docs: DataFrame, model: dict | None, text_col: str = "text") -> Dat
     """All columns of ``docs`` with ``lang_pred`` and ``lang_score``; columns of these names are replaced.
 
     ``und`` with score 0 if the text is null or has no letter, or if there is no model. Of families with equal probability the
-    first by name wins, of languages with equal votes and probabilities the last by name. Repeated rows get the same
+    first by name wins, of languages with equal votes and probabilities too. Repeated rows get the same
     result each; an empty table gives an empty result. A row's result depends on its whole
     text alone: no shuffle, and a batch's texts are handled half a megabyte at a time (longer texts one by one). The model of
     a few weights for each bin is part of the task.

@@ -78,7 +78,9 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, table: int
     the lengths: each is rounded up as often as its fraction says, and the sum misses the budget by no more than about the
     longest length. That rest is fitted by a bounded knapsack over all that is left, in a seeded order; where it misses the
     budget, up to 124 of those rounded up are given back by the seed and fitted too. Where that misses as well and the
-    shares rounded down leave at most ``table``, the best sum over those is taken if it is nearer.
+    shares rounded down leave at most ``table``, the best sum over those is taken if it is nearer. Both are tries to come
+    nearer: however large the budget and the lengths, all documents are among those that are chosen from, and the first
+    fit already misses the budget by less than the longest length.
     """
     lengths, counts = np.asarray(lengths, np.int64), np.asarray(counts, np.int64)
     total = int((lengths * counts).sum())

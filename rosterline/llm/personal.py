@@ -22,7 +22,9 @@ BASE = {
     "card": r"(?<![0-9])[0-9](?:(?![ -](?![0-9]))[0-9 -])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-#: High-recall generators. Their spans may overlap each other and the base ones.
+#: High-recall generators. Their spans may overlap each other and the base ones. A local part has at most 64 characters
+#: and a label of a host 63, as their formats say; hosts of up to seven labels and numbers of up to six groups are proposed,
+#: and longer ones only if the base finds them.
 LOOSE = {
     "email": r"(?<![\w.%+@-])[\w.%+-]{1,64}(?: ?[(\[{] ?at ?[)\]}] ?|@)[\w-]{1,63}(?:(?:\.| ?[(\[{] ?dot ?[)\]}] ?)[\w-]{1,63}){1,6}",
     "ip": r"(?<![\w.])[0-9]{1,3}(?: ?[.,:] ?[0-9]{1,3}){3}(?![\w.])",
@@ -102,7 +104,7 @@ def _cases(base: DataFrame) -> DataFrame:
     two = lambda low, high, step: F.lpad(n(low, high, step), 2, "0")
     by = lambda mark, d=digits: F.regexp_replace(d, "(.{4})(?=.)", f"$1{mark}")
     bad = F.concat(F.left(digits, F.length(digits) - 1), F.pmod(F.right(digits, F.lit(1)).cast("int") + 1 + F.pmod(seed, F.lit(9)), F.lit(10)).cast("string"))
-    rest = F.substring("value", 2, 1000)
+    rest = F.expr("substring(value, 2)")
     inland = F.regexp_replace(F.concat(F.lit("0"), n(2, 9, 3), F.right(digits, F.lit(9))), "^(...)(....)(.*)$", "$1 $2 $3")
     row = lambda start, step, mark, k=4: F.concat_ws(mark, *[(F.lit(start) + F.pmod(seed, F.lit(60)) + step * i).cast("string") for i in range(k)])
     own = {
@@ -237,7 +239,7 @@ def _learned(found: DataFrame, precision: float) -> tuple[DataFrame, DataFrame,
     least = F.lit(float("inf"))
     for kind in KINDS:
         least = F.when(F.col("kind") == kind, F.lit(thresholds[kind])).otherwise(least)
-    chosen = loose.withColumn("score", score_column(model, names)).filter((F.col("score") >= least) & (F.col("f_check") == 1))
+    chosen = loose.withColumn("score", score_column(model, names)).filter(F.col("score") >= least)
     place = ("nid", "h", "base", "kind", "start", "end")
     return base.select(*place), chosen.select(*place), report
 
@@ -246,8 +248,9 @@ def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Personal data of each whole text: identifier, n_email, n_ip, n_card, n_phone (base matches), ``base_spans`` and
     ``spans`` (arrays of kind, start and end in code points, by kind as listed, then start).
 
-    Base matches always stay. Added are the loose candidates whose score reaches their kind's threshold, whose numbers can
-    be of their kind (``_check``), and which overlap no base match; of overlapping ones the first stays, then the longer.
+    Base matches always stay. Added are the loose candidates whose score reaches their kind's threshold and which overlap no
+    base match; of overlapping ones the first stays, then the longer. Whether a candidate's numbers can be of its kind
+    (``_check``) is one of the trees' features and no rule of its own.
     There are no labels of personal data, so trees and thresholds are learned from cases made of all base matches of the
     corpus (``_cases``) and from all candidates that can't be personal data. With fewer than 10 held-back cases of a kind
     nothing of it is added.
