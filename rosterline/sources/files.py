@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,13 +79,18 @@ def flat_frame(df: DataFrame) -> DataFrame:
 
 
 def export_tables(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]], folder: str) -> dict[str, int]:
-    """Write each table in the order of its key as Parquet and CSV; returns the counts of what was written."""
+    """Write each table in the order of its key as Parquet and CSV; returns the counts of what was written.
+
+    A table is put in order once: its sorted partitions are kept on the executors' disks, and both forms are written from
+    them; those of a lost executor are sorted again.
+    """
     counts = {}
     for name, df in tables.items():
-        df.orderBy(*keys[name]).write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
-        written = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}.parquet")  # computed once; its files are in order
-        csv_frame(written.orderBy(*keys[name])).write.mode("overwrite").csv(f"{folder}/{name}.csv", header=True, emptyValue="")
-        counts[name] = written.count()
+        ordered = df.orderBy(*keys[name]).persist(StorageLevel.DISK_ONLY)
+        ordered.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
+        csv_frame(ordered).write.mode("overwrite").csv(f"{folder}/{name}.csv", header=True, emptyValue="")
+        ordered.unpersist()
+        counts[name] = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}.parquet").count()
     return counts
 
 
