@@ -1,8 +1,10 @@
+import math
 import random
+from collections import Counter
 
 import numpy as np
 
-from rosterline.llm.language import UNKNOWN, decide, family_of, fit, gram_counts, hash_limit, held_out, identify, in_a_language, train
+from rosterline.llm.language import _ODD, _PLAIN, UNKNOWN, decide, family_of, fit, gram_counts, hash_limit, held_out, identify, in_a_language, train
 
 SCHEMA = "doc_id long, text string, lang string, lang_pred string, source int"
 WORDS = {
@@ -40,6 +42,45 @@ def test_edges(spark):
     assert {r["lang_pred"] for r in identify(one, train(one)).collect()} == {"fr"}
 
 
+def plain(text, model):
+    """Grams one by one, each classifier by itself, votes counted: what identify has to give."""
+    data = b"    " + text.lower().encode().translate(_PLAIN) + b"    "
+    counts = Counter()
+    for i in range(3, len(data) - 4):
+        if data[i] == data[i + 1] == 32:
+            continue
+        h = 0
+        for k in range(4):
+            h = (h ^ data[i + k]) * int(_ODD[k]) & 0xFFFFFFFF
+            h ^= h >> 15
+            counts[h >> 3 & 4095] += 1
+    total = sum(counts.values())
+    p = [1 / (1 + math.exp(-float(s) * (sum(n / total * float(model["w"][b, j]) for b, n in counts.items()) + float(c)))) for j, (c, s) in enumerate(zip(model["b"], model["steep"]))]
+    families = model["families"]
+    shares = [x / sum(p[: len(families)]) for x in p[: len(families)]]
+    family = families[shares.index(max(shares))]
+    votes = {m: [0, 0.0] for m in model["members"][family]}
+    for (name, a, b), q in zip(model["pairs"], p[len(families) :]):
+        if name == family:
+            votes[a if q >= 0.5 else b][0] += 1
+            votes[a][1], votes[b][1] = votes[a][1] + q, votes[b][1] + 1 - q
+    best = max(sorted(votes), key=lambda m: votes[m])
+    return best, max(shares) * (votes[best][1] / (len(votes) - 1) if len(votes) > 1 else 1.0)
+
+
+def test_equals_a_plain_reading(spark):
+    r = random.Random(6)
+    docs = corpus(400)
+    mixed = [(1000 + i, " ".join(r.choices(WORDS[r.choice(list(WORDS))], k=1)[0] if r.random() < 0.7 else r.choice(["ÉTÉ", "x1", "!!", "漢字", "Über"]) for _ in range(r.randint(1, 9))), "en", "?", 1) for i in range(120)]
+    df = spark.createDataFrame(docs + mixed, SCHEMA)
+    model = train(df, sample=300)
+    got = {x["doc_id"]: (x["lang_pred"], x["lang_score"]) for x in identify(df.filter("doc_id >= 1000 or doc_id < 60"), model).collect()}
+    texts = {i: t for i, t, *_ in docs[:60] + mixed}
+    for i, (lang, score) in got.items():
+        want = plain(texts[i], model) if any(c.isalpha() for c in texts[i]) else (UNKNOWN, 0.0)
+        assert lang == want[0] and abs(score - want[1]) < 1e-4, (texts[i], want)
+
+
 def test_counts_do_not_depend_on_neighbours():
     texts = ["Ab c", "", "é!é", "x" * 3000]
     together = list(gram_counts(texts))
