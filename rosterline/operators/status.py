@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.scratch import new_path
 from .sizes import broadcast_if_small
 
 
@@ -34,6 +35,9 @@ def status_asof(events: DataFrame, dates: DataFrame, program: str = "program_id"
     ends = F.array(F.struct(F.col("event_date").alias("day"), F.lit(1).alias("step")), F.struct(F.col("_to").alias("day"), F.lit(-1).alias("step")))
     steps = held.filter("_to is null or _to > event_date").select(program, "status", F.explode(ends).alias("_e")).filter("_e.day is not null")
     days = steps.groupBy(program, "status", F.col("_e.day").alias("day")).agg(F.sum("_e.step").alias("step"))
+    path = new_path(days.sparkSession, "days")  # read twice, so that the events are not computed twice
+    days.write.parquet(path)
+    days = days.sparkSession.read.schema(days.schema).parquet(path)
 
     wanted = dates.filter("as_of is not null").select("as_of").distinct().select("as_of", F.row_number().over(Window.orderBy("as_of")).alias("_at"))
     every = days.select("day").distinct().select("day", F.lit(None).cast("int").alias("_at")).unionByName(wanted.select(F.col("as_of").alias("day"), "_at"))
