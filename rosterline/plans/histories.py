@@ -107,5 +107,4 @@ def _(spark, d):
 SELECT area AS p_brand, x.a AS a, x.b AS b, -x.s AS similarity FROM m WHERE step > 0""")
 def _(spark, d):
     p = table(spark, d, "part").withColumn("name", normalize_name(F.col("p_name")))
-    scored = match.entity_match(p.filter("p_partkey % 2 = 0").withColumnRenamed("p_partkey", "a"), p.filter("p_partkey % 2 = 1").withColumnRenamed("p_partkey", "b"), "a", "b", "name", "p_brand", 0.5)
-    return match.one_to_one(scored, "a", "b", "similarity", "p_brand")
+    return match.entity_match_one_to_one(p.filter("p_partkey % 2 = 0").withColumnRenamed("p_partkey", "a"), p.filter("p_partkey % 2 = 1").withColumnRenamed("p_partkey", "b"), "a", "b", "name", "p_brand", 0.5)
