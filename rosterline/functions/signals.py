@@ -47,7 +47,11 @@ def failed(action: Column) -> Column:
 def relevance(identifier: Column, title: Column, is_enacted: Column, queries: Column, known: Column) -> Column:
     """0.5 for a known identifier, 0.3 shared by the queries found in the title, 0.2 if enacted; 1 at most."""
     flat = F.replace(F.lower(identifier), F.lit(" "), F.lit(""))
-    hit = F.exists(known, lambda k: flat.contains(F.replace(F.lower(k), F.lit(" "), F.lit(""))))
+    return scored(F.exists(known, lambda k: flat.contains(F.replace(F.lower(k), F.lit(" "), F.lit("")))), title, is_enacted, queries)
+
+
+def scored(hit: Column, title: Column, is_enacted: Column, queries: Column) -> Column:
+    """``relevance`` where it was found out whether the identifier is known."""
     share = F.size(F.filter(queries, lambda q: F.lower(title).contains(F.lower(q)))) * (0.3 / F.greatest(F.size(queries), F.lit(1)))
     return F.least(F.lit(1.0), F.when(hit, 0.5).otherwise(0.0) + share + F.when(is_enacted, 0.2).otherwise(0.0))
 

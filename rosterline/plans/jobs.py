@@ -183,13 +183,12 @@ def resolve_status(programs: DataFrame, bills: DataFrame, configs: DataFrame) ->
     bill_id, identifier, title, abstract, state, latest_action, action_date, classes, url. An override wins over any bill,
     with its own date and address; bills are its evidence still. A bill proposes no date.
     """
-    c = configs.select("program_id", F.col("state").alias("_state"), "queries", "known_bills", "pending_rules", "override")
+    c = configs.select("program_id", F.col("state").alias("_state"), "queries")
     found = F.exists("queries", lambda q: F.lower(F.col("title")).contains(F.lower(q)))
-    flat = F.replace(F.lower("identifier"), F.lit(" "), F.lit(""))
-    known = F.exists("known_bills", lambda k: flat.contains(F.replace(F.lower(k), F.lit(" "), F.lit(""))))
-    pairs = bills.join(broadcast_if_small(c), (F.col("state") == F.col("_state")) & (found | known))
-    pairs = pairs.withColumns({"way": signals.direction(F.col("title"), F.col("abstract")), "is_enacted": signals.enacted(F.col("latest_action"), F.col("classes")), "has_failed": signals.failed(F.col("latest_action"))})
-    pairs = pairs.withColumn("score", signals.relevance(F.col("identifier"), F.col("title"), F.col("is_enacted"), F.col("queries"), F.col("known_bills")))
+    known = F.coalesce(F.array_contains("_known", F.col("program_id")), F.lit(False))
+    pairs = with_known(bills, configs).join(broadcast_if_small(c), (F.col("state") == F.col("_state")) & (found | known))
+    pairs = pairs.withColumns({"_hit": known, "way": signals.direction(F.col("title"), F.col("abstract")), "is_enacted": signals.enacted(F.col("latest_action"), F.col("classes")), "has_failed": signals.failed(F.col("latest_action"))}).drop("_known")
+    pairs = pairs.withColumn("score", signals.scored(F.col("_hit"), F.col("title"), F.col("is_enacted"), F.col("queries")))
     top = top_ranked(pairs, "program_id", [F.desc("score"), F.desc_nulls_last("action_date"), F.asc("bill_id")], 5)
     evidence = top.groupBy("program_id").agg(F.array_sort(F.collect_list(F.struct("rank", "bill_id"))).alias("e")).select("program_id", F.transform("e", lambda x: x.bill_id).alias("evidence"))
     best = top.filter("rank = 1").select("program_id", "score", "way", "is_enacted", "has_failed", "url", "identifier")
@@ -212,6 +211,21 @@ def resolve_status(programs: DataFrame, bills: DataFrame, configs: DataFrame) ->
     )
 
 
+def with_known(bills: DataFrame, configs: DataFrame) -> DataFrame:
+    """bills with ``_known``: the programs of their state that list the identifier, or a part of it, among their known bills.
+
+    Case and spaces don't count. The parts of an identifier that have the length of a listed one are looked up in a join, so
+    a bill is not held against each listed one.
+    """
+    flat = lambda c: F.replace(F.lower(c), F.lit(" "), F.lit(""))
+    listed = configs.select(F.col("state").alias("_s"), "program_id", F.explode("known_bills").alias("_k")).select("_s", "program_id", flat(F.col("_k")).alias("_part")).filter("_part is not null").distinct()
+    lengths = listed.groupBy("_s").agg(F.collect_set(F.length("_part")).alias("_lengths"))
+    names = bills.select(F.col("state").alias("_s"), flat(F.col("identifier")).alias("_flat")).distinct().join(broadcast_if_small(lengths), "_s")
+    parts = F.flatten(F.transform("_lengths", lambda n: F.when(n > F.length("_flat"), F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(1), F.length("_flat") - n + 1), lambda i: F.substring(F.col("_flat"), i, n)))))
+    held = names.select("_s", "_flat", F.explode(F.array_distinct(parts)).alias("_part")).join(listed, ["_s", "_part"]).groupBy("_s", "_flat").agg(F.collect_set("program_id").alias("_known"))
+    return bills.withColumns({"_s": F.col("state"), "_flat": flat(F.col("identifier"))}).join(held, ["_s", "_flat"], "left").drop("_s", "_flat")
+
+
 def top_ranked(df: DataFrame, key: str, order: list, n: int) -> DataFrame:
     """The first n rows of each key by ``order``, with their ``rank``."""
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter(F.col("rank") <= n)

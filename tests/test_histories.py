@@ -91,3 +91,18 @@ def test_fingerprints(spark):
     swapped = spark.createDataFrame([(None, "a"), ("a", None)], "x string, y string")
     assert not quality.unequal_leaves(quality.release_fingerprint(swapped.limit(1)), quality.release_fingerprint(swapped.offset(1))).isEmpty()
     assert one.count() < 10_000 and "exceptAll" not in plan_of(quality.release_drift(a, changed, ["id"]))
+
+
+def test_known_bills_are_found_by_their_parts(spark):
+    from rosterline.plans import jobs
+
+    r = random.Random(5)
+    text = lambda n: None if r.random() < 0.1 else "".join(r.choices("hB1 2", k=r.randint(0, n)))
+    bills = [(i, text(6), r.choice(["x", "y", None])) for i in range(150)] + [(151, "HB 12", "x"), (151, "HB 12", "x")]
+    configs = [(f"p{i}", r.choice("xy"), None if i == 3 else [text(4) for _ in range(r.randint(0, 3))]) for i in range(12)]
+    flat = lambda s: s.lower().replace(" ", "")
+    got = jobs.with_known(spark.createDataFrame(bills, "bill_id int, identifier string, state string"), spark.createDataFrame(configs, "program_id string, state string, known_bills array<string>"))
+    want = sorted((i, str(name), str(state), sorted(p for p, s, ks in configs if s == state and name is not None and any(k is not None and flat(k) in flat(name) for k in ks or []))) for i, name, state in bills)
+    assert sorted((x["bill_id"], str(x["identifier"]), str(x["state"]), sorted(x["_known"] or [])) for x in got.collect()) == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "BroadcastNestedLoop" not in plan and "Contains" not in plan
