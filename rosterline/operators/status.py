@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -95,6 +97,20 @@ def event_history(events: DataFrame, key: str, *fields: str) -> DataFrame:
 _IDS = 32_768  # ids of a bitmap
 
 
+def _gaps_inside(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """First and last id of each bitmap and the gaps between; only bytes with a bit are looked at."""
+    for frame in frames:
+        out = []
+        for part, data in zip(frame["part"], frame["map"]):
+            held = np.frombuffer(data, np.uint8)
+            full = np.flatnonzero(held)
+            row, bit = np.nonzero(np.unpackbits(held[full, None], axis=1, bitorder="little"))
+            ids = part * _IDS + full[row] * 8 + bit
+            at = np.flatnonzero(np.diff(ids) > 1)
+            out.append((part, ids[0], ids[-1], ids[at] + 1, ids[at + 1] - 1))
+        yield pd.DataFrame(out, columns=["part", "first", "last", "starts", "ends"])
+
+
 def sequence_gaps(df: DataFrame, col: str) -> DataFrame:
     """(gap_start, gap_end) of whole numbers that a rising sequence leaves out, between its least and its greatest id.
 
@@ -104,13 +120,11 @@ def sequence_gaps(df: DataFrame, col: str) -> DataFrame:
     by their edges, which are one row for each 2^30 ids. Null ids are left out; negative ones are ids.
     """
     at = F.col(col).cast("long")
-    bits = df.filter(at.isNotNull()).select(F.floor(at / _IDS).alias("part"), F.pmod(at, F.lit(_IDS)).alias("bit"))
+    bits = df.filter(at.isNotNull()).select(F.shiftright(at, 15).alias("part"), F.pmod(at, F.lit(_IDS)).alias("bit"))
     maps = bits.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("map"))
-    set_bytes = f"filter(transform(sequence(0, {_IDS // 8 - 1}), k -> struct(8 * k as k, cast(conv(hex(substring(map, k + 1, 1)), 16, 10) as int) as b)), x -> x.b <> 0)"
-    ids = f"flatten(transform({set_bytes}, x -> transform(filter(array(0, 1, 2, 3, 4, 5, 6, 7), j -> getbit(x.b, j) = 1), j -> part * {_IDS} + x.k + j)))"
-    found = maps.select("part", F.expr(ids).alias("ids"))
-    inside = F.expr("filter(zip_with(slice(ids, 1, size(ids) - 1), slice(ids, 2, size(ids) - 1), (a, b) -> struct(a + 1 as gap_start, b - 1 as gap_end)), g -> g.gap_start <= g.gap_end)")
-    parts = found.select("part", F.floor(F.col("part") / _IDS).alias("group"), F.element_at("ids", 1).alias("first"), F.element_at("ids", -1).alias("last"), inside.alias("gaps"))
+    found = maps.mapInPandas(_gaps_inside, "part long, first long, last long, starts array<long>, ends array<long>")
+    gaps = F.zip_with("starts", "ends", lambda a, b: F.struct(a.alias("gap_start"), b.alias("gap_end"))).alias("gaps")
+    parts = found.select("part", F.shiftright("part", 15).alias("group"), "first", "last", gaps)
     groups = parts.groupBy("group").agg(F.max("last").alias("end"))
     groups = groups.select("group", F.lag("end").over(Window.orderBy("group")).alias("_before"))
     within = Window.partitionBy("group").orderBy("part")

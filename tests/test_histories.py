@@ -106,3 +106,10 @@ def test_known_bills_are_found_by_their_parts(spark):
     assert sorted((x["bill_id"], str(x["identifier"]), str(x["state"]), sorted(x["_known"] or [])) for x in got.collect()) == want
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "BroadcastNestedLoop" not in plan and "Contains" not in plan
+
+
+def test_gaps_of_ids_that_lie_far_apart(spark):
+    ids = [-(1 << 60) - 1, -(1 << 60), -7, -5, -5, 0, 1, (1 << 20) - 1, 1 << 20, (1 << 35) + 1, (1 << 60) + 1, (1 << 60) + 3]
+    df = spark.createDataFrame([(i,) for i in [*ids, None]], "id long")
+    want = [(a + 1, b - 1) for a, b in zip(ids, ids[1:]) if b - a > 1]
+    assert sorted(map(tuple, status.sequence_gaps(df, "id").collect())) == want
