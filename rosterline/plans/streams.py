@@ -26,9 +26,12 @@ def _rosters(spark, d) -> DataFrame:
 def _files(rows: DataFrame, folder: str, days: int = 6) -> DataFrame:
     """A stream that brings the rows of so many days at a time, in order of time."""
     spark = rows.sparkSession
+    path = new_path(spark, "days")
     marked = rows.withColumn("_k", F.floor(F.datediff("snap_date", F.lit("2024-01-01").cast("date")) / days))
-    for (k,) in sorted(marked.select("_k").distinct().collect()):
-        marked.filter(F.col("_k") == k).drop("_k", "snap_date").coalesce(1).write.mode("append").parquet(folder)
+    marked.write.parquet(path)  # made once and by all tasks: each file below has one writer
+    made = spark.read.schema(marked.schema).parquet(path)
+    for (k,) in sorted(made.select("_k").distinct().collect()):
+        made.filter(F.col("_k") == k).drop("_k", "snap_date").coalesce(1).write.mode("append").parquet(folder)
     return spark.readStream.schema(rows.drop("snap_date").schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 

@@ -183,3 +183,21 @@ def test_counts_over_event_time(spark, tmp_path):
     got = {(r["event_type"], r["window_start"].day): r["n"] for r in spark.table("counts").collect()}
     assert got[("x", 1)] == 2 and got[("x", 5)] == 1
     assert {r["n"] for r in inc.event_counts(t).filter(F.col("event_type") == "y").collect()} == {1}
+
+
+def test_rows_of_a_replayed_stream_are_made_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from rosterline.plans.streams import _files
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def each(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    rows = spark.range(30).select("id", F.expr("date_add(DATE '2024-01-01', cast(id as int))").alias("snap_date")).mapInPandas(each, "id long, snap_date date")
+    _files(rows, str(tmp_path / "in"), 6)
+    assert seen.value == 30
+    assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "in")).collect()) == list(range(30))
