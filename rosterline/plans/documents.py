@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -64,11 +67,12 @@ def _(spark, d):
     return markup.heading_walk(markup.html_blocks(page, "page", "html"), "page", "Models", kinds).select("model_raw", "model_type", "bucket", "region", "item", "problem")
 
 
-def _read_roster(raw: bytes) -> list[dict]:
-    rows = [line.split(",") for line in raw.decode().strip().split("\n") if line]
-    if any(len(r) != 2 for r in rows):
-        raise ValueError("a line without two cells")
-    return [{"provider_id": p, "status": s} for p, s in rows]
+def _read_roster(raw: bytes) -> Iterator[dict]:
+    for line in re.finditer(r"[^\n]+", raw.decode().strip()):
+        cells = line[0].split(",")
+        if len(cells) != 2:
+            raise ValueError("a line without two cells")
+        yield {"provider_id": cells[0], "status": cells[1]}
 
 
 def _from_files(spark, d) -> jobs.FileRebuild:

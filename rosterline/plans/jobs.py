@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,7 +61,7 @@ class FileRebuild:
 
 
 def rebuild_from_files(
-    spark: SparkSession, manifest_path: str, blob_root: str, parsers: Mapping[str, Callable[[bytes], list[dict]]], sources: DataFrame, programs: DataFrame, partial: Sequence[str] = (),
+    spark: SparkSession, manifest_path: str, blob_root: str, parsers: Mapping[str, Callable[[bytes], Iterable[dict]]], sources: DataFrame, programs: DataFrame, partial: Sequence[str] = (),
 ) -> FileRebuild:
     """The event log, entities and audit from a manifest file and the raw captures that it registers; nothing is fetched.
 

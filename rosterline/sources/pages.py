@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,8 @@ from pyspark.sql.window import Window
 
 from .markup import html_blocks, html_tables
 
+ROWS_AT_ONCE = 10_000  # fixed value: rows that a parsing task makes before it hands them on
+
 
 def plain_text(c: Column) -> Column:
     """Markup off, white space single, trimmed."""
@@ -59,8 +62,21 @@ def heading_inventory(df: DataFrame, doc: str, html_col: str) -> DataFrame:
     return out.filter("tag = 'li' and model_type is not null").select(doc, "pos", "model_type", "bucket", F.coalesce("region", F.lit("Domestic")).alias("region"), F.col("text").alias("item"))
 
 
+def _whole(parse: Callable[[bytes], Iterable[dict]], data: bytes, values: Callable[[dict], tuple]) -> Iterable[tuple]:
+    """``values`` of each row that ``parse`` gives. An error in any row is raised here, before one is handed on: of more than
+    ROWS_AT_ONCE rows none is held, a list is gone through twice and a generator is run twice."""
+    made = parse(data)
+    rows = iter(made)
+    first = [values(r) for r in islice(rows, ROWS_AT_ONCE)]
+    if len(first) < ROWS_AT_ONCE:
+        return first
+    for r in rows:
+        values(r)
+    return map(values, parse(data) if made is rows else made)
+
+
 def parse_captures(
-    captures: DataFrame, parsers: Mapping[str, Callable[[bytes], list[dict]]], fields: str, program: str = "program_id", key: str = "capture_id", content: str = "content", partial: Sequence[str] = (),
+    captures: DataFrame, parsers: Mapping[str, Callable[[bytes], Iterable[dict]]], fields: str, program: str = "program_id", key: str = "capture_id", content: str = "content", partial: Sequence[str] = (),
     problem: str | None = None,
 ) -> DataFrame:
     """Rows (program, key, row_no, fields..., error, is_partial) by the user's function for each program.
@@ -70,24 +86,29 @@ def parse_captures(
     A capture whose function fails gives one row with the error, one without rows gives one with 'no rows'; other captures
     go on. Where the column ``problem`` says what is wrong with a capture, such as bytes that are not the registered ones,
     it isn't parsed and that is its error. Captures are parsed where they are: no shuffle.
+
+    A task hands its rows on ROWS_AT_ONCE at a time. A function that returns a list holds a capture's rows; a generator
+    doesn't, but is run twice on captures of many rows and has to give the same ones again.
     """
     names = [f.split()[0] for f in fields.split(", ")]
     schema = f"{program} string, {key} string, row_no int, {fields}, error string"
     columns = [program, key, "row_no", *names, "error"]
+    failed = lambda why: [(None, *[None] * len(names), why)]
+
+    def read(p: str, data: bytes, wrong: str | None) -> Iterable[tuple]:
+        if wrong is not None:
+            return failed(wrong)
+        try:
+            rows = _whole(parsers[p], bytes(data), lambda r: tuple(r.get(n) for n in names))
+        except Exception as e:  # a user's function may fail in any way; the capture is reported
+            return failed(f"{type(e).__name__}: {e}")
+        return ((i, *row, None) for i, row in enumerate(rows)) if rows else failed("no rows")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            out = []
-            for p, k, data, wrong in zip(frame[program], frame[key], frame[content], frame["_problem"]):
-                if wrong is not None:
-                    out.append((p, str(k), None, *[None] * len(names), wrong))
-                    continue
-                try:
-                    rows = parsers[p](bytes(data))
-                    out += [(p, str(k), i, *[r.get(n) for n in names], None) for i, r in enumerate(rows)] or [(p, str(k), None, *[None] * len(names), "no rows")]
-                except Exception as e:  # a user's function may fail in any way; the capture is reported
-                    out.append((p, str(k), None, *[None] * len(names), f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(out, columns=columns)
+            rows = ((p, str(k), *row) for p, k, data, wrong in zip(frame[program], frame[key], frame[content], frame["_problem"]) for row in read(p, data, wrong))
+            while out := list(islice(rows, ROWS_AT_ONCE)):
+                yield pd.DataFrame(out, columns=columns)
 
     wrong = F.col(problem) if problem else F.lit(None).cast("string")
     rows = captures.select(program, F.col(key).cast("string").alias(key), content, wrong.alias("_problem")).mapInPandas(run, schema)

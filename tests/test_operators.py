@@ -176,6 +176,32 @@ def test_pages(spark):
     assert sorted((r["capture_id"], r["name"] or "", (r["error"] or "").split(":")[0]) for r in out) == [("1", "x", ""), ("1", "y", ""), ("2", "", "no rows"), ("3", "", "KeyError")]
 
 
+def test_captures_are_handed_on_in_pieces(spark):
+    held = [0]
+
+    class Text(str):
+        def __del__(self):
+            held[0] -= 1
+
+    def roster(raw):
+        for i in range(int(raw)):
+            held[0] += 1
+            yield {"name": Text(i), "held": held[0]}
+
+    def broken(raw):
+        yield from roster(raw)
+        raise ValueError("cut off")
+
+    caps = spark.createDataFrame([("a", str(k), b"20000") for k in range(6)] + [("b", "6", b"20000"), ("c", "7", b"20000"), ("a", "8", b"0")], "program_id string, capture_id string, content binary").coalesce(1)
+    listed = lambda raw: [{"name": str(i)} for i in range(int(raw))]
+    out = pages.parse_captures(caps, {"a": roster, "b": broken, "c": listed}, "name string, held int")
+    got = {r["capture_id"]: (r["n"], r["names"], r["most"], r["error"]) for r in out.groupBy("capture_id").agg(
+        F.count("row_no").alias("n"), F.count_distinct(F.when(F.col("name") == F.col("row_no").cast("string"), F.col("row_no"))).alias("names"), F.max("held").alias("most"), F.max("error").alias("error")).collect()}
+    assert all(got[str(k)][:2] == (20000, 20000) and got[str(k)][3] is None for k in (0, 1, 2, 3, 4, 5, 7))
+    assert got["6"] == (0, 0, None, "ValueError: cut off") and got["8"] == (0, 0, None, "no rows")
+    assert max(got[str(k)][2] for k in range(6)) <= 40000  # of 120,000 rows
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "m.csv").write_text("program_id,snapshot_id,source_url,retrieved_at,content_sha256,storage_path,media_type,scraper_version\np,s2,u,2024-01-02T00:00:00+00:00,h,f,html,1\np,s1,u,2024-01-01T00:00:00,h,f,html,1\n")
     m = files.read_manifest(spark, str(tmp_path / "m.csv")).orderBy("seq").collect()
