@@ -1,13 +1,14 @@
 """Operators on small literal tables."""
 
 import datetime as dt
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
 
 from rosterline.functions import geo, names, parse, signals
 from rosterline.operators import diff, match, merge, quality, reconcile, status
-from rosterline.plans import jobs
+from rosterline.plans import documents, jobs
 from rosterline.sources import files, nested, pages
 from rosterline.sources.schemas import TABLES
 
@@ -202,6 +203,19 @@ def test_captures_are_handed_on_in_pieces(spark):
     assert max(got[str(k)][2] for k in range(6)) <= 40000  # of 120,000 rows
 
 
+def test_roster_lines_are_read_one_by_one():
+    raw = b"\n" + b"\n".join(b"%d,active" % i for i in range(50_000)) + b"\n\n1,exited\n"
+    tracemalloc.start()
+    n = sum(r["status"] == "active" for r in documents._read_roster(raw))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 50_000 and most < 5 * len(raw)
+    assert list(documents._read_roster(b"1,a\n\n2,b\n")) == [{"provider_id": "1", "status": "a"}, {"provider_id": "2", "status": "b"}]
+    assert list(documents._read_roster(b" \n")) == []
+    with pytest.raises(ValueError, match="two cells"):
+        list(documents._read_roster(b"1,a\n2"))
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "m.csv").write_text("program_id,snapshot_id,source_url,retrieved_at,content_sha256,storage_path,media_type,scraper_version\np,s2,u,2024-01-02T00:00:00+00:00,h,f,html,1\np,s1,u,2024-01-01T00:00:00,h,f,html,1\n")
     m = files.read_manifest(spark, str(tmp_path / "m.csv")).orderBy("seq").collect()
