@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -189,21 +189,30 @@ def blob_integrity(manifest: DataFrame, blobs: DataFrame) -> DataFrame:
     return both.withColumn("problem", problem).filter("problem is not null").select("path", "problem")
 
 
-def provenance_audit(providers: DataFrame, events: DataFrame, snaps: DataFrame, programs: DataFrame, aliases: DataFrame, blobs: DataFrame | None = None) -> DataFrame:
-    """(check, key, message) of all breaches of provenance; an empty result passes."""
+def reference_errors(df: DataFrame, key: str, references: Mapping[str, str], parent: DataFrame, parent_key: str) -> DataFrame:
+    """(check, key, message) of references to one parent that are null (``<check>_null``) or have no row there, in one pass over df.
 
-    def missing(df: DataFrame, check: str, key: str, col: str) -> DataFrame:
-        return errors_of(df.filter(F.col(col).isNull()), check, key, F.lit(f"{col} is null"))
+    references: column by check.
+    """
+    ids = parent.select(F.col(parent_key).alias("_id")).filter("_id is not null").distinct()
+    found = []
+    for check, col in references.items():
+        df = df.join(ids.select(F.col("_id").alias(f"_{check}")), F.col(col) == F.col(f"_{check}"), "left")
+        told = lambda name, message: F.struct(F.lit(name).alias("check"), message.alias("message"))
+        none = told(check, F.concat(F.lit(f"{col} "), F.col(col).cast("string"), F.lit(" has no row")))
+        found.append(F.when(F.col(col).isNull(), told(f"{check}_null", F.lit(f"{col} is null"))).when(F.col(f"_{check}").isNull(), none))
+    return df.select(F.col(key).cast("string").alias("key"), F.explode(F.array_compact(F.array(*found))).alias("_e")).select("_e.check", "key", "_e.message")
 
-    def orphan(df: DataFrame, check: str, key: str, col: str, parent: DataFrame, parent_key: str) -> DataFrame:
-        return errors_of(orphans(df, parent, col, parent_key), check, key, F.concat(F.lit(f"{col} "), F.col(col).cast("string"), F.lit(" has no row")))
 
+def provenance_audit(providers: DataFrame, events: DataFrame, snaps: DataFrame, programs: DataFrame, aliases: DataFrame, blobs: DataFrame | None = None) -> DataFrame:
+    """(check, key, message) of all breaches of provenance; an empty result passes. Providers' and events' references are checked
+    in one pass each, so a rebuild that derives them is not computed for every check."""
     found = [
-        missing(providers, "provider_first_seen_null", "provider_id", "first_seen_snapshot_id"), missing(providers, "provider_last_seen_null", "provider_id", "last_seen_snapshot_id"),
-        orphan(providers, "provider_first_seen", "provider_id", "first_seen_snapshot_id", snaps, "snapshot_id"), orphan(providers, "provider_last_seen", "provider_id", "last_seen_snapshot_id", snaps, "snapshot_id"),
-        missing(events, "event_snapshot_null", "event_id", "source_snapshot_id"), orphan(events, "event_snapshot", "event_id", "source_snapshot_id", snaps, "snapshot_id"),
-        missing(snaps, "snapshot_url_null", "snapshot_id", "source_url"), errors_of(childless(programs, snaps, "program_id", "program_id"), "program_without_snapshot", "program_id", F.lit("no snapshot")),
-        orphan(aliases, "alias_provider", "alias_name", "provider_id", providers, "provider_id"),
+        reference_errors(providers, "provider_id", {"provider_first_seen": "first_seen_snapshot_id", "provider_last_seen": "last_seen_snapshot_id"}, snaps, "snapshot_id"),
+        reference_errors(events, "event_id", {"event_snapshot": "source_snapshot_id"}, snaps, "snapshot_id"),
+        errors_of(snaps.filter("source_url is null"), "snapshot_url_null", "snapshot_id", F.lit("source_url is null")),
+        errors_of(childless(programs, snaps, "program_id", "program_id"), "program_without_snapshot", "program_id", F.lit("no snapshot")),
+        errors_of(orphans(aliases, providers, "provider_id", "provider_id"), "alias_provider", "alias_name", F.concat(F.lit("provider_id "), F.col("provider_id").cast("string"), F.lit(" has no row"))),
     ]
     if blobs is not None:
         found.append(errors_of(blobs, "blob_integrity", "path", F.col("problem")))

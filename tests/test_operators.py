@@ -216,6 +216,25 @@ def test_roster_lines_are_read_one_by_one():
         list(documents._read_roster(b"1,a\n2"))
 
 
+def test_the_audit_reads_what_it_checks_once(spark):
+    n = F.col("id")
+    providers = spark.range(0, 701).select(n.alias("provider_id"), F.when(n % 7 != 3, n % 5).alias("first_seen_snapshot_id"), F.when(n > 0, n % 4).alias("last_seen_snapshot_id"))
+    events = spark.range(0, 503).select(n.alias("event_id"), F.when(n != 9, F.when(n == 8, 77).otherwise(n % 4)).alias("source_snapshot_id"))
+    snaps = spark.createDataFrame([("a", s, "u" if s else None) for s in (0, 1, 2, 3, 3)] + [("a", None, "u")], "program_id string, snapshot_id long, source_url string")
+    programs = spark.createDataFrame([("a",), ("b",)], "program_id string")
+    aliases = spark.createDataFrame([(700, "x"), (701, "y"), (None, "z")], "provider_id long, alias_name string")
+    errors = quality.provenance_audit(providers, events, snaps, programs, aliases.limit(0))
+    plan = errors._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 701,") == 1 and plan.count("Range (0, 503,") == 1
+    want = [("provider_first_seen_null", str(i), "first_seen_snapshot_id is null") for i in range(701) if i % 7 == 3]
+    want += [("provider_first_seen", str(i), "first_seen_snapshot_id 4 has no row") for i in range(701) if i % 7 != 3 and i % 5 == 4]
+    want += [("provider_last_seen_null", "0", "last_seen_snapshot_id is null"), ("event_snapshot_null", "9", "source_snapshot_id is null"), ("event_snapshot", "8", "source_snapshot_id 77 has no row")]
+    want += [("snapshot_url_null", "0", "source_url is null"), ("program_without_snapshot", "b", "no snapshot")]
+    assert sorted(tuple(r) for r in errors.collect()) == sorted(want)
+    named = quality.provenance_audit(providers, events, snaps, programs, aliases).filter("check = 'alias_provider'")
+    assert [tuple(r) for r in named.collect()] == [("alias_provider", "y", "provider_id 701 has no row")]
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "m.csv").write_text("program_id,snapshot_id,source_url,retrieved_at,content_sha256,storage_path,media_type,scraper_version\np,s2,u,2024-01-02T00:00:00+00:00,h,f,html,1\np,s1,u,2024-01-01T00:00:00,h,f,html,1\n")
     m = files.read_manifest(spark, str(tmp_path / "m.csv")).orderBy("seq").collect()
